@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 TEXT_TIME = "'%Y-%m-%d %H:%M:%S.%f'"
-DAY = "CAST(substr({0}, 1, 10) AS DATE)"
+DAY = "substr(last_modified_ts, 1, 10)"
 
 COLUMNS = {
     "transactions": (
@@ -153,20 +153,19 @@ def _routes(name: str) -> str:
 
 
 def _retained(name: str) -> str:
-    day = DAY.format("last_modified_ts")
-    return f"""SELECT {COLUMNS[name]}, {day} AS date FROM {_current(name)} AS latest
-               WHERE {day} > DATE '2001-11-01'"""
+    return f"""SELECT {COLUMNS[name]}, {DAY} AS date FROM {_current(name)} AS latest
+               WHERE CAST({DAY} AS DATE) > DATE '2001-11-04' - 3"""
 
 
 def _key_values(name: str) -> str:
     pairs = COLUMNS[name].split(", ") + ["date"]
     return f"""SELECT {KEYS[name]} AS key, {_json(pairs)} AS value
-               FROM (SELECT *, substr(last_modified_ts, 1, 10) AS date FROM {_good(name)} AS good)
+               FROM (SELECT *, {DAY} AS date FROM {_good(name)} AS good)
                     AS dated"""
 
 
 def _serving(name: str, columns: str) -> str:
-    return f"""SELECT {columns}, substr(last_modified_ts, 1, 10) AS date
+    return f"""SELECT {columns}, {DAY} AS date
                FROM {_current(name)} AS latest"""
 
 
@@ -191,7 +190,7 @@ ORACLES = {
     "cdc_route_counts": " UNION ALL ".join(f"({_routes(name)})" for name in DAMAGED),
     "cdc_date": f"""
         SELECT event_id, last_modified_ts,
-               CAST(try_strptime(last_modified_ts, {TEXT_TIME}) AS DATE) AS date
+               CAST(CAST(try_strptime(last_modified_ts, {TEXT_TIME}) AS DATE) AS VARCHAR) AS date
         FROM (SELECT event_id,
                      CASE event_type WHEN 'error' THEN substr(last_modified_ts, 1, 19)
                                      ELSE last_modified_ts END AS last_modified_ts
@@ -199,7 +198,7 @@ ORACLES = {
     "cdc_kv": _key_values("transactions"),
     "serving_ingest": f"""
         SELECT product_id, product_name, category, merchant_name, status, unit_price, rating,
-               last_modified_ts, substr(last_modified_ts, 1, 10) AS date
+               last_modified_ts, {DAY} AS date
         FROM {_good("products")} AS good""",
     "serving_projection": _serving(
         "shippings", "shipping_id, shipping_address, status, shipping_cost, last_modified_ts"
@@ -224,7 +223,7 @@ ORACLES = {
     "retention_transactions": _retained("transactions"),
     "retention_shippings": _retained("shippings"),
     "layout_sorted": f"""
-        SELECT {COLUMNS["transactions"]}, {DAY.format("last_modified_ts")} AS date
+        SELECT {COLUMNS["transactions"]}, {DAY} AS date
         FROM {_current("transactions")} AS latest""",
     "layout_bloom": f"""
         SELECT {COLUMNS["users"]} FROM {_current("users")} AS latest WHERE user_id = '7'""",
@@ -264,7 +263,7 @@ ORACLES = {
                max(shipping_cost) AS max_cost
         FROM {_current("shippings")} AS latest GROUP BY shipping_status""",
     "q_daily": f"""
-        SELECT {DAY.format("last_modified_ts")} AS date, count(*) AS orders,
+        SELECT {DAY} AS date, count(*) AS orders,
                CAST(sum(quantity) AS BIGINT) AS units, avg(discount) AS avg_discount
         FROM {_current("transactions")} AS latest GROUP BY 1""",
     "q_sql": f"""
@@ -289,14 +288,14 @@ ORACLES = {
     "stream_cdc_source": f"SELECT {COLUMNS['events']} FROM {_good('events')} AS good",
     "stream_kv_sink": _key_values("events"),
     "stream_archive": f"""
-        SELECT {COLUMNS["events"]}, off, {DAY.format("last_modified_ts")} AS date
+        SELECT {COLUMNS["events"]}, off, {DAY} AS date
         FROM {_good("events")} AS good""",
     "stream_dlq": _dead_letters("events"),
     "archive_replay": f"""
-        SELECT {COLUMNS["events"]}, {DAY.format("last_modified_ts")} AS date
+        SELECT {COLUMNS["events"]}, {DAY} AS date
         FROM {LAST_SEEN} AS latest""",
     "stream_upsert": f"""
-        SELECT {COLUMNS["events"]}, {DAY.format("last_modified_ts")} AS date
+        SELECT {COLUMNS["events"]}, {DAY} AS date
         FROM {LAST_SEEN} AS latest""",
     "stream_fanout": PUBLISHED,
     "stream_restart": PUBLISHED,

@@ -18,6 +18,7 @@ from changeloom.operators.status import stamp_status
 from changeloom.operators.upsert import fold, latest, retained_latest
 from changeloom.plans import feeds
 from changeloom.plans.serving import (
+    STAR,
     cents,
     daily,
     find,
@@ -27,7 +28,7 @@ from changeloom.plans.serving import (
     star_revenue,
 )
 from changeloom.session import scratch_dir, stored
-from changeloom.sources.files import read_archive, read_dead_letters, read_table
+from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
 from changeloom.sources.layout import write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
 from changeloom.streaming.progress import progress_record
@@ -68,6 +69,11 @@ def current(spark: SparkSession, folder: str, name: str, *columns: str) -> DataF
     return latest(rows, feeds.FEEDS[name](spark, folder).entity.key, log_order()).drop("off")
 
 
+def text_date(df: DataFrame) -> DataFrame:
+    """The date as text, the form in which serving tables expose it."""
+    return df.withColumn(DATE_COLUMN, F.col(DATE_COLUMN).cast("string"))
+
+
 # --- decoding ---------------------------------------------------------------
 
 
@@ -107,7 +113,7 @@ def cdc_date(spark: SparkSession, folder: str) -> DataFrame:
         "last_modified_ts",
         F.when(F.col("event_type") == "error", whole_seconds).otherwise(F.col("last_modified_ts")),
     )
-    return with_date(uneven).select("event_id", "last_modified_ts", DATE_COLUMN)
+    return text_date(with_date(uneven)).select("event_id", "last_modified_ts", DATE_COLUMN)
 
 
 def cdc_kv(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,7 +151,7 @@ def _retention(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         entity = feeds.FEEDS[name](spark, folder).entity
         dated = with_date(good(spark, folder, name))
-        return retained_latest(dated, entity, log_order(), AS_OF).drop("off")
+        return text_date(retained_latest(dated, entity, log_order(), AS_OF).drop("off"))
 
     return run
 
@@ -154,7 +160,7 @@ def layout_sorted(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "layout_sorted")
     table = with_date(current(spark, folder, "transactions"))
     write_sorted(table, path, feeds.TRANSACTIONS)
-    return spark.read.schema(table.schema).parquet(path)
+    return text_date(spark.read.schema(table.schema).parquet(path))
 
 
 def layout_bloom(spark: SparkSession, folder: str) -> DataFrame:
@@ -236,7 +242,7 @@ def q_shipping_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return daily(
+    days = daily(
         with_date(current(spark, folder, "transactions", "quantity", "discount")),
         {
             "orders": F.count(F.lit(1)),
@@ -244,6 +250,7 @@ def q_daily(spark: SparkSession, folder: str) -> DataFrame:
             "avg_discount": F.avg("discount"),
         },
     )
+    return text_date(days)
 
 
 def q_sql(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,16 +272,11 @@ def q_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_star_revenue(spark: SparkSession, folder: str) -> DataFrame:
     wanted = {
-        "transactions": ["user_id", "product_id", "payment_id", "shipping_id", "quantity", "discount"],
-        "products": ["category", "unit_price"],
-        "payments": ["payment_method", "currency"],
-        "users": ["job", "address"],
-        "shippings": ["shipping_cost", "shipping_status"],
-    }
-    tables = {
-        name: stored(current(spark, folder, name, *columns), f"star_{name}")
-        for name, columns in wanted.items()
+        "transactions": [key for key, _ in STAR.values()] + ["quantity", "discount"],
+        **{name: list(columns) for name, (_, columns) in STAR.items()},
     }
+    tables = {name: current(spark, folder, name, *columns) for name, columns in wanted.items()}
+    tables["transactions"] = stored(tables["transactions"], "star_transactions")
     return star_revenue(tables, ["category", "job", "payment_method", "shipping_status"])
 
 
@@ -299,14 +301,14 @@ def stream_kv_sink(spark: SparkSession, folder: str) -> DataFrame:
     run = scratch_dir(spark, "stream_kv_sink")
     dated = _event_split(spark, folder)[0]
     drain([start_key_values(dated, feeds.EVENTS, FileSink(f"{run}/kv"), f"{run}/checkpoint", ONCE)])
-    return spark.read.schema("key STRING, value STRING").parquet(f"{run}/kv/events")
+    return read_key_values(spark, f"{run}/kv/events")
 
 
 def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
     run = scratch_dir(spark, "stream_archive")
     dated = _event_split(spark, folder)[0]
     drain([start_archive(dated, feeds.EVENTS, f"{run}/archive", f"{run}/checkpoint", ONCE)])
-    return read_archive(spark, f"{run}/archive/events", feeds.EVENTS)
+    return text_date(read_archive(spark, f"{run}/archive/events", feeds.EVENTS))
 
 
 def stream_dlq(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,7 +328,7 @@ def archive_replay(spark: SparkSession, folder: str) -> DataFrame:
     feed = replace(feeds.events(spark, folder), entity=LAST_SEEN)
     fresh = with_date(split(feed.raw, LAST_SEEN, ["off"])[0])
     fresh = fresh.filter((F.col(DATE_COLUMN) >= F.lit(REPLAY_FROM)) | F.col(DATE_COLUMN).isNull())
-    return fold(history, fresh, LAST_SEEN.key, log_order()).drop("off")
+    return text_date(fold(history, fresh, LAST_SEEN.key, log_order()).drop("off"))
 
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,7 +336,8 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     dated = _event_split(spark, folder, LAST_SEEN)[0]
     drain([start_upserts(dated, LAST_SEEN, log_order(), f"{run}/table", f"{run}/checkpoint", ONCE)])
     published = spark.read.schema(dated.schema).parquet(f"{run}/table/last_seen")
-    return latest(published.select(*dated.columns), LAST_SEEN.key, log_order()).drop("off")
+    table = latest(published.select(*dated.columns), LAST_SEEN.key, log_order())
+    return text_date(table.drop("off"))
 
 
 def _fan_out_events(spark: SparkSession, folder: str, run: str):
@@ -349,7 +352,7 @@ def _fan_out_events(spark: SparkSession, folder: str, run: str):
 def _published(spark: SparkSession, run: str) -> DataFrame:
     """What a fan-out wrote, one line per record and output."""
     archived = read_archive(spark, f"{run}/archive/events", feeds.EVENTS)
-    records = spark.read.schema("key STRING, value STRING").parquet(f"{run}/kv/events")
+    records = read_key_values(spark, f"{run}/kv/events")
     dead = read_dead_letters(spark, f"{run}/dlq/events")
     return (
         archived.select(F.lit("archive").alias("output"), F.col("event_id").alias("content"))

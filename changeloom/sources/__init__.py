@@ -1,4 +1,10 @@
-from changeloom.sources.files import read_archive, read_dead_letters, read_table, stream_table
+from changeloom.sources.files import (
+    read_archive,
+    read_dead_letters,
+    read_key_values,
+    read_table,
+    stream_table,
+)
 from changeloom.sources.kafka import Broker, read_changes
 from changeloom.sources.layout import write_indexed, write_sorted
 
@@ -7,6 +13,7 @@ __all__ = [
     "read_archive",
     "read_changes",
     "read_dead_letters",
+    "read_key_values",
     "read_table",
     "stream_table",
     "write_indexed",

@@ -1,4 +1,4 @@
-"""Files in: relational tables, the archive and the dead letters."""
+"""Files in: relational tables, and what the streaming outputs wrote."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from changeloom.entities import DATE_COLUMN, Entity
 DEAD_LETTER = StructType(
     [StructField("raw_value", StringType()), StructField("entity", StringType())]
 )
+KEY_VALUE = StructType([StructField("key", StringType()), StructField("value", StringType())])
 OFFSET = StructField("off", LongType())
 
 
@@ -70,4 +71,8 @@ def read_archive(
 
 
 def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DEAD_LETTER).json(path)
+    return spark.read.schema(DEAD_LETTER).json(path).select(*DEAD_LETTER.fieldNames())
+
+
+def read_key_values(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(KEY_VALUE).parquet(path).select(*KEY_VALUE.fieldNames())

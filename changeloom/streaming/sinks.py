@@ -121,18 +121,23 @@ def fan_out(
     three times. File outputs go to a folder named after the batch, so repeating
     a batch after a failure changes nothing; Kafka may see records again, which
     a keyed newest-wins reader absorbs. Bound the batch at the source.
+
+    The archive is rebalanced by date first: a quiet batch ends in few files
+    instead of one per task, a backlog in a few per date instead of one per task
+    and date, and a crowded date is split again by its size.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         routed = route(batch, entity, carry).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = with_date(good_rows(routed, entity, carry), entity.modified_at)
-            _batch_writer(good).partitionBy(DATE_COLUMN).parquet(
+            archived = good.hint("rebalance", DATE_COLUMN)
+            _batch_writer(archived).partitionBy(DATE_COLUMN).parquet(
                 _batch_path(f"{targets.archive}/{entity.name}", batch_id)
             )
             records = to_key_value(good.select(*entity.columns, DATE_COLUMN), entity.key)
             targets.key_values.save(records, entity, batch_id)
-            _batch_writer(dead_letters(routed, entity)).json(
+            _batch_writer(dead_letters(routed, entity).hint("rebalance")).json(
                 _batch_path(f"{targets.dead_letters}/{entity.name}", batch_id)
             )
         finally:
