@@ -9,7 +9,10 @@ def evaluated_once(df: DataFrame, name: str, value: Column, *keep: str) -> DataF
 
     Filters and field accesses on an ordinary projection are pushed below it,
     which repeats an expensive expression such as ``from_json`` in every one of
-    them. A generator over a one-element array is a step Catalyst does not
-    duplicate, so what follows reads the finished value.
+    them. Nothing is pushed below a generator over its own output, so after
+    exploding a one-element array every later step reads the finished value. The
+    value itself stays in a projection of its own: the generator then runs inside
+    generated code.
     """
-    return df.select(*keep, F.explode(F.array(value)).alias(name))
+    computed = df.select(*keep, value.alias(name))
+    return computed.select(*keep, F.explode(F.array(name)).alias(name))

@@ -23,7 +23,6 @@ from changeloom.entities import (
     USERS,
     Entity,
 )
-from changeloom.functions.time import TIMESTAMP_FORMAT
 from changeloom.sources.files import read_table, spread, stream_table
 
 EVENTS = Entity(
@@ -79,7 +78,14 @@ def _fault(kind: str) -> Column:
 
 
 def _text(timestamp: str) -> Column:
-    return F.date_format(timestamp, TIMESTAMP_FORMAT)
+    """A zoneless timestamp as text with six fraction digits, in any session zone."""
+    text = F.col(timestamp).cast("string")
+    whole = F.length(text) == len("2024-01-01 00:00:00")
+    return F.rpad(
+        F.when(whole, F.concat(text, F.lit("."))).otherwise(text),
+        len("2024-01-01 00:00:00.000000"),
+        "0",
+    )
 
 
 def _versions(rows: DataFrame, key: str) -> DataFrame:
