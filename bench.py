@@ -94,7 +94,8 @@ class Bench:
         run(retained_latest(with_date(self.good("shippings")), SHIPPINGS, self.order(), AS_OF))
 
     def status_stamp(self):
-        run(stamp_status(self.good("transactions"), "transaction_id", self.order()))
+        changes = stored(self.good("transactions"), "bench_stamp")
+        run(stamp_status(changes, "transaction_id", self.order()))
 
     def star_revenue(self):
         wanted = {

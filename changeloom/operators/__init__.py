@@ -1,7 +1,7 @@
 from changeloom.operators.envelope import after_images, decode, route, route_counts, split
 from changeloom.operators.join import heavy_keys, lookup
 from changeloom.operators.keyvalue import from_key_value, to_key_value
-from changeloom.operators.serving import null_defaults, serving_projection
+from changeloom.operators.serving import null_defaults, serving_projection, serving_table
 from changeloom.operators.status import stamp_status
 from changeloom.operators.upsert import fold, latest, latest_stream, retain, retained_latest
 
@@ -20,6 +20,7 @@ __all__ = [
     "route",
     "route_counts",
     "serving_projection",
+    "serving_table",
     "split",
     "stamp_status",
     "to_key_value",

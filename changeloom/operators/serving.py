@@ -1,9 +1,14 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.entities import DATE_COLUMN, Entity
+from changeloom.functions.time import change_order
+from changeloom.operators.keyvalue import from_key_value
+from changeloom.operators.upsert import latest
 
 
 def serving_projection(dated: DataFrame, entity: Entity) -> DataFrame:
@@ -22,3 +27,13 @@ def null_defaults(
         for name in (*entity.dimensions, *entity.metrics, *entity.times, DATE_COLUMN)
     }
     return served.na.fill(fills)
+
+
+def serving_table(records: DataFrame, entity: Entity, ties: Sequence[str] = ()) -> DataFrame:
+    """The table a reader sees: key/value records decoded, newest per key, without NULLs.
+
+    ``ties`` names columns of ``records``, such as the offset, that settle equal times.
+    """
+    rows = from_key_value(records, entity, ties)
+    newest = latest(rows, entity.key, change_order(entity.modified_at, *ties))
+    return null_defaults(newest.drop(*ties), entity)

@@ -15,7 +15,7 @@ def stamp_status(
     into one task. Instead the first moment per key is aggregated (partially
     before the shuffle) and joined back on key *and* moment, which spreads even
     a key that holds most of the rows. A first change delivered twice keeps its
-    status both times.
+    status both times. ``changes`` is read twice: pass a stored table.
     """
     moment = F.struct(*(column.alias(f"o{i}") for i, column in enumerate(order)))
     timed = changes.withColumn("_moment", moment)

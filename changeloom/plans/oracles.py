@@ -209,6 +209,8 @@ ORACLES = {
         "coalesce(sex, 'null') AS sex, address, email, job, status, "
         "coalesce(birthdate, 'null') AS birthdate, last_modified_ts",
     ),
+    "serving_table": f"""
+        SELECT {COLUMNS["events"]}, {DAY} AS date FROM {LAST_SEEN} AS latest""",
     "status_stamp": f"""
         SELECT transaction_id, user_id, product_id, payment_id, shipping_id, quantity, discount,
                last_modified_ts, off,

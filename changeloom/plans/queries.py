@@ -13,7 +13,7 @@ from changeloom.entities import DATE_COLUMN
 from changeloom.functions.time import change_order, with_date
 from changeloom.operators.envelope import after_images, route_counts, split
 from changeloom.operators.keyvalue import from_key_value, to_key_value
-from changeloom.operators.serving import null_defaults, serving_projection
+from changeloom.operators.serving import null_defaults, serving_projection, serving_table
 from changeloom.operators.status import stamp_status
 from changeloom.operators.upsert import fold, latest, retained_latest
 from changeloom.plans import feeds
@@ -139,8 +139,18 @@ def serving_null_defaults(spark: SparkSession, folder: str) -> DataFrame:
     return null_defaults(served, feeds.USERS)
 
 
+def serving_table_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole serving path: records as written to the clean topic, to the table read."""
+    run = scratch_dir(spark, "serving_table")
+    feed = replace(feeds.event_stream(spark, folder), entity=LAST_SEEN)
+    dated = with_date(split(feed.raw, LAST_SEEN)[0])
+    drain([start_key_values(dated, LAST_SEEN, FileSink(f"{run}/kv"), f"{run}/checkpoint", ONCE)])
+    return serving_table(read_key_values(spark, f"{run}/kv/{LAST_SEEN.name}"), LAST_SEEN)
+
+
 def status_stamp(spark: SparkSession, folder: str) -> DataFrame:
-    return stamp_status(good(spark, folder, "transactions"), "transaction_id", log_order())
+    changes = stored(good(spark, folder, "transactions"), "status_stamp")
+    return stamp_status(changes, "transaction_id", log_order())
 
 
 def _upsert(name: str) -> Query:
@@ -404,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "serving_ingest": serving_ingest,
     "serving_projection": serving_projection_query,
     "serving_null_defaults": serving_null_defaults,
+    "serving_table": serving_table_query,
     "status_stamp": status_stamp,
     **{f"upsert_{name}": _upsert(name) for name in feeds.FEEDS},
     "retention_transactions": _retention("transactions"),

@@ -71,10 +71,16 @@ def read_changes(
     )
 
 
-def read_clean(spark: SparkSession, broker: Broker, entity: Entity) -> DataFrame:
-    """The cleaned records of an entity, as a batch: ``(key, value, off)``."""
+def read_clean(
+    spark: SparkSession, broker: Broker, entity: Entity, streaming: bool = False
+) -> DataFrame:
+    """The cleaned records of an entity: ``(key, value, off)``.
+
+    As a batch, what the topic holds now; as a stream, that and all that follows.
+    """
+    reader = spark.readStream if streaming else spark.read
     return (
-        spark.read.format("kafka")
+        reader.format("kafka")
         .options(**source_options(broker, CLEAN_TOPIC.format(name=entity.name)))
         .load()
         .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "offset AS off")

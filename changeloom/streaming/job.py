@@ -1,6 +1,6 @@
 """The streaming job: every entity from its change topic to its three outputs.
 
-    spark-submit -m changeloom.streaming.job --brokers host:9092 \\
+    spark-submit changeloom/streaming/job.py --brokers host:9092 \\
         --archive s3a://transactions --dead-letters s3a://dlq --checkpoints s3a://checkpoints
 
 Object-store settings are taken from the environment variables named in ``main``.
@@ -11,7 +11,8 @@ from __future__ import annotations
 import argparse
 import logging
 import os
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -35,6 +36,20 @@ from changeloom.streaming.sinks import (
 
 Source = Callable[[Entity], DataFrame]
 
+# Lets the entities share the executors, so that the backlog of one does not hold
+# up the batches of the others.
+SHARED = {"spark.scheduler.mode": "FAIR"}
+
+
+@contextmanager
+def _own_pool(raw: DataFrame, entity: Entity) -> Iterator[None]:
+    context = raw.sparkSession.sparkContext
+    context.setLocalProperty("spark.scheduler.pool", entity.name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty("spark.scheduler.pool", None)
+
 
 def start_fan_outs(
     source: Source,
@@ -44,7 +59,12 @@ def start_fan_outs(
     trigger: Trigger | None = None,
 ) -> list[StreamingQuery]:
     """One query per entity. ``source`` gives the raw change stream of an entity."""
-    return [fan_out(source(entity), entity, targets, carry, trigger) for entity in entities]
+    queries = []
+    for entity in entities:
+        raw = source(entity)
+        with _own_pool(raw, entity):
+            queries.append(fan_out(raw, entity, targets, carry, trigger))
+    return queries
 
 
 def start_separate(
@@ -61,13 +81,16 @@ def start_separate(
     """
     queries = []
     for entity in entities:
-        good, dead = split(source(entity), entity, carry)
+        raw = source(entity)
+        good, dead = split(raw, entity, carry)
         dated = with_date(good, entity.modified_at)
-        queries += [
-            start_key_values(dated, entity, targets.key_values, targets.checkpoints, trigger),
-            start_archive(dated, entity, targets.archive, targets.checkpoints, trigger),
-            start_dead_letters(dead, entity, targets.dead_letters, targets.checkpoints, trigger),
-        ]
+        ends = (targets.checkpoints, trigger)
+        with _own_pool(raw, entity):
+            queries += [
+                start_key_values(dated, entity, targets.key_values, *ends),
+                start_archive(dated, entity, targets.archive, *ends),
+                start_dead_letters(dead, entity, targets.dead_letters, *ends),
+            ]
     return queries
 
 
@@ -100,7 +123,7 @@ def _object_store() -> ObjectStore | None:
 def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     args = _arguments(argv)
-    spark: SparkSession = build_session("change_streams", _object_store())
+    spark: SparkSession = build_session("change_streams", _object_store(), **SHARED)
     spark.streams.addListener(ProgressListener())
 
     broker = Broker(args.brokers)

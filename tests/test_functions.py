@@ -8,6 +8,7 @@ from changeloom.operators import (
     from_key_value,
     null_defaults,
     serving_projection,
+    serving_table,
     to_key_value,
 )
 from changeloom.entities import PRODUCTS, SHIPPINGS, TRANSACTIONS, USERS
@@ -92,3 +93,18 @@ def test_null_defaults_by_role(spark):
     empty = spark.createDataFrame([("u1", *[None] * 9)], USERS.schema)
     served = serving_projection(with_date(empty), USERS)
     assert null_defaults(served, USERS, text="?").first()["birthdate"] == "?"
+
+
+def test_serving_table_is_newest_decoded_and_without_nulls(spark):
+    records = spark.createDataFrame(
+        [
+            ("u1", '{"user_id":"u1","job":"old","last_modified_ts":"2024-01-01 00:00:00.000001"}', 1),
+            ("u1", '{"user_id":"u1","job":"new","last_modified_ts":"2024-01-01 00:00:00.000001"}', 2),
+        ],
+        "key STRING, value STRING, off BIGINT",
+    )
+    table = serving_table(records, USERS, ["off"])
+    assert table.columns == USERS.serving_schema.fieldNames()
+    row = table.first()
+    assert (row["job"], row["sex"], row["date"]) == ("new", "null", "null")
+    assert table.count() == 1
