@@ -1,6 +1,6 @@
 """The streaming job: every entity from its change topic to its three outputs.
 
-    spark-submit changeloom/streaming/job.py --brokers host:9092 \\
+    spark-submit run_streams.py --brokers host:9092 \\
         --archive s3a://transactions --dead-letters s3a://dlq --checkpoints s3a://checkpoints
 
 Object-store settings are taken from the environment variables named in ``main``.
@@ -102,7 +102,12 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--checkpoints", required=True)
     parser.add_argument("--entities", nargs="+", choices=ENTITIES, default=list(ENTITIES))
     parser.add_argument("--separate", action="store_true", help="one query per output")
-    parser.add_argument("--max-offsets-per-trigger", type=int)
+    parser.add_argument(
+        "--max-offsets-per-trigger",
+        type=int,
+        default=50_000_000,
+        help="bound on a batch, so that the first catch-up is many batches (default %(default)s)",
+    )
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--interval", help='time between batches, e.g. "10 seconds"')
     return parser.parse_args(argv)
@@ -138,7 +143,3 @@ def main(argv: Sequence[str] | None = None) -> None:
     trigger = {"processingTime": args.interval} if args.interval else None
     start(source, [ENTITIES[name] for name in args.entities], targets, trigger=trigger)
     await_all(spark)
-
-
-if __name__ == "__main__":
-    main()
