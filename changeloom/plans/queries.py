@@ -31,7 +31,7 @@ from changeloom.session import scratch_dir, stored
 from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
 from changeloom.sources.layout import write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
-from changeloom.streaming.progress import progress_record
+from changeloom.streaming.progress import progress_record, progress_table
 from changeloom.streaming.sinks import (
     FanOutTargets,
     FileSink,
@@ -395,11 +395,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     dated = _event_split(spark, folder)[0]
     query = start_archive(dated, feeds.EVENTS, f"{run}/archive", f"{run}/checkpoint", ONCE)
     drain([query])
-    records = [progress_record(progress) for progress in query.recentProgress]
-    metrics = spark.createDataFrame(
-        [(record["query"], record["input_rows"]) for record in records],
-        "query STRING, input_rows BIGINT",
-    )
+    metrics = progress_table(spark, map(progress_record, query.recentProgress))
     return metrics.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
 
 

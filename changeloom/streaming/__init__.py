@@ -1,5 +1,5 @@
 from changeloom.streaming.lifecycle import await_all, drain
-from changeloom.streaming.progress import ProgressListener, progress_record
+from changeloom.streaming.progress import ProgressListener, progress_record, progress_table
 from changeloom.streaming.sinks import (
     FanOutTargets,
     FileSink,
@@ -20,6 +20,7 @@ __all__ = [
     "drain",
     "fan_out",
     "progress_record",
+    "progress_table",
     "start_archive",
     "start_dead_letters",
     "start_key_values",

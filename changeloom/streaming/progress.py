@@ -2,13 +2,20 @@ from __future__ import annotations
 
 import json
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 logger = logging.getLogger("changeloom.streaming.progress")
 
 
+PROGRESS = (
+    "event STRING, query STRING, batch_id BIGINT, input_rows BIGINT, rows_per_sec DOUBLE, "
+    "batch_duration_ms BIGINT, watermark STRING"
+)
+
+
 def log_record(record: dict) -> None:
     logger.info(json.dumps(record))
 
@@ -26,6 +33,12 @@ def progress_record(progress) -> dict:
     }
 
 
+def progress_table(spark: SparkSession, records: Iterable[dict]) -> DataFrame:
+    """Progress records as a table, one row per micro-batch, e.g. to append to a metrics store."""
+    rows = [record for record in records if record["event"] == "progress"]
+    return spark.createDataFrame(rows, PROGRESS)
+
+
 class ProgressListener(StreamingQueryListener):
     """Passes start, progress and end of every query to ``emit``, one dict each."""
 

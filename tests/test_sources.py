@@ -2,11 +2,12 @@ import glob
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.errors import AnalysisException
 
 from changeloom.entities import ENTITIES, TRANSACTIONS, USERS
 from changeloom.session import ObjectStore, scratch_dir, stored
 from changeloom.sources.files import read_table, spread, stream_table
-from changeloom.sources.kafka import Broker, sink_options, source_options
+from changeloom.sources.kafka import Broker, read_changes, sink_options, source_options
 from changeloom.sources.layout import write_indexed, write_sorted
 from changeloom.streaming.job import _arguments
 from changeloom.streaming.lifecycle import ONCE, drain
@@ -114,6 +115,11 @@ def test_kafka_options():
     }
 
 
+def test_kafka_without_its_package_says_so(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        read_changes(spark, Broker("h:1"), USERS)
+
+
 def test_object_store_settings_come_from_the_caller():
     settings = ObjectStore("http://store:9000", "id", "secret", tls=False).settings()
     assert settings["spark.hadoop.fs.s3a.access.key"] == "id"

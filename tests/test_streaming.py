@@ -18,6 +18,7 @@ from changeloom.streaming import (
     await_all,
     drain,
     fan_out,
+    progress_table,
     start_archive,
     start_dead_letters,
     start_key_values,
@@ -203,6 +204,9 @@ def test_listener_reports_start_progress_and_end(spark, inbox, targets):
     assert progress[0]["batch_duration_ms"] > 0
     assert sum(event["input_rows"] for event in progress) >= len(FIRST)
     json.dumps(events)
+    table = progress_table(spark, events)
+    assert table.count() == len(progress)
+    assert table.first()["query"] == "fan_out_users"
 
 
 def test_listener_logs_json_lines(caplog):
