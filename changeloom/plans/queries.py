@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.entities import DATE_COLUMN
+from changeloom.entities import DATE_COLUMN, ENTITIES
 from changeloom.functions.time import change_order, with_date
 from changeloom.operators.envelope import after_images, route_counts, split
 from changeloom.operators.keyvalue import from_key_value, to_key_value
@@ -66,7 +67,7 @@ def good(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFram
 def current(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """The latest-state table of an entity."""
     rows = good(spark, folder, name, *columns)
-    return latest(rows, feeds.FEEDS[name](spark, folder).entity.key, log_order()).drop("off")
+    return latest(rows, ENTITIES[name].key, log_order()).drop("off")
 
 
 def text_date(df: DataFrame) -> DataFrame:
@@ -85,23 +86,20 @@ def _cdc_good(name: str) -> Query:
     return lambda spark, folder: good(spark, folder, name).drop("off")
 
 
+def _over_damaged(spark: SparkSession, folder: str, query: Callable[[feeds.Feed], DataFrame]):
+    damaged = (feeds.transactions, feeds.shippings, feeds.events)
+    return reduce(DataFrame.unionByName, (query(feed(spark, folder)) for feed in damaged))
+
+
 def cdc_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
-    damaged = [feed(spark, folder) for feed in (feeds.transactions, feeds.shippings, feeds.events)]
-    first, *others = [split(feed.raw, feed.entity)[1] for feed in damaged]
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    return _over_damaged(spark, folder, lambda feed: split(feed.raw, feed.entity)[1])
 
 
 def cdc_route_counts(spark: SparkSession, folder: str) -> DataFrame:
-    damaged = [feed(spark, folder) for feed in (feeds.transactions, feeds.shippings, feeds.events)]
-    first, *others = [
-        route_counts(feed.raw, feed.entity).withColumn("entity", F.lit(feed.entity.name))
-        for feed in damaged
-    ]
-    for other in others:
-        first = first.unionByName(other)
-    return first
+    def counts(feed: feeds.Feed) -> DataFrame:
+        return route_counts(feed.raw, feed.entity).withColumn("entity", F.lit(feed.entity.name))
+
+    return _over_damaged(spark, folder, counts)
 
 
 def cdc_date(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,9 +157,10 @@ def _upsert(name: str) -> Query:
 
 def _retention(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        entity = feeds.FEEDS[name](spark, folder).entity
         dated = with_date(good(spark, folder, name))
-        return text_date(retained_latest(dated, entity, log_order(), AS_OF).drop("off"))
+        return text_date(
+            retained_latest(dated, ENTITIES[name], log_order(), AS_OF).drop("off")
+        )
 
     return run
 

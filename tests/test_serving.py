@@ -114,7 +114,9 @@ def test_find(tables, rows):
 
 
 def test_recent(tables):
-    newest = recent(tables["transactions"], "last_modified_ts", "2024-01-01", "2024-01-03", 2, "transaction_id")
+    newest = recent(
+        tables["transactions"], "last_modified_ts", "2024-01-01", "2024-01-03", 2, "transaction_id"
+    )
     assert [row["transaction_id"] for row in newest.collect()] == ["t3", "t2"]
     assert "TakeOrderedAndProject" in plan_of(newest)
 
