@@ -47,6 +47,8 @@ def lookup(
     """
     if not heavy:
         return facts.join(dimension, key, "left")
+    if not spread_by:
+        raise ValueError("heavy keys need columns to spread their rows by")
     if salts is None:
         salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

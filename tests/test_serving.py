@@ -76,6 +76,11 @@ def test_lookup_without_heavy_keys_is_a_plain_join(skewed, dimension):
     assert "_salt" not in plan and "Generate" not in plan
 
 
+def test_lookup_of_heavy_keys_needs_something_to_spread_by(skewed, dimension):
+    with pytest.raises(ValueError):
+        lookup(skewed, dimension, "k", ["hot"])
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     transactions = spark.createDataFrame(

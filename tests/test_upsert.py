@@ -54,6 +54,26 @@ def test_group_limit_runs_before_the_shuffle_and_columns_are_pruned(spark, tmp_p
     assert "job" not in plan[plan.index("ReadSchema") :]
 
 
+def test_a_dominant_key_is_cut_down_before_the_shuffle(spark):
+    """Every task passes on one row of a key that holds most of the changes."""
+    df = spark.range(0, 8000, numPartitions=8).selectExpr(
+        "IF(id % 4 = 0, concat('k', id), 'hot') AS user_id",
+        "CAST(id AS STRING) AS job", f"'{T1}' AS last_modified_ts", "'s' AS status", "id AS off",
+    )
+    table = latest(df, "user_id", order())
+    assert table.filter("user_id = 'hot'").collect()[0]["off"] == 7999
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = latest(df, "user_id", order())._jdf.queryExecution().executedPlan()
+        plan.execute().count()
+        while plan.nodeName() != "Exchange":
+            plan = plan.children().apply(0)
+        written = plan.metrics().apply("shuffleRecordsWritten").value()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert written == 2000 + 8
+
+
 def test_key_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "changes")
     changes(spark, ("a", "x", T1, "INSERT", 1)).write.parquet(path)
