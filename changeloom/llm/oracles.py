@@ -4,6 +4,30 @@
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
+    "op2_ngram_jaccard_join": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, w[p : p + 4] AS run
+            FROM d, LATERAL (SELECT unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p)
+            WHERE len(w) > 0
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM s AS a JOIN s AS b ON a.run = b.run AND a.doc_id <> b.doc_id GROUP BY ALL
+        ),
+        links AS (
+            SELECT x, y FROM shared JOIN sizes AS a ON a.doc_id = x JOIN sizes AS b ON b.doc_id = y
+            WHERE 10 * shared.n >= 8 * (a.n + b.n - shared.n)
+        ),
+        reach(doc_id, class_id) AS (
+            SELECT doc_id, doc_id FROM d
+            UNION SELECT y, class_id FROM reach JOIN links ON x = doc_id
+        )
+        SELECT doc_id, min(class_id) AS class_id,
+               (SELECT count(*) FROM links WHERE x = reach.doc_id) AS n_links
+        FROM reach GROUP BY doc_id
+    """,
     "op7_substring_dedup": f"""
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
         s AS (

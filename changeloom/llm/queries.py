@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard import jaccard_join
 from .scratch import documents
 from .substring import dedup_substrings
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard_join(documents(spark, folder))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_substrings(documents(spark, folder))
     return found.select(
@@ -17,5 +23,6 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op7_substring_dedup": op7_substring_dedup,
 }
