@@ -5,16 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import leaks
 from .jaccard import jaccard_join
+from .quality import fit, graded, score
 from .scratch import documents
+from .sentencepiece import decode, encode
+from .stages import piece_model
 from .substring import dedup_substrings
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = piece_model()
+    found = decode(encode(documents(spark, folder), model), model)
+    return found.select(
+        "row.doc_id",
+        F.size("pieces").cast("long").alias("n_pieces"),
+        "ids_crc32",
+        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     found = jaccard_join(documents(spark, folder))
     return found.select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = fit(docs, graded(documents(spark, folder, "labels")))
+    found = score(docs, model)
+    return found.select(
+        "row.doc_id",
+        F.round("expected_grade", 6).alias("expected_grade"),
+        F.round("p_top", 6).alias("p_top"),
+        (F.col("p_top") >= 0.5).alias("kept"),
+    )
+
+
+def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = leaks(documents(spark, folder), documents(spark, folder, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "item_id",
+        F.round("share", 6).alias("share"),
+        F.round("answer", 6).alias("answer"),
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_substrings(documents(spark, folder))
     return found.select(
@@ -23,6 +60,9 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_quality_classifier": op3_quality_classifier,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
 }

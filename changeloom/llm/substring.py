@@ -126,11 +126,11 @@ def _anchors(width: int):
     return run
 
 
-def _candidates(width: int):
+def _candidates(width: int, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.asarray(batch.column("key"))
-            for texts in pieces(batch.column("row").field("text_")):
+            for texts in pieces(batch.column("row").field(text)):
                 windows = _Windows(texts, width)
                 at = windows.without(_flat(batch.column("lone_anchors"), texts))
                 hashes, row = windows.hashes(at), windows.row[at]
@@ -178,10 +178,10 @@ def kept_texts(texts: Texts, keep: np.ndarray) -> pa.Array:
     ).cast(pa.string())
 
 
-def _remove(width: int):
+def _remove(width: int, text: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in pieces(batch.column("row").field("text_")):
+            for texts in pieces(batch.column("row").field(text)):
                 windows = _Windows(texts, width)
                 found = np.zeros(len(texts.words), bool)
                 found[windows.starts[windows.without(_flat(batch.column("lone_anchors"), texts))]] = True
@@ -201,7 +201,7 @@ def _remove(width: int):
                 offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(texts)))])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("row").field("row_").slice(texts.rows.start, len(texts)),
+                        batch.column("row").slice(texts.rows.start, len(texts)),
                         pa.array(texts.counts.astype(np.int64)),
                         pa.array(removed.astype(np.int64)),
                         pa.ListArray.from_arrays(offsets.astype(np.int32), spans),
@@ -231,15 +231,16 @@ def dedup_substrings(
     length of each duplicate span) and ``kept`` (the other words, joined by one space).
     """
     base = docs.select(
-        F.struct(F.struct("*").alias("row_"), F.col(text).alias("text_")).alias("row"),
-        F.xxhash64(id, text).alias("key"),
+        F.struct("*").alias("row"), F.xxhash64(id, text).alias("key"), F.col(text).alias("text")
     )
-    anchors = base.select("key", F.col("row.text_").alias("text")).mapInArrow(_anchors(width), _RUN)
+    anchors = base.select("key", "text").mapInArrow(_anchors(width), _RUN)
     lone = stored(_lone(anchors, "lone_anchors"), "substring-anchors")
-    marked = base.join(lone, "key", "left")
-    windows = marked.mapInArrow(_candidates(width), _RUN)
-    kind = f"row {docs.select(F.struct('*').alias('r')).schema['r'].dataType.simpleString()}"
+    # Both passes below read whole rows, so that their exchange is one and the same.
+    marked = base.select("row", "key").join(lone, "key", "left")
+    at = docs.columns.index(text)
+    windows = marked.mapInArrow(_candidates(width, at), _RUN)
+    kind = f"row {base.schema['row'].dataType.simpleString()}"
     return marked.join(_lone(windows, "lone_windows"), "key", "left").mapInArrow(
-        _remove(width),
+        _remove(width, at),
         f"{kind}, n_words long, n_removed long, spans array<struct<start:int,length:int>>, kept string",
     )
