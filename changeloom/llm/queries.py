@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from .decontaminate import leaks
 from .jaccard import jaccard_join
 from .quality import fit, graded, score
-from .scratch import documents
+from .scratch import documents, scratch_dir
 from .sentencepiece import decode, encode
-from .stages import piece_model
+from .stages import tokenizer_file
 from .substring import dedup_substrings
+from .tokens import read_tokens, write_tokens
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    model = piece_model()
+    model = tokenizer_file("piece_bpe_32k.model")
     found = decode(encode(documents(spark, folder), model), model)
     return found.select(
         "row.doc_id",
@@ -59,10 +60,18 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "token-ids")
+    write_tokens(documents(spark, folder), path, tokenizer_file("byte_bpe_50k.json"))
+    found = read_tokens(spark, path)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_token_ids": op8_token_ids,
 }

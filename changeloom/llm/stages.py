@@ -18,15 +18,15 @@ from .substring import dedup_substrings
 TOKENIZERS = "TOKENIZER_FOLDER"
 
 
-def piece_model(folder: str | None = None) -> str:
-    """Path of the SentencePiece model, in ``folder``, the folder that the environment names,
-    or the installed package of public tokenizers."""
+def tokenizer_file(name: str, folder: str | None = None) -> str:
+    """Path of a vocabulary, in ``folder``, the folder that the environment names, or the
+    installed package of public tokenizers."""
     folder = folder or os.environ.get(TOKENIZERS)
     if folder:
-        return os.path.join(folder, "piece_bpe_32k.model")
+        return os.path.join(folder, name)
     import public_tokenizers
 
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, and whether they decode to its text."""
-    model = piece_model()
+    model = tokenizer_file("piece_bpe_32k.model")
     return decode(encode(docs, model), model).select(
         "row.doc_id",
         "pieces",
