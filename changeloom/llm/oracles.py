@@ -28,6 +28,26 @@ ORACLES = {
                (SELECT count(*) FROM links WHERE x = reach.doc_id) AS n_links
         FROM reach GROUP BY doc_id
     """,
+    "op4_embedding_near_dedup": """
+        WITH RECURSIVE e AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x : x::DOUBLE) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x : x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM e AS a JOIN e AS b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+        ),
+        reach(vec_id, component_id) AS (
+            SELECT vec_id, vec_id FROM embeddings
+            UNION SELECT y, component_id FROM reach JOIN links ON x = vec_id
+        )
+        SELECT vec_id, (SELECT count(*) FROM links WHERE x = reach.vec_id) AS n_links,
+               min(component_id) AS component_id, vec_id = min(component_id) AS kept
+        FROM reach GROUP BY vec_id
+    """,
     "op7_substring_dedup": f"""
         WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
         s AS (

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontaminate import leaks
+from .embeddings import embedding_links
 from .jaccard import jaccard_join
 from .quality import fit, graded, score
 from .scratch import documents, scratch_dir
@@ -43,6 +44,10 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links(documents(spark, folder, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = leaks(documents(spark, folder), documents(spark, folder, "benchmark"))
     return found.select(
@@ -71,6 +76,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_ids": op8_token_ids,
