@@ -11,9 +11,11 @@ from .jaccard import jaccard_join
 from .quality import fit, graded, score
 from .scratch import documents, scratch_dir
 from .sentencepiece import decode, encode
+from .sharding import shard_rows
 from .stages import tokenizer_file
 from .substring import dedup_substrings
 from .tokens import read_tokens, write_tokens
+from .urls import filter_urls
 
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,6 +60,10 @@ def op5_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     )
 
 
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(documents(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
 def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = dedup_substrings(documents(spark, folder))
     return found.select(
@@ -72,12 +78,18 @@ def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shard_rows(documents(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_url_filter": op6_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_ids": op8_token_ids,
+    "op10_sharding": op10_sharding,
 }
