@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import leaks
 from .embeddings import embedding_links
 from .jaccard import jaccard_join
+from .lm_score import score as lm_score
 from .quality import fit, graded, score
 from .scratch import documents, scratch_dir
 from .sentencepiece import decode, encode
@@ -78,6 +79,11 @@ def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    found = lm_score(documents(spark, folder), documents(spark, folder, "labels"))
+    return found.select("row.doc_id", "n_tokens", F.round("score", 6).alias("score"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(documents(spark, folder)).withColumnRenamed("id", "doc_id")
 
@@ -91,5 +97,6 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_token_ids": op8_token_ids,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
 }
