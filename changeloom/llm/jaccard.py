@@ -11,8 +11,8 @@ runs follows from the wanted recall at the threshold.
 * Equal sets are one class from the start, so a group of copies costs one row a node.
 * Nodes hold 8-byte names only. Sets travel for classes that share a node, once for each
   distinct membership, since isolated pairs meet again in most runs.
-* A node that stays large at the last level (many similar sets) is compared in blocks of
-  bounded size, a task for each pair of blocks. Intersections are counted in the task; no
+* A node that splitting leaves together (many similar sets) is compared in blocks of bounded
+  size, a task for each pair of blocks. Intersections are counted in the task; no
   pair is emitted. A pair found in several nodes counts in the first of them only.
 
 Defined results: texts without words (null, empty) link with nothing; a text of fewer than
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -244,28 +244,40 @@ def _further(nodes: DataFrame, classes: DataFrame, n_runs: int) -> DataFrame:
     children = nodes.join(classes.select("set", "tokens"), "set").withColumn(
         "child", F.explode(F.array(F.lit(0), F.lit(1)))
     )
-    return children.select("set", "run", F.xxhash64("node", "child", token).alias("node"))
+    node = F.xxhash64("node", "child", token)
+    return children.select("set", "run", F.col("node").alias("parent"), "m", node.alias("node"))
 
 
 def _leaves(classes: DataFrame, n_runs: int) -> DataFrame:
-    """Nodes to compare, as (node, set): no larger than wanted, or at the last level."""
+    """Nodes to compare, as (node, set): no larger than wanted, or at the last level, or such
+    that a split leaves most members together, as their sets are similar."""
     level = classes.select("set", F.posexplode("nodes").alias("run", "node"))
-    leaves = None
-    for depth in range(FURTHER + 1):
-        sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-        level = stored(level.join(sizes, "node"), "jaccard-level")
-        done = level if depth == FURTHER else level.filter(F.col("m") <= NODE)
-        leaves = done if leaves is None else leaves.union(done)
-        large = level.filter(F.col("m") > NODE)
-        if depth == FURTHER or large.isEmpty():
+    sizes = level.groupBy("node").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    level = stored(level.join(sizes, "node"), "jaccard-level")
+    leaves = level.filter(F.col("m") <= NODE)
+    large = level.filter(F.col("m") > NODE)
+    for _ in range(FURTHER):
+        if large.isEmpty():
             break
-        level = _further(large, classes, n_runs)
+        children = stored(_further(large, classes, n_runs), "jaccard-children")
+        sizes = children.groupBy("parent", "node").agg(
+            F.count(F.lit(1)).alias("size"), F.first("m").alias("m")
+        )
+        sizes = stored(sizes, "jaccard-sizes")
+        largest = sizes.groupBy(F.col("parent").alias("node")).agg(F.max(2 * F.col("size") - F.col("m")).alias("x"))
+        whole = largest.filter("x > 0").select("node")
+        leaves = leaves.union(large.join(whole, "node", "left_semi").select(level.columns))
+        split = children.join(whole.withColumnRenamed("node", "parent"), "parent", "left_anti")
+        sizes = sizes.filter("size > 1").select("node", F.col("size").alias("m"))
+        level = stored(split.drop("m").join(sizes, "node").select(level.columns), "jaccard-level")
+        leaves = leaves.union(level.filter(F.col("m") <= NODE))
+        large = level.filter(F.col("m") > NODE)
+    leaves = leaves.union(large)
     members = leaves.groupBy("node").agg(
         F.count(F.lit(1)).alias("m"), F.sum(F.xxhash64("set") % (1 << 40)).alias("content")
     )
-    same = Window.partitionBy("m", "content")
-    distinct = members.withColumn("least", F.min("node").over(same)).filter("node = least")
-    return leaves.drop("m", "run").join(distinct.select("node", "m"), "node")
+    distinct = members.groupBy("m", "content").agg(F.min("node").alias("node"))
+    return leaves.select("node", "set").join(distinct.select("node"), "node")
 
 
 def jaccard_join(
@@ -304,7 +316,8 @@ def jaccard_join(
     named = leaves.groupBy("set").agg(F.collect_list("node").alias("nodes"))
     named = named.join(classes.select("set", "copies", "size", "key"), "set")
     named = stored(named, "jaccard-named")
-    wanted = named.select("key")
+    # Texts are always dealt out by key: no other plan holds when the wanted keys are many.
+    wanted = named.select("key").hint("merge")
     sets = (
         base.select("key", "text")
         .join(wanted, "key", "left_semi")
@@ -317,8 +330,7 @@ def jaccard_join(
     )
     blocks = F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("runs_in") / BLOCK_RUNS)).cast("int")
     dealt = (
-        leaves.drop("m")
-        .join(weight.select("node", blocks.alias("blocks")), "node")
+        leaves.join(weight.select("node", blocks.alias("blocks")), "node")
         .withColumn("side", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
