@@ -1,4 +1,4 @@
-from changeloom.operators.envelope import after_images, decode, route, route_counts, split
+from changeloom.operators.envelope import after_images, route, route_counts, split
 from changeloom.operators.join import heavy_keys, lookup
 from changeloom.operators.keyvalue import from_key_value, to_key_value
 from changeloom.operators.serving import null_defaults, serving_projection, serving_table
@@ -7,7 +7,6 @@ from changeloom.operators.upsert import fold, latest, latest_stream, retain, ret
 
 __all__ = [
     "after_images",
-    "decode",
     "fold",
     "from_key_value",
     "heavy_keys",

@@ -16,76 +16,57 @@ from changeloom.entities import ENVELOPE, Entity
 from changeloom.functions.columns import evaluated_once
 
 
-def after_images(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
-    """``(after, *carry)`` for every message that holds a new row image.
+GOOD, DEAD, DROPPED = "good", "dead_letter", "dropped"
 
-    Deletes, tombstones and messages whose envelope does not parse have none.
-    """
-    parsed = evaluated_once(raw, "envelope", F.from_json("value", ENVELOPE), *carry)
-    return parsed.select(F.col("envelope.payload.after").alias("after"), *carry).filter(
-        F.col("after").isNotNull()
-    )
 
+def _images(raw: DataFrame, carry: Sequence[str]) -> DataFrame:
+    parsed = evaluated_once(raw, "envelope", F.from_json("value", ENVELOPE), *carry)
+    return parsed.select(F.col("envelope.payload.after").alias("after"), *carry)
 
-def decode(raw: DataFrame, entity: Entity, carry: Sequence[str] = ()) -> DataFrame:
-    """``(after, data, *carry)`` with ``data`` the row image as a typed struct."""
-    images = after_images(raw, carry)
-    return evaluated_once(images, "data", F.from_json("after", entity.schema), "after", *carry)
 
+def after_images(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``(after, *carry)`` for every message that holds a new row image.
 
-def _keyless(entity: Entity):
-    # Unreadable JSON gives a struct of NULLs and empty text gives a NULL struct,
-    # so the key test alone would do; both are named because both are meant.
-    return F.col("data").isNull() | F.col("data").getField(entity.key).isNull()
+    Deletes, tombstones and messages whose envelope does not parse have none.
+    """
+    return _images(raw, carry).filter("after IS NOT NULL")
 
 
 def route(raw: DataFrame, entity: Entity, carry: Sequence[str] = ()) -> DataFrame:
-    """``(data, raw_value, *carry)``: exactly one of the first two is set.
+    """``(route, after, data, *carry)`` for every message, parsed once.
 
-    One parsed frame that both outputs can be read from, for callers that persist it.
+    A message without a row image is dropped. An image is good when it yields a
+    primary key, which unreadable text never does, and a dead letter otherwise.
     """
-    dead = _keyless(entity)
-    return decode(raw, entity, carry).select(
-        F.when(~dead, F.col("data")).alias("data"),
-        F.when(dead, F.col("after")).alias("raw_value"),
-        *carry,
+    typed = F.from_json("after", entity.schema)
+    rows = evaluated_once(_images(raw, carry), "data", typed, "after", *carry)
+    way = (
+        F.when(F.col(f"data.{entity.key}").isNotNull(), GOOD)
+        .when(F.col("after").isNotNull(), DEAD)
+        .otherwise(DROPPED)
     )
+    return rows.select(way.alias("route"), "after", "data", *carry)
 
 
-def good_rows(routed: DataFrame, entity: Entity, carry: Sequence[str] = ()) -> DataFrame:
-    return routed.filter(F.col("raw_value").isNull()).select("data.*", *carry)
+def good_rows(routed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Typed rows."""
+    return routed.filter(F.col("route") == GOOD).select("data.*", *carry)
 
 
 def dead_letters(routed: DataFrame, entity: Entity) -> DataFrame:
-    return routed.filter(F.col("raw_value").isNotNull()).select(
-        "raw_value", F.lit(entity.name).alias("entity")
-    )
+    """``(raw_value, entity)``: row images kept as text."""
+    unread = routed.filter(F.col("route") == DEAD)
+    return unread.select(F.col("after").alias("raw_value"), F.lit(entity.name).alias("entity"))
 
 
 def split(
     raw: DataFrame, entity: Entity, carry: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
-    """``(good, dead_letters)``: typed rows, and ``(raw_value, entity)`` for the rest.
-
-    A row image is dead when it does not parse or lacks the primary key.
-    """
-    images = decode(raw, entity, carry)
-    dead = _keyless(entity)
-    good = images.filter(~dead).select("data.*", *carry)
-    bad = images.filter(dead).select(
-        F.col("after").alias("raw_value"), F.lit(entity.name).alias("entity")
-    )
-    return good, bad
+    """``(good, dead_letters)`` of a change stream or table."""
+    routed = route(raw, entity, carry)
+    return good_rows(routed, carry), dead_letters(routed, entity)
 
 
 def route_counts(raw: DataFrame, entity: Entity) -> DataFrame:
     """How many messages went each way, in one pass over the input."""
-    parsed = evaluated_once(raw, "envelope", F.from_json("value", ENVELOPE))
-    images = parsed.select(F.col("envelope.payload.after").alias("after"))
-    rows = evaluated_once(images, "data", F.from_json("after", entity.schema), "after")
-    outcome = (
-        F.when(F.col("after").isNull(), "dropped")
-        .when(_keyless(entity), "dead_letter")
-        .otherwise("good")
-    )
-    return rows.groupBy(outcome.alias("route")).agg(F.count(F.lit(1)).alias("messages"))
+    return route(raw, entity).groupBy("route").agg(F.count(F.lit(1)).alias("messages"))

@@ -9,14 +9,17 @@ from changeloom.entities import Entity
 from changeloom.functions.columns import evaluated_once
 
 
-def to_key_value(df: DataFrame, key: str) -> DataFrame:
-    """``(key, value)``: the key as text and the whole row as JSON, NULLs left out.
+def to_key_value(df: DataFrame, key: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``(key, value, *carry)``: the key as text and the row as JSON, NULLs left out.
+
+    Columns to ``carry`` stand beside the JSON, not in it.
 
     Keyed by the primary key so that every change of a row lands, in order, in
     one topic partition.
     """
+    row = F.to_json(F.struct(*(name for name in df.columns if name not in carry)))
     return df.select(
-        F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value")
+        F.col(key).cast("string").alias("key"), row.alias("value"), *carry
     )
 
 

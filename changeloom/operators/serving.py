@@ -29,11 +29,14 @@ def null_defaults(
     return served.na.fill(fills)
 
 
-def serving_table(records: DataFrame, entity: Entity, ties: Sequence[str] = ()) -> DataFrame:
+def serving_table(records: DataFrame, entity: Entity, ties: Sequence[str]) -> DataFrame:
     """The table a reader sees: key/value records decoded, newest per key, without NULLs.
 
-    ``ties`` names columns of ``records``, such as the offset, that settle equal times.
+    ``ties`` names columns of ``records``, such as the position in the log, that settle
+    equal times; without any, equal times would leave the row to chance.
     """
+    if not ties:
+        raise ValueError("name the columns that settle equal times")
     rows = from_key_value(records, entity, ties)
     newest = latest(rows, entity.key, change_order(entity.modified_at, *ties))
     return null_defaults(newest.drop(*ties), entity)

@@ -23,7 +23,7 @@ from changeloom.entities import (
     USERS,
     Entity,
 )
-from changeloom.sources.files import read_table, spread, stream_table
+from changeloom.sources.files import read_table, stream_table
 
 EVENTS = Entity(
     name="events",
@@ -125,7 +125,7 @@ def _as_entity(rows: DataFrame, entity: Entity, **columns: Column) -> Feed:
 
 
 def transactions(spark: SparkSession, folder: str) -> Feed:
-    lines = spread(read_table(spark, folder, "lineitem"))
+    lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders")
     return _as_entity(
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]),
@@ -145,7 +145,7 @@ def transactions(spark: SparkSession, folder: str) -> Feed:
 
 def shippings(spark: SparkSession, folder: str) -> Feed:
     return _as_entity(
-        spread(read_table(spark, folder, "lineitem")),
+        read_table(spark, folder, "lineitem"),
         SHIPPINGS,
         shipping_id=_line_id(),
         shipping_address=F.concat(F.lit("ADDR-"), F.col("l_suppkey").cast("string")),
@@ -231,7 +231,7 @@ def _events(table: DataFrame) -> Feed:
 
 
 def events(spark: SparkSession, folder: str) -> Feed:
-    return _events(spread(read_table(spark, folder, "events")))
+    return _events(read_table(spark, folder, "events"))
 
 
 def event_stream(spark: SparkSession, folder: str) -> Feed:

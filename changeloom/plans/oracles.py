@@ -5,6 +5,7 @@ from __future__ import annotations
 TEXT_TIME = "'%Y-%m-%d %H:%M:%S.%f'"
 DAY = "substr(last_modified_ts, 1, 10)"
 
+# Names and order of the columns are the data contract.
 COLUMNS = {
     "transactions": (
         "transaction_id, user_id, product_id, payment_id, shipping_id, "
@@ -127,7 +128,10 @@ def _current(name: str, key: str | None = None) -> str:
 
 
 def _json(columns: list[str]) -> str:
-    return "CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in columns) + ") AS VARCHAR)"
+    # A 32-bit number stands in its shortest text.
+    short = {c: f"CAST(CAST({c} AS VARCHAR) AS DOUBLE)" for c in ("rating", "unit_price")}
+    pairs = ", ".join(f"'{c}', {short.get(c, c)}" for c in columns)
+    return f"CAST(json_object({pairs}) AS VARCHAR)"
 
 
 def _image(name: str, without_key: bool = False) -> str:
@@ -158,7 +162,9 @@ def _retained(name: str) -> str:
 
 
 def _key_values(name: str) -> str:
-    pairs = COLUMNS[name].split(", ") + ["date"]
+    # Fields without a value are left out of the JSON.
+    empty = ("phone_number", "sex", "birthdate") if name == "users" else ()
+    pairs = [c for c in COLUMNS[name].split(", ") if c not in empty] + ["date"]
     return f"""SELECT {KEYS[name]} AS key, {_json(pairs)} AS value
                FROM (SELECT *, {DAY} AS date FROM {_good(name)} AS good)
                     AS dated"""
@@ -171,10 +177,16 @@ def _serving(name: str, columns: str) -> str:
 
 LAST_SEEN = _current("events", "user_id")
 DAMAGED = ("transactions", "shippings", "events")
-PUBLISHED = f"""
-    SELECT 'archive' AS output, event_id AS content FROM {_good("events")} AS good
-    UNION ALL SELECT 'key_value', value FROM ({_key_values("events")}) AS records
-    UNION ALL SELECT 'dead_letter', raw_value FROM ({_dead_letters("events")}) AS dead"""
+
+
+def _published(name: str) -> str:
+    return f"""
+    SELECT 'archive' AS output, {KEYS[name]} AS content FROM {_good(name)} AS good
+    UNION ALL SELECT 'key_value', value FROM ({_key_values(name)}) AS records
+    UNION ALL SELECT 'dead_letter', raw_value FROM ({_dead_letters(name)}) AS dead"""
+
+
+PUBLISHED = _published("events")
 
 ORACLES = {
     "cdc_after": f"""
@@ -211,6 +223,12 @@ ORACLES = {
     ),
     "serving_table": f"""
         SELECT {COLUMNS["events"]}, {DAY} AS date FROM {LAST_SEEN} AS latest""",
+    "serving_table_ties": f"""
+        SELECT event_id, user_id, event_type, value, concat({DAY}, ' 00:00:00.000000')
+               AS last_modified_ts, {DAY} AS date
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY user_id ORDER BY {DAY} DESC, off DESC) AS newest
+              FROM {_good("events")} AS good) AS ranked WHERE newest = 1""",
     "status_stamp": f"""
         SELECT transaction_id, user_id, product_id, payment_id, shipping_id, quantity, discount,
                last_modified_ts, off,
@@ -299,8 +317,15 @@ ORACLES = {
     "stream_upsert": f"""
         SELECT {COLUMNS["events"]}, {DAY} AS date
         FROM {LAST_SEEN} AS latest""",
+    "stream_upsert_transactions": _retained("transactions"),
     "stream_fanout": PUBLISHED,
+    **{
+        f"stream_fanout_{name}": _published(name)
+        for name in ("users", "products", "payments", "transactions", "shippings")
+    },
+    "stream_fresh_checkpoint": PUBLISHED,
+    "stream_mode_switch": PUBLISHED,
     "stream_restart": PUBLISHED,
     "stream_progress": """
-        SELECT 'archive_events' AS query, count(*) AS input_rows FROM events""",
+        SELECT 'events-history' AS query, count(*) AS input_rows FROM events""",
 }

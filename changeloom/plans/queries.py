@@ -32,7 +32,7 @@ from changeloom.session import scratch_dir, stored
 from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
 from changeloom.sources.layout import write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
-from changeloom.streaming.progress import progress_record, progress_table
+from changeloom.streaming.progress import progress_table, recorded
 from changeloom.streaming.sinks import (
     FanOutTargets,
     FileSink,
@@ -40,8 +40,9 @@ from changeloom.streaming.sinks import (
     start_archive,
     start_dead_letters,
     start_key_values,
-    start_upserts,
 )
+from changeloom.streaming.job import start_separate
+from changeloom.streaming.tables import compact, read_upserts, start_upserts, vacuum
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -141,9 +142,23 @@ def serving_table_query(spark: SparkSession, folder: str) -> DataFrame:
     """The whole serving path: records as written to the clean topic, to the table read."""
     run = scratch_dir(spark, "serving_table")
     feed = replace(feeds.event_stream(spark, folder), entity=LAST_SEEN)
-    dated = with_date(split(feed.raw, LAST_SEEN)[0])
+    dated = with_date(split(feed.raw, LAST_SEEN, ["off"])[0])
+    return _served(spark, run, dated)
+
+
+def _served(spark: SparkSession, run: str, dated: DataFrame) -> DataFrame:
     drain([start_key_values(dated, LAST_SEEN, FileSink(f"{run}/kv"), f"{run}/checkpoint", ONCE)])
-    return serving_table(read_key_values(spark, f"{run}/kv/{LAST_SEEN.name}"), LAST_SEEN)
+    records = read_key_values(spark, f"{run}/kv/{LAST_SEEN.name}")
+    return serving_table(records, LAST_SEEN, ["off"])
+
+
+def serving_table_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with times cut to the day, so that most users have equal newest times."""
+    run = scratch_dir(spark, "serving_table_ties")
+    feed = replace(feeds.event_stream(spark, folder), entity=LAST_SEEN)
+    day = F.concat(F.substring("last_modified_ts", 1, 10), F.lit(" 00:00:00.000000"))
+    feed = replace(feed, rows=feed.rows.withColumn("last_modified_ts", day))
+    return _served(spark, run, with_date(split(feed.raw, LAST_SEEN, ["off"])[0]))
 
 
 def status_stamp(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,7 +325,7 @@ def stream_kv_sink(spark: SparkSession, folder: str) -> DataFrame:
     run = scratch_dir(spark, "stream_kv_sink")
     dated = _event_split(spark, folder)[0]
     drain([start_key_values(dated, feeds.EVENTS, FileSink(f"{run}/kv"), f"{run}/checkpoint", ONCE)])
-    return read_key_values(spark, f"{run}/kv/events")
+    return read_key_values(spark, f"{run}/kv/events").select("key", "value")
 
 
 def stream_archive(spark: SparkSession, folder: str) -> DataFrame:
@@ -344,27 +359,49 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     run = scratch_dir(spark, "stream_upsert")
     dated = _event_split(spark, folder, LAST_SEEN)[0]
     drain([start_upserts(dated, LAST_SEEN, log_order(), f"{run}/table", f"{run}/checkpoint", ONCE)])
-    published = spark.read.schema(dated.schema).parquet(f"{run}/table/last_seen")
-    table = latest(published.select(*dated.columns), LAST_SEEN.key, log_order())
+    table = read_upserts(spark, f"{run}/table", LAST_SEEN, log_order())
     return text_date(table.drop("off"))
 
 
-def _fan_out_events(spark: SparkSession, folder: str, run: str):
-    targets = FanOutTargets(
-        f"{run}/archive", f"{run}/dlq", FileSink(f"{run}/kv"), f"{run}/checkpoint"
-    )
-    return fan_out(
-        feeds.event_stream(spark, folder).raw, feeds.EVENTS, targets, ["off"], trigger=ONCE
+def _messages(spark: SparkSession, folder: str, name: str, run: str, part: Column | None = None):
+    """The change messages of an entity, as files that arrive in a folder."""
+    raw = feeds.FEEDS[name](spark, folder).raw
+    rows = raw if part is None else raw.filter(part)
+    rows.write.mode("append").parquet(f"{run}/{name}-messages")
+    return spark.readStream.schema("value STRING, off BIGINT").parquet(f"{run}/{name}-messages")
+
+
+def stream_upsert_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """A maintained table: three batches with compaction, retention and clean-up between."""
+    run, entity = scratch_dir(spark, "stream_upsert_transactions"), feeds.TRANSACTIONS
+    for third in range(3):
+        part = F.pmod(F.xxhash64("off"), F.lit(3)) == third
+        rows = split(_messages(spark, folder, entity.name, run, part), entity, ["off"])[0]
+        ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
+        drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
+        compact(spark, f"{run}/table", entity, log_order(), AS_OF)
+        vacuum(spark, f"{run}/table", entity)
+    return text_date(read_upserts(spark, f"{run}/table", entity, log_order(), AS_OF).drop("off"))
+
+
+def _targets(run: str, checkpoint: str = "checkpoint") -> FanOutTargets:
+    return FanOutTargets(
+        f"{run}/archive", f"{run}/dlq", FileSink(f"{run}/kv"), f"{run}/{checkpoint}"
     )
 
 
-def _published(spark: SparkSession, run: str) -> DataFrame:
+def _fan_out_events(spark: SparkSession, folder: str, run: str, checkpoint: str = "checkpoint"):
+    raw = feeds.event_stream(spark, folder).raw
+    return fan_out(raw, feeds.EVENTS, _targets(run, checkpoint), ["off"], trigger=ONCE)
+
+
+def _published(spark: SparkSession, run: str, entity=feeds.EVENTS) -> DataFrame:
     """What a fan-out wrote, one line per record and output."""
-    archived = read_archive(spark, f"{run}/archive/events", feeds.EVENTS)
-    records = read_key_values(spark, f"{run}/kv/events")
-    dead = read_dead_letters(spark, f"{run}/dlq/events")
+    archived = read_archive(spark, f"{run}/archive/{entity.name}", entity)
+    records = read_key_values(spark, f"{run}/kv/{entity.name}")
+    dead = read_dead_letters(spark, f"{run}/dlq/{entity.name}")
     return (
-        archived.select(F.lit("archive").alias("output"), F.col("event_id").alias("content"))
+        archived.select(F.lit("archive").alias("output"), F.col(entity.key).alias("content"))
         .unionByName(records.select(F.lit("key_value").alias("output"), F.col("value").alias("content")))
         .unionByName(dead.select(F.lit("dead_letter").alias("output"), F.col("raw_value").alias("content")))
     )
@@ -376,6 +413,43 @@ def stream_fanout(spark: SparkSession, folder: str) -> DataFrame:
     return _published(spark, run)
 
 
+def _stream_fanout(name: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        run, entity = scratch_dir(spark, f"stream_fanout_{name}"), ENTITIES[name]
+        raw = _messages(spark, folder, name, run)
+        drain([fan_out(raw, entity, _targets(run), ["off"], trigger=ONCE)])
+        return _published(spark, run, entity)
+
+    return query
+
+
+def _halves(spark: SparkSession, folder: str, run: str):
+    """Folders of the events before a day and from it on."""
+    table = read_table(spark, folder, "events")
+    early = F.col("ts") < F.lit(REPLAY_FROM)
+    for name, part in zip(("early", "late"), (early, ~early | F.col("ts").isNull()), strict=True):
+        table.filter(part).write.parquet(f"{run}/{name}/events.parquet")
+        yield f"{run}/{name}"
+
+
+def stream_fresh_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
+    """The checkpoint is lost between the two halves: history stays, and new changes join it."""
+    run = scratch_dir(spark, "stream_fresh_checkpoint")
+    for k, half in enumerate(_halves(spark, folder, run)):
+        drain([_fan_out_events(spark, half, run, f"checkpoint-{k}")])
+    return _published(spark, run)
+
+
+def stream_mode_switch(spark: SparkSession, folder: str) -> DataFrame:
+    """Three separate queries, then one fan-out, on the same targets."""
+    run = scratch_dir(spark, "stream_mode_switch")
+    early, late = _halves(spark, folder, run)
+    source = feeds.event_stream(spark, early).raw
+    drain(start_separate(lambda entity: source, [feeds.EVENTS], _targets(run), trigger=ONCE))
+    drain([_fan_out_events(spark, late, run)])
+    return _published(spark, run)
+
+
 def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
     """Fan out half of the events, stop, add the rest and resume from the checkpoint."""
     run = scratch_dir(spark, "stream_restart")
@@ -392,9 +466,9 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     """Input rows per query, summed over the progress records of its batches."""
     run = scratch_dir(spark, "stream_progress")
     dated = _event_split(spark, folder)[0]
-    query = start_archive(dated, feeds.EVENTS, f"{run}/archive", f"{run}/checkpoint", ONCE)
-    drain([query])
-    metrics = progress_table(spark, map(progress_record, query.recentProgress))
+    with recorded(spark, f"{run}/metrics"):
+        drain([start_archive(dated, feeds.EVENTS, f"{run}/archive", f"{run}/checkpoint", ONCE)])
+    metrics = progress_table(spark, f"{run}/metrics")
     return metrics.groupBy("query").agg(F.sum("input_rows").alias("input_rows"))
 
 
@@ -410,6 +484,7 @@ QUERIES: dict[str, Query] = {
     "serving_projection": serving_projection_query,
     "serving_null_defaults": serving_null_defaults,
     "serving_table": serving_table_query,
+    "serving_table_ties": serving_table_ties,
     "status_stamp": status_stamp,
     **{f"upsert_{name}": _upsert(name) for name in feeds.FEEDS},
     "retention_transactions": _retention("transactions"),
@@ -432,7 +507,11 @@ QUERIES: dict[str, Query] = {
     "stream_dlq": stream_dlq,
     "archive_replay": archive_replay,
     "stream_upsert": stream_upsert,
+    "stream_upsert_transactions": stream_upsert_transactions,
     "stream_fanout": stream_fanout,
+    **{f"stream_fanout_{name}": _stream_fanout(name) for name in feeds.FEEDS},
+    "stream_fresh_checkpoint": stream_fresh_checkpoint,
+    "stream_mode_switch": stream_mode_switch,
     "stream_restart": stream_restart,
     "stream_progress": stream_progress,
 }

@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from changeloom.sources.files import delete
+
 SESSION_DEFAULTS = {
     # Text timestamps carry no zone; one fixed zone keeps dates the same everywhere.
     "spark.sql.session.timeZone": "UTC",
-    # Upsert state outgrows the executor heap; keep it on local disk, and upload
-    # changes instead of whole snapshots.
+    # A scan of few large files still gives every core a share.
+    "spark.sql.files.maxPartitionBytes": "64m",
+    # For callers that keep stream state: on local disk, uploading changes only.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -59,14 +64,36 @@ def build_session(
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors can reach.
 
-    Only a local session may do without that setting; it gets a temporary folder.
+    Where the setting is missing, a session with all its executors in one process sets it
+    to a temporary folder. Whatever is left of a fresh folder goes when the session ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="changeloom-")
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    _opened.append(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.deleteOnExit(hadoop)
+    return path
+
+
+_opened: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders that were opened within the block, at its end."""
+    before = len(_opened)
+    try:
+        yield
+    finally:
+        for path in _opened[before:]:
+            delete(spark, path)
+        del _opened[before:]
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

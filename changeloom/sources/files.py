@@ -13,22 +13,21 @@ from changeloom.entities import DATE_COLUMN, Entity
 DEAD_LETTER = StructType(
     [StructField("raw_value", StringType()), StructField("entity", StringType())]
 )
-KEY_VALUE = StructType([StructField("key", StringType()), StructField("value", StringType())])
 OFFSET = StructField("off", LongType())
+KEY_VALUE = StructType(
+    [StructField("key", StringType()), StructField("value", StringType()), OFFSET]
+)
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` in at least as many partitions as there are cores.
-
-    For CPU-heavy work on tables stored in few files or row groups, where the
-    scan would leave cores idle. Tables with enough splits pass through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system it is on."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.delete(hadoop, True)
 
 
 def stream_table(
@@ -42,7 +41,7 @@ def stream_table(
     return (
         spark.readStream.schema(read_table(spark, folder, name).schema)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(f"{folder}/{name}.parquet*")
+        .parquet(f"{folder}/{{{name}.parquet}}")
     )
 
 

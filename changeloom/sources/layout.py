@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import functions as F
 
 from changeloom.entities import Entity
 
@@ -18,19 +19,32 @@ def _with_bloom(writer: DataFrameWriter, entity: Entity, distinct_keys: int | No
 
 
 def write_sorted(
-    rows: DataFrame, path: str, entity: Entity, distinct_keys: int | None = None
+    rows: DataFrame,
+    path: str,
+    entity: Entity,
+    distinct_keys: int | None = None,
+    files: int | None = None,
 ) -> None:
     """Write with globally sorted files, so that a time range touches few of them.
 
     Range partitioning on the sort columns plus the key splits a crowded day, or
-    one bulk load with a single timestamp, over as many tasks as its size asks
-    for, while every file still covers one narrow range of min/max statistics.
+    one bulk load with a single timestamp, while every file still covers one narrow
+    range of min/max statistics. ``files`` is how many the table should have: its
+    size over the wanted size of a file (``files_for``); without it, as many as the
+    session has shuffle partitions. The ranges are found by sampling ``rows``, which
+    are read twice: pass a stored table.
     """
     order = [*entity.sorted_by, entity.key]
-    laid_out = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    by = [F.col(name) for name in order]
+    laid_out = rows.repartitionByRange(files, *by) if files else rows.repartitionByRange(*by)
+    laid_out = laid_out.sortWithinPartitions(*order)
     _with_bloom(laid_out.write.mode("overwrite"), entity, distinct_keys).parquet(path)
 
 
+def files_for(table_bytes: int, file_bytes: int = 512 << 20) -> int:
+    return max(1, -(-table_bytes // file_bytes))
+
+
 def write_indexed(
     rows: DataFrame, path: str, entity: Entity, distinct_keys: int | None = None
 ) -> None:

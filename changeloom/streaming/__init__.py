@@ -1,5 +1,5 @@
 from changeloom.streaming.lifecycle import await_all, drain
-from changeloom.streaming.progress import ProgressListener, progress_record, progress_table
+from changeloom.streaming.progress import ProgressListener, progress_table, recorded
 from changeloom.streaming.sinks import (
     FanOutTargets,
     FileSink,
@@ -8,8 +8,8 @@ from changeloom.streaming.sinks import (
     start_archive,
     start_dead_letters,
     start_key_values,
-    start_upserts,
 )
+from changeloom.streaming.tables import compact, read_upserts, start_upserts, vacuum
 
 __all__ = [
     "FanOutTargets",
@@ -17,12 +17,15 @@ __all__ = [
     "KafkaSink",
     "ProgressListener",
     "await_all",
+    "compact",
     "drain",
     "fan_out",
-    "progress_record",
     "progress_table",
+    "read_upserts",
+    "recorded",
     "start_archive",
     "start_dead_letters",
     "start_key_values",
     "start_upserts",
+    "vacuum",
 ]

@@ -108,6 +108,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         default=50_000_000,
         help="bound on a batch, so that the first catch-up is many batches (default %(default)s)",
     )
+    parser.add_argument("--metrics", help="folder to which progress reports are appended")
     parser.add_argument("--min-partitions", type=int)
     parser.add_argument("--interval", help='time between batches, e.g. "10 seconds"')
     return parser.parse_args(argv)
@@ -129,7 +130,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     args = _arguments(argv)
     spark: SparkSession = build_session("change_streams", _object_store(), **SHARED)
-    spark.streams.addListener(ProgressListener())
+    spark.streams.addListener(ProgressListener(spark, args.metrics))
 
     broker = Broker(args.brokers)
 

@@ -1,26 +1,49 @@
-"""Streaming outputs: archive, key/value records, dead letters and upsert tables.
+"""Streaming outputs: archive, key/value records and dead letters.
 
 Each entity can be published by three independent queries (``start_*``), or by
-``fan_out``, which reads and parses the source once for all three.
+``fan_out``, which reads and parses the source once for all three. Both write the
+same layout, so that either can follow the other on the same targets::
+
+    archive/<entity>/run=<query id>/batch_id=<n>/date=<day>/
+    key values, dead letters: <root>/<entity>/run=<query id>/batch_id=<n>/
+
+The query id lives in the checkpoint. A batch that is repeated after a failure
+replaces its own folders; a query with a fresh checkpoint has another id and
+adds to what is there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, DataFrameWriter
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.entities import DATE_COLUMN, Entity
 from changeloom.functions.time import with_date
 from changeloom.operators.envelope import dead_letters, good_rows, route
 from changeloom.operators.keyvalue import to_key_value
-from changeloom.operators.upsert import latest_stream
 from changeloom.sources.kafka import Broker, sink_options
 
 Trigger = Mapping[str, object]
+Publish = Callable[[DataFrame, str, int], None]
+
+#: The position in the log, which settles equal times.
+POSITION = ("off",)
+
+
+def query_of(batch: DataFrame) -> str:
+    """The id of the query that a ``foreachBatch`` batch belongs to."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not within a streaming batch")
+    return found
+
+
+def batch_folder(root: str, run: str, batch_id: int) -> str:
+    return f"{root}/run={run}/batch_id={batch_id}"
 
 
 @dataclass(frozen=True)
@@ -29,54 +52,53 @@ class KafkaSink:
 
     broker: Broker
 
-    def stream(self, writer: DataStreamWriter, entity: Entity) -> DataStreamWriter:
-        return writer.format("kafka").options(**sink_options(self.broker, entity))
-
-    def save(self, records: DataFrame, entity: Entity, batch_id: int) -> None:
-        records.write.format("kafka").options(**sink_options(self.broker, entity)).save()
+    def save(self, records: DataFrame, entity: Entity, run: str, batch_id: int) -> None:
+        pairs = records.select("key", "value").write.format("kafka")
+        pairs.options(**sink_options(self.broker, entity)).save()
 
 
 @dataclass(frozen=True)
 class FileSink:
-    """Key/value records as Parquet files below ``path``."""
+    """Key/value records, with their log position, as Parquet files below ``path``."""
 
     path: str
 
-    def stream(self, writer: DataStreamWriter, entity: Entity) -> DataStreamWriter:
-        return writer.format("parquet").option("path", f"{self.path}/{entity.name}")
+    def save(self, records: DataFrame, entity: Entity, run: str, batch_id: int) -> None:
+        folder = batch_folder(f"{self.path}/{entity.name}", run, batch_id)
+        records.write.mode("overwrite").parquet(folder)
 
-    def save(self, records: DataFrame, entity: Entity, batch_id: int) -> None:
-        _batch_writer(records).parquet(_batch_path(f"{self.path}/{entity.name}", batch_id))
 
+def save_archive(dated: DataFrame, root: str, run: str, batch_id: int) -> None:
+    """Rebalanced by date first: a quiet batch ends in few files instead of one per task,
+    a backlog in a few per date, and a crowded date is split again by its size."""
+    writer = dated.hint("rebalance", DATE_COLUMN).write.mode("overwrite")
+    writer.partitionBy(DATE_COLUMN).parquet(batch_folder(root, run, batch_id))
 
-def _batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
 
+def save_dead_letters(dead: DataFrame, root: str, run: str, batch_id: int) -> None:
+    dead.hint("rebalance").write.mode("overwrite").json(batch_folder(root, run, batch_id))
 
-def _batch_writer(df: DataFrame) -> DataFrameWriter:
-    # A batch that is retried after a failure replaces its own folder.
-    return df.write.mode("overwrite")
 
-
-def _start(
-    writer: DataStreamWriter, name: str, checkpoint: str, trigger: Trigger | None
+def start(
+    rows: DataFrame, publish: Publish, name: str, checkpoint: str, trigger: Trigger | None
 ) -> StreamingQuery:
+    """A query that hands every batch to ``publish`` with its query id and number."""
+    writer = rows.writeStream.foreachBatch(
+        lambda batch, batch_id: publish(batch, query_of(batch), batch_id)
+    )
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def start_archive(
     dated: DataFrame, entity: Entity, path: str, checkpoints: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
     """Every good change as Parquet, one folder per date."""
-    writer = (
-        dated.writeStream.format("parquet")
-        .partitionBy(DATE_COLUMN)
-        .option("path", f"{path}/{entity.name}")
-    )
-    return _start(writer, f"archive_{entity.name}", f"{checkpoints}/{entity.name}", trigger)
+
+    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+        save_archive(batch, f"{path}/{entity.name}", run, batch_id)
+
+    return start(dated, publish, f"{entity.name}-history", f"{checkpoints}/{entity.name}-history", trigger)
 
 
 def start_key_values(
@@ -85,19 +107,25 @@ def start_key_values(
     sink: KafkaSink | FileSink,
     checkpoints: str,
     trigger: Trigger | None = None,
+    carry: Sequence[str] = POSITION,
 ) -> StreamingQuery:
     """Every good change as a key/value record."""
-    records = to_key_value(dated.select(*entity.columns, DATE_COLUMN), entity.key)
-    writer = sink.stream(records.writeStream, entity)
-    return _start(writer, f"kafka_{entity.name}", f"{checkpoints}/kafka/{entity.name}", trigger)
+
+    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+        sink.save(to_key_value(batch, entity.key, carry), entity, run, batch_id)
+
+    return start(dated, publish, f"{entity.name}-records", f"{checkpoints}/{entity.name}-records", trigger)
 
 
 def start_dead_letters(
     dead: DataFrame, entity: Entity, path: str, checkpoints: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
     """Every dead letter as a JSON line."""
-    writer = dead.writeStream.format("json").option("path", f"{path}/{entity.name}")
-    return _start(writer, f"dlq_{entity.name}", f"{checkpoints}/dlq/{entity.name}", trigger)
+
+    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+        save_dead_letters(batch, f"{path}/{entity.name}", run, batch_id)
+
+    return start(dead, publish, f"{entity.name}-rejects", f"{checkpoints}/{entity.name}-rejects", trigger)
 
 
 @dataclass(frozen=True)
@@ -112,68 +140,26 @@ def fan_out(
     raw: DataFrame,
     entity: Entity,
     targets: FanOutTargets,
-    carry: Sequence[str] = (),
+    carry: Sequence[str] = POSITION,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
     """All three outputs of an entity from one query.
 
     Each batch is parsed once and held (spilling to disk) while it is written
-    three times. File outputs go to a folder named after the batch, so repeating
-    a batch after a failure changes nothing; Kafka may see records again, which
-    a keyed newest-wins reader absorbs. Bound the batch at the source.
-
-    The archive is rebalanced by date first: a quiet batch ends in few files
-    instead of one per task, a backlog in a few per date instead of one per task
-    and date, and a crowded date is split again by its size.
+    three times. Kafka may see records again after a failure, which a keyed
+    newest-wins reader absorbs. Bound the batch at the source.
     """
 
-    def publish(batch: DataFrame, batch_id: int) -> None:
-        routed = route(batch, entity, carry).persist(StorageLevel.MEMORY_AND_DISK)
+    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+        routed = route(batch, entity, carry).filter("after IS NOT NULL")
+        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = with_date(good_rows(routed, entity, carry), entity.modified_at)
-            archived = good.hint("rebalance", DATE_COLUMN)
-            _batch_writer(archived).partitionBy(DATE_COLUMN).parquet(
-                _batch_path(f"{targets.archive}/{entity.name}", batch_id)
-            )
-            records = to_key_value(good.select(*entity.columns, DATE_COLUMN), entity.key)
-            targets.key_values.save(records, entity, batch_id)
-            _batch_writer(dead_letters(routed, entity).hint("rebalance")).json(
-                _batch_path(f"{targets.dead_letters}/{entity.name}", batch_id)
-            )
+            good = with_date(good_rows(routed, carry), entity.modified_at)
+            save_archive(good, f"{targets.archive}/{entity.name}", run, batch_id)
+            targets.key_values.save(to_key_value(good, entity.key, carry), entity, run, batch_id)
+            dead = dead_letters(routed, entity)
+            save_dead_letters(dead, f"{targets.dead_letters}/{entity.name}", run, batch_id)
         finally:
             routed.unpersist()
 
-    return _start(
-        raw.writeStream.foreachBatch(publish),
-        f"fan_out_{entity.name}",
-        f"{targets.checkpoints}/fan_out/{entity.name}",
-        trigger,
-    )
-
-
-def start_upserts(
-    dated: DataFrame,
-    entity: Entity,
-    order: Sequence[Column],
-    path: str,
-    checkpoints: str,
-    trigger: Trigger | None = None,
-) -> StreamingQuery:
-    """Keep the newest row per key as stream state and publish what each batch changed.
-
-    Rows below ``path`` are the current rows of the keys seen in each batch;
-    ``latest`` over them is the table. State grows with the number of keys, so it
-    belongs in the disk-backed store that ``build_session`` configures. Its number
-    of partitions is fixed by the first run.
-    """
-
-    def publish(changed: DataFrame, batch_id: int) -> None:
-        _batch_writer(changed).parquet(_batch_path(f"{path}/{entity.name}", batch_id))
-
-    current = latest_stream(dated, entity.key, order)
-    return _start(
-        current.writeStream.outputMode("update").foreachBatch(publish),
-        f"upsert_{entity.name}",
-        f"{checkpoints}/upsert/{entity.name}",
-        trigger,
-    )
+    return start(raw, publish, f"{entity.name}-all", f"{targets.checkpoints}/{entity.name}-all", trigger)

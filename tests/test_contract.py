@@ -22,10 +22,14 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert contract.QUERIES.keys() == contract.ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", contract.queries())
+# One folder a day for 2,500 days: minutes of small files; users, products and payments stay.
+MANY_DAYS = {"stream_fanout_transactions", "stream_fanout_shippings"}
+
+
+@pytest.mark.parametrize("name", [name for name in contract.QUERIES if name not in MANY_DAYS])
 def test_query_equals_its_sql(spark, sql, name):
     result = contract.queries()[name](spark, FOLDER)
     columns = sorted(result.columns)

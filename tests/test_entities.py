@@ -2,6 +2,7 @@ import pytest
 
 from changeloom.entities import ENTITIES, ENVELOPE, PRODUCTS, SHIPPINGS, TRANSACTIONS, USERS
 
+# Names and order of the columns are the data contract.
 COLUMNS = {
     "transactions": [
         "transaction_id", "user_id", "product_id", "payment_id", "shipping_id",

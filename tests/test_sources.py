@@ -5,10 +5,10 @@ import pytest
 from pyspark.errors import AnalysisException
 
 from changeloom.entities import ENTITIES, TRANSACTIONS, USERS
-from changeloom.session import ObjectStore, scratch_dir, stored
-from changeloom.sources.files import read_table, spread, stream_table
+from changeloom.session import ObjectStore, scratch_dir, scratch_scope, stored
+from changeloom.sources.files import read_table, stream_table
 from changeloom.sources.kafka import Broker, read_changes, sink_options, source_options
-from changeloom.sources.layout import write_indexed, write_sorted
+from changeloom.sources.layout import files_for, write_indexed, write_sorted
 from changeloom.streaming.job import _arguments
 from changeloom.streaming.lifecycle import ONCE, drain
 
@@ -93,10 +93,30 @@ def test_tables_stream_from_a_file_or_a_folder(spark, rows, tmp_path, as_folder)
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(read_table(spark, folder, "things"))
 
 
-def test_spread_only_touches_few_partitions(spark):
-    assert spread(spark.range(10, numPartitions=1)).rdd.getNumPartitions() == 4
-    many = spark.range(10, numPartitions=9)
-    assert spread(many) is many
+def test_a_table_stream_takes_its_exact_name_only(spark, tmp_path):
+    for name in ("things.parquet", "things.parquet.bak", "things.parquet2"):
+        spark.range(3).write.parquet(str(tmp_path / "data" / name))
+    stream = stream_table(spark, str(tmp_path / "data"), "things")
+    writer = stream.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint"))
+    drain([writer.trigger(**ONCE).start(str(tmp_path / "out"))])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
+def test_a_sorted_table_has_the_wanted_number_of_files(spark, transactions, tmp_path):
+    write_sorted(transactions, str(tmp_path / "sorted"), TRANSACTIONS, files=7)
+    assert len(files(str(tmp_path / "sorted"))) == 7
+    assert files_for(1) == 1 and files_for(1025, 512) == 3
+
+
+def test_a_scope_leaves_no_scratch(spark):
+    import os
+
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    with scratch_scope(spark):
+        assert stored(spark.range(5), "scoped").count() == 5
+        assert set(os.listdir(root)) > before
+    assert set(os.listdir(root)) == before
 
 
 def test_kafka_options():
