@@ -1,28 +1,46 @@
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# At most this many keys can each hold more than 1/HEAVY_KEYS of the rows, which
-# bounds what is collected and replicated below whatever the size of the tables.
-HEAVY_KEYS = 100
-TRACKED_KEYS = 10_000
+# A sketch that tracks this many keys is off by a small share of a partition.
+MOST_TRACKED = 4096
 
 
-def heavy_keys(facts: DataFrame, *keys: str) -> dict[str, list]:
-    """Per key column, the values (NULL included) found in over 1/HEAVY_KEYS of the rows.
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    One pass over the key columns with mergeable sketches of fixed size: every
-    task sends one small summary and no rows are shuffled. Counts are approximate,
-    which is fine for deciding what to spread; no result depends on them.
+
+def heavy_keys(facts: DataFrame, *keys: str, partitions: int | None = None) -> dict[str, list]:
+    """Per key column, the values (NULL included) found in over half a partition's even share.
+
+    The more partitions, the smaller the share that makes one of them late, so the
+    threshold follows their number; at most twice as many keys can pass it. One pass
+    over the key columns with mergeable sketches of fixed size, merged in two levels:
+    first by groups of tasks, about as many as the square root of the partitions, so
+    that no task receives the sketches of all. Counts are approximate, which is fine
+    for deciding what to spread; no result depends on them.
     """
-    sketches = [F.expr(f"approx_top_k({key}, {HEAVY_KEYS}, {TRACKED_KEYS})") for key in keys]
-    summary = facts.agg(F.count(F.lit(1)), *sketches).first()
-    total, tops = summary[0], summary[1:]
+    if not keys or facts.isEmpty():
+        return {key: [] for key in keys}
+    partitions = partitions or partitions_of(facts.sparkSession)
+    most = min(2 * partitions, MOST_TRACKED // 4)
+    tracked = min(4 * most, MOST_TRACKED)
+    # Whole tasks go to a group, so that each sends one sketch.
+    group = F.spark_partition_id() % F.lit(math.isqrt(partitions) + 1)
+    sketch = [F.expr(f"approx_top_k_accumulate({k}, {tracked})").alias(f"s{i}") for i, k in enumerate(keys)]
+    parts = facts.groupBy(group.alias("group")).agg(F.count(F.lit(1)).alias("n"), *sketch)
+    whole = [
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s{i}, {tracked}), {most})")
+        for i in range(len(keys))
+    ]
+    summary = parts.agg(F.sum("n"), *whole).first()
+    total, tops = summary[0] or 0, summary[1:]
     return {
-        key: [entry["item"] for entry in top if entry["count"] * HEAVY_KEYS > total]
+        key: [entry["item"] for entry in top or [] if entry["count"] * 2 * partitions > total]
         for key, top in zip(keys, tops, strict=True)
     }
 
@@ -39,7 +57,7 @@ def lookup(
 
     Facts under a ``heavy`` key, or under none if NULL is heavy, are spread over
     ``salts`` sub-keys; only the dimension rows of heavy keys are repeated to meet
-    them, at most ``HEAVY_KEYS * salts`` rows. Without heavy keys this is a plain
+    them, a bounded number. Without heavy keys this is a plain
     join. Whether the dimension is small enough to broadcast is left to the
     engine, which checks its size. The salt hashes ``spread_by`` (together unique)
     rather than drawing random numbers, so that a recomputed task sends its rows
@@ -50,7 +68,7 @@ def lookup(
     if not spread_by:
         raise ValueError("heavy keys need columns to spread their rows by")
     if salts is None:
-        salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = partitions_of(facts.sparkSession)
 
     is_heavy = F.col(key).isin([value for value in heavy if value is not None])
     if None in heavy:

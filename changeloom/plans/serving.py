@@ -11,6 +11,12 @@ from changeloom.entities import DATE_COLUMN, TRANSACTIONS
 from changeloom.operators.join import heavy_keys, lookup
 
 
+def pushed_filters(table: DataFrame) -> str:
+    """The filters that reach the scan, as the physical plan names them."""
+    plan = table._jdf.queryExecution().sparkPlan().toString()
+    return " ".join(part.split("]")[0] for part in plan.split("PushedFilters: [")[1:])
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Expose tables to ``spark.sql`` under their entity names."""
     for name, table in tables.items():
@@ -72,6 +78,10 @@ STAR = {
 }
 
 
+# Dimensions with one transaction per row have no heavy keys.
+ONE_TO_ONE = ("shippings",)
+
+
 def star(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Transactions with their product, payment, user and shipping, where known.
 
@@ -79,10 +89,10 @@ def star(tables: Mapping[str, DataFrame]) -> DataFrame:
     Dimensions have one row per key, so the heavy keys found there hold for every join.
     """
     facts = tables["transactions"]
-    heavy = heavy_keys(facts, *(key for key, _ in STAR.values()))
+    heavy = heavy_keys(facts, *(key for name, (key, _) in STAR.items() if name not in ONE_TO_ONE))
     for name, (key, wanted) in STAR.items():
         dimension = tables[name].select(key, *wanted)
-        facts = lookup(facts, dimension, key, heavy[key], [TRANSACTIONS.key])
+        facts = lookup(facts, dimension, key, heavy.get(key, ()), [TRANSACTIONS.key])
     return facts
 
 

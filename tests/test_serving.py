@@ -7,6 +7,7 @@ from changeloom.operators import heavy_keys, lookup
 from changeloom.plans.serving import (
     daily,
     find,
+    pushed_filters,
     recent,
     register_views,
     roll_up,
@@ -38,8 +39,11 @@ def dimension(spark):
 
 
 def test_heavy_keys_names_hot_values_and_null_only(skewed):
-    assert sorted(heavy_keys(skewed, "k", "n")["k"], key=repr) == ["hot", None]
-    assert sorted(heavy_keys(skewed, "k", "n")["n"]) == [0, 1, 2, 3, 4]
+    found = heavy_keys(skewed, "k", "n", partitions=64)
+    assert sorted(found["k"], key=repr) == ["hot", None]
+    assert sorted(found["n"]) == [0, 1, 2, 3, 4]
+    # With few partitions a tenth of the rows makes none of them late.
+    assert heavy_keys(skewed, "k", partitions=4)["k"] == ["hot"]
 
 
 def test_heavy_keys_of_nothing(skewed):
@@ -151,6 +155,25 @@ def test_star_revenue(tables, rows):
     ]
 
 
+def test_lookups_reach_the_scan(spark):
+    from changeloom.plans.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    for name, column in (
+        ("q_point_lookup", "product_id"),
+        ("q_user_lookup", "user_id"),
+        ("q_filter_status", "status"),
+        ("q_filter_keys", "user_id"),
+        ("q_recent", "last_modified_ts"),
+    ):
+        assert column in pushed_filters(QUERIES[name](spark, folder))
+
+
+def test_heavy_sketches_do_not_meet_in_one_task(spark, skewed, tmp_path):
+    seen = heavy_keys(skewed, "k", partitions=1000)
+    assert {"hot", None} <= set(seen["k"]) and len(seen["k"]) <= 1000
+
+
 def test_views(spark, tables):
     register_views(tables)
     row = spark.sql(
