@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from .text import lists, mix, pieces, span_hashes
 
 ALPHA, SEED = 1.0, 0
+#: Text whose lattices are held at once; each byte takes some hundred bytes.
+LATTICE_BYTES = 1 << 19
 _STEP, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -74,25 +76,23 @@ class Vocabulary:
 
     def _grow_trie(self) -> None:
         """``next[node, byte]`` is a node or -1; node 0 is the root. ``piece`` is an id or -1."""
-        children: list[dict[int, int]] = [{}]
-        piece, weight = [-1], [0.0]
+        child: dict[int, int] = {}  # by node * 256 + byte
+        piece, weight = {}, {}
         for name, (i, w) in self.pieces.items():
             node = 0
             for byte in name:
-                if byte not in children[node]:
-                    children[node][byte] = len(children)
-                    children.append({})
-                    piece.append(-1)
-                    weight.append(0.0)
-                node = children[node][byte]
+                node = child.setdefault(node << 8 | byte, len(child) + 1)
             piece[node], weight[node] = i, w
-        self.piece, self.weight = np.array(piece, np.int32), np.array(weight)
-        inner = [k for k, x in enumerate(children) if x]
-        self.line = np.full(len(children), len(inner), np.int32)  # the last line has no child
+        n = len(child) + 1
+        self.piece, self.weight = np.full(n, -1, np.int32), np.zeros(n, np.float32)
+        self.piece[list(piece)] = list(piece.values())
+        self.weight[list(weight)] = list(weight.values())
+        keys = np.fromiter(child, np.int64, len(child))
+        inner, line = np.unique(keys >> 8, return_inverse=True)
+        self.line = np.full(n, len(inner), np.int32)  # the last line has no child
         self.line[inner] = np.arange(len(inner))
         self.next = np.full((len(inner) + 1, 256), -1, np.int32)
-        for k, node in enumerate(inner):
-            self.next[k, list(children[node])] = list(children[node].values())
+        self.next[line, keys & 0xFF] = np.fromiter(child.values(), np.int32, len(child))
 
 
 #: Chunks of more bytes are filtered in logarithms, one by one.
@@ -264,18 +264,37 @@ def encode_texts(
     return ids, np.bincount(row, taken, len(texts)).astype(np.int64)
 
 
-def joined(vocabulary: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """The texts of rows of pieces."""
+def decoded(
+    vocabulary: Vocabulary, ids: np.ndarray, counts: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of the texts of rows of pieces, and where each row starts."""
     sizes = vocabulary.lengths[ids]
     ends = np.cumsum(sizes)
-    data = vocabulary.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(vocabulary.at[ids] - ends + sizes, sizes)]
+    own = np.arange(ends[-1] if len(ends) else 0)
+    data = vocabulary.flat[own + np.repeat(vocabulary.at[ids] - ends + sizes, sizes)]
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
     keep = np.ones(len(data), bool)
     keep[bounds[:-1][counts > 0]] = False
-    offsets = bounds - np.concatenate([[0], np.cumsum(counts > 0)])
-    return pa.LargeStringArray.from_buffers(
-        len(counts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[keep])
-    ).cast(pa.string())
+    return data[keep], (bounds - np.concatenate([[0], np.cumsum(counts > 0)])).astype(np.int64)
+
+
+def joined(vocabulary: Vocabulary, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """The texts of rows of pieces."""
+    data, offsets = decoded(vocabulary, ids, counts)
+    texts = pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(offsets), pa.py_buffer(data))
+    return texts.cast(pa.string())
+
+
+def same_texts(vocabulary: Vocabulary, texts, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether each row's pieces decode to its bytes."""
+    data, offsets = decoded(vocabulary, ids, counts)
+    same = np.diff(offsets) == np.diff(texts.offsets)
+    if len(data) == len(texts.data) and same.all():
+        wrong = np.flatnonzero(data != texts.data)
+        same[np.searchsorted(texts.offsets, wrong, "right") - 1] = False
+        return same
+    return np.array([data[a:b].tobytes() == texts.data[c:d].tobytes() for a, b, c, d in zip(
+        offsets[:-1], offsets[1:], texts.offsets[:-1], texts.offsets[1:], strict=True)])
 
 
 _MODELS: dict[tuple[str, float], Vocabulary] = {}
@@ -295,14 +314,16 @@ def encode(
     text: str = "text",
     alpha: float = ALPHA,
     seed: int = SEED,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``row`` (all input columns), ``pieces`` and ``ids_crc32`` (of little-endian 32-bit ids)."""
+    """``row`` (all input columns, or those to ``keep``), ``pieces``, ``ids_crc32`` (of
+    little-endian 32-bit ids) and ``lossless``: whether the pieces decode to the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model_file, alpha)
         for batch in batches:
             keys = np.asarray(batch.column("key_"))
-            for texts in pieces(batch.column("text_")):
+            for texts in pieces(batch.column("text_"), LATTICE_BYTES):
                 ids, counts = encode_texts(vocabulary, texts, keys[texts.rows], seed)
                 ends = np.cumsum(counts)
                 raw = memoryview(ids.astype("<u4")).cast("B")
@@ -312,15 +333,16 @@ def encode(
                         batch.column("row").slice(texts.rows.start, len(texts)),
                         lists(ids, counts, pa.int32()),
                         pa.array(sums, pa.int64()),
+                        pa.array(same_texts(vocabulary, texts, ids, counts)),
                     ],
-                    ["row", "pieces", "ids_crc32"],
+                    ["row", "pieces", "ids_crc32", "lossless"],
                 )
 
     rows = docs.select(
-        F.struct("*").alias("row"), F.xxhash64(id).alias("key_"), F.col(text).alias("text_")
+        F.struct(*(keep or ["*"])).alias("row"), F.xxhash64(id).alias("key_"), F.col(text).alias("text_")
     )
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, pieces array<int>, ids_crc32 long")
+    return rows.mapInArrow(run, f"row {kind}, pieces array<int>, ids_crc32 long, lossless boolean")
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
@@ -336,7 +358,7 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
             first = 0
             while first < len(counts):
                 start = int(ends[first] - counts[first])
-                last = max(first + 1, int(np.searchsorted(ends, start + 1_000_000, "right")))
+                last = max(first + 1, int(np.searchsorted(ends, start + 250_000, "right")))
                 part = joined(vocabulary, flat[start : ends[last - 1]], counts[first:last])
                 arrays = [batch.column(c).slice(first, last - first) for c in range(batch.num_columns)]
                 yield pa.RecordBatch.from_arrays([*arrays, part], [*batch.schema.names, "decoded"])
