@@ -11,7 +11,7 @@ from .jaccard import jaccard_join
 from .lm_score import score as lm_score
 from .quality import fit, graded, score
 from .scratch import documents, scratch_dir
-from .sentencepiece import decode, encode
+from .sentencepiece import encode
 from .sharding import shard_rows
 from .stages import tokenizer_file
 from .substring import dedup_substrings
@@ -21,12 +21,9 @@ from .urls import filter_urls
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
-    found = decode(encode(documents(spark, folder), model), model)
+    found = encode(documents(spark, folder), model, keep=["doc_id"])
     return found.select(
-        "row.doc_id",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        "ids_crc32",
-        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("lossless"),
+        "row.doc_id", F.size("pieces").cast("long").alias("n_pieces"), "ids_crc32", "lossless"
     )
 
 

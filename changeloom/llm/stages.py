@@ -11,7 +11,7 @@ from .decontaminate import leaks
 from .jaccard import jaccard_join
 from .quality import fit, graded, score
 from .scratch import documents, stored
-from .sentencepiece import decode, encode
+from .sentencepiece import encode
 from .substring import dedup_substrings
 
 
@@ -61,11 +61,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, and whether they decode to its text."""
     model = tokenizer_file("piece_bpe_32k.model")
-    return decode(encode(docs, model), model).select(
-        "row.doc_id",
-        "pieces",
-        F.size("pieces").cast("long").alias("n_pieces"),
-        (F.col("decoded") == F.coalesce("row.text", F.lit(""))).alias("lossless"),
+    return encode(docs, model, keep=["doc_id"]).select(
+        "row.doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), "lossless"
     )
 
 
