@@ -2,8 +2,8 @@
 
 ``P(grade <= k) = logistic(threshold[k] - score)``: all grades share one weight vector over
 hashed text, and the thresholds are ordered by construction. A document's score sums the
-weights of its distinct words, and of its words, word endings and word shapes by their share
-of the text. The model gives the expected grade and the tail probability of the top grade.
+weights of its distinct words, and of word endings and word shapes by their share of the text. Weights only lower the grade: faults show, while a text without any needs no
+words in its favour, however short it is. The model gives the expected grade and the tail probability of the top grade.
 
 Grades come from ``labels``: 0 for low quality, 1 for good but toxic, 2 for good and clean.
 A document with several labels takes the lowest. The model is fitted on a bounded sample, at
@@ -25,17 +25,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import Texts, lists, mix, pieces
+from .text import Texts, lists, mix, pieces, span_hashes
 
-GRADES, SAMPLE, BITS = 3, 2000, 18
-#: Features in fewer documents of the sample are left out; weight of the penalty; steps.
-LEAST, PENALTY, STEPS, RATE = 4, 2e-4, 300, 0.05
+GRADES, SAMPLE, BITS = 3, 3000, 18
+#: Features in fewer documents of the sample are left out, and those whose means on the two
+#: sides of every threshold differ by fewer standard errors, or by less than this share of the
+#: mean below; weight of the penalty; steps.
+LEAST, ERRORS, EFFECT, PENALTY, STEPS = 4, 4.0, 0.75, 1e-5, 800
 
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
 _LOWER = np.zeros(256, bool)
 _LOWER[ord("a") : ord("z") + 1] = True
 _LOWER[0x80:] = True
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A") : ord("Z") + 1] += 32
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?)\"'")] = True
 
 
 def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
@@ -43,7 +49,7 @@ def _bucket(hashes: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of what counts by its share: words, endings, shapes, repeats."""
+    """Bucket and row of what counts by its share: endings, shapes, repeats."""
     data, starts, ends = texts.data, texts.starts, texts.ends
     ending = np.zeros(len(starts), np.uint64)
     for back in (1, 2, 3):
@@ -57,15 +63,16 @@ def _tokens(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     again = np.zeros(len(starts), bool)
     again[1:] = (texts.words[1:] == texts.words[:-1]) & (texts.row[1:] == texts.row[:-1])
     shape = some(_UPPER) * 4 + some(_LOWER) * 2 + again
-    buckets = [
-        _bucket(texts.words, 1), _bucket(ending, 2), _bucket(shape.astype(np.uint64), 3)
-    ]
-    return np.concatenate(buckets), np.tile(texts.row, 3)
+    buckets = [_bucket(ending, 2), _bucket(shape.astype(np.uint64), 3)]
+    return np.concatenate(buckets), np.tile(texts.row, 2)
 
 
 def _distinct(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of the distinct words of each row."""
-    codes = np.unique(texts.row << BITS | _bucket(texts.words, 4))
+    """Bucket and row of the distinct words of each row, without case and closing marks."""
+    starts, ends = texts.starts, texts.ends.copy()
+    for _ in range(3):
+        ends -= _MARK[texts.data[ends - 1]] & (ends - starts > 1)
+    codes = np.unique(texts.row << BITS | _bucket(span_hashes(_FOLD[texts.data], starts, ends), 4))
     return codes & ((1 << BITS) - 1), codes >> BITS
 
 
@@ -110,43 +117,79 @@ class Model:
         return above.sum(axis=0), above[-1]
 
 
+def telling(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether each feature is clearly more common in the documents below some grade.
+
+    Most words of a text say nothing of its grade; in a sum over hundreds of them, weights
+    fitted to chance would drown those of the few that do.
+    """
+    n = int(column.max()) + 1 if len(column) else 0
+    found = np.zeros(n, bool)
+    for k in range(1, GRADES):
+        above = grades >= k
+        sides = []
+        for side in (above, ~above):
+            own, many = side[row], max(side.sum(), 1)
+            mean = np.bincount(column[own], value[own], n) / many
+            square = np.bincount(column[own], value[own] ** 2, n) / many
+            sides.append((mean, np.maximum(square - mean**2, 0) / many))
+        (a, va), (b, vb) = sides
+        if above.any() and not above.all():
+            clear = np.abs(a - b) > ERRORS * np.sqrt(va + vb) + 1e-12
+            found |= clear & (b - a > EFFECT * b)  # more of it below
+    return found & (np.bincount(column, minlength=n) >= LEAST)
+
+
 def fit_vectors(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray) -> Model:
-    """Maximum penalised likelihood by full-batch gradient steps."""
+    """Maximum penalised likelihood by full-batch gradient steps, no weight above zero.
+
+    Plain gradients favour what many documents share over what tells single ones apart.
+    """
     weights = np.zeros(2 << BITS)
     present = np.unique(grades)
     if len(present) < 2:
         return Model(weights, np.full(GRADES - 1, -500.0))
-    frequent = np.bincount(column, minlength=len(weights))[column] >= LEAST
-    row, value = row[frequent], value[frequent]
-    used, column = np.unique(column[frequent], return_inverse=True)
+    kept = telling(grades, row, column, value)[column]
+    row, value = row[kept], value[kept]
+    used, column = np.unique(column[kept], return_inverse=True)
     n, balance = len(grades), 1 / np.bincount(grades, minlength=GRADES)[grades] / len(present)
-    w = np.zeros(len(used))
-    steps = np.zeros(GRADES - 1)  # the first threshold, then logarithms of the gaps
-    steps[0] = -1.0
-    moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (w, steps)]
+    # Presence counts as it is; shares are put on the scale of their spread.
+    spread = np.sqrt(np.maximum(np.bincount(column, value**2, len(used)) / n, 1e-12))
+    spread[used >= 1 << BITS] = 1
+    value = value / spread[column]
+
+    def times(w):
+        return np.bincount(row, w[column] * value, n)
+
+    def back(d):
+        return np.bincount(column, d[row] * value, len(used))
+
+    # The steepest curvature, by power iteration, bounds the step.
+    probe, size = np.ones(len(used)), 1.0
+    for _ in range(20):
+        probe = back(balance * times(probe / max(np.linalg.norm(probe), 1e-30)))
+        size = max(np.linalg.norm(probe), 1e-9)
+    rate = 1 / (0.5 * size + 0.5 + PENALTY)
+    w, steps = np.zeros(len(used)), np.zeros(GRADES - 1)
+    steps[0] = -1.0  # the first threshold, then logarithms of the gaps
+    at_w, at_steps = w, steps
     for step in range(1, STEPS + 1):
-        gaps = np.exp(steps[1:])
-        thresholds = steps[0] + np.concatenate([[0], np.cumsum(gaps)])
-        edges = np.concatenate([[-np.inf], thresholds, [np.inf]])
-        score = np.bincount(row, w[column] * value, n)
+        gaps = np.exp(at_steps[1:])
+        edges = np.concatenate([[-np.inf], at_steps[0] + np.concatenate([[0], np.cumsum(gaps)]), [np.inf]])
+        score = times(at_w)
         with np.errstate(over="ignore"):
             low = 1 / (1 + np.exp(score - edges[grades]))
             high = 1 / (1 + np.exp(score - edges[grades + 1]))
         chance = np.maximum(high - low, 1e-12)
         d_low, d_high = low * (1 - low) / chance * balance, high * (1 - high) / chance * balance
-        by_score = d_high - d_low  # of the loss
-        by_edge = np.bincount(grades, d_low, GRADES + 1) - np.bincount(grades + 1, d_high, GRADES + 1)[: GRADES + 1]
-        by_edge = by_edge[1:GRADES]
-        tails = np.cumsum(by_edge[::-1])[::-1]
-        gradients = (
-            np.bincount(column, by_score[row] * value, len(w)) + PENALTY * w,
-            np.concatenate([[tails[0]], tails[1:] * gaps]),
-        )
-        for p, g, (first, second) in zip((w, steps), gradients, moments, strict=True):
-            first += 0.1 * (g - first)
-            second += 0.001 * (g * g - second)
-            p -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    weights[used] = w
+        by_edge = np.bincount(grades, d_low, GRADES + 1) - np.bincount(grades + 1, d_high, GRADES + 1)
+        tails = np.cumsum(by_edge[1:GRADES][::-1])[::-1]
+        new_w = np.minimum(at_w - rate * (back(d_high - d_low) + PENALTY * at_w), 0)
+        new_steps = at_steps - rate * np.concatenate([[tails[0]], tails[1:] * gaps])
+        ahead = (step - 1) / (step + 2)
+        at_w, at_steps = new_w + ahead * (new_w - w), new_steps + ahead * (new_steps - steps)
+        w, steps = new_w, new_steps
+    weights[used] = w / spread
     return Model(weights, steps[0] + np.concatenate([[0], np.cumsum(np.exp(steps[1:]))]))
 
 
