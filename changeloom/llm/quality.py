@@ -8,11 +8,11 @@ words in its favour, however short it is. The model gives the expected grade and
 Grades come from ``labels``: 0 for low quality, 1 for good but toxic, 2 for good and clean.
 A document with several labels takes the lowest. The model is fitted on a bounded sample, at
 most ``SAMPLE`` labelled documents of each grade, the first by a hash of their id; scoring
-covers every document, whole.
+covers every document, whole. Grades weigh by the root of their share of all labels.
 
 Defined results: null and empty texts have a score of 0. Labels with nulls and of unknown
-documents are left out. Without labels of two grades at least there is nothing to learn, and
-every document gets the top grade. Input columns come back inside ``row``.
+documents are left out. Without labels of two grades at least, or features that tell them apart, there is
+nothing to learn, and every document gets the top grade. Input columns come back inside ``row``.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ GRADES, SAMPLE, BITS = 3, 3000, 18
 #: Features in fewer documents of the sample are left out, and those whose means on the two
 #: sides of every threshold differ by fewer standard errors, or by less than this share of the
 #: mean below; weight of the penalty; steps.
-LEAST, ERRORS, EFFECT, PENALTY, STEPS = 4, 4.0, 0.75, 1e-5, 800
+LEAST, ERRORS, EFFECT, PENALTY, STEPS = 4, 4.0, 0.75, 1e-5, 1500
 
 _UPPER = np.zeros(256, bool)
 _UPPER[ord("A") : ord("Z") + 1] = True
@@ -140,9 +140,12 @@ def telling(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.n
     return found & (np.bincount(column, minlength=n) >= LEAST)
 
 
-def fit_vectors(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray) -> Model:
+def fit_vectors(
+    grades: np.ndarray, row: np.ndarray, column: np.ndarray, value: np.ndarray, shares: np.ndarray
+) -> Model:
     """Maximum penalised likelihood by full-batch gradient steps, no weight above zero.
 
+    ``shares``: of the grades among all labelled documents, which the sample stands for.
     Plain gradients favour what many documents share over what tells single ones apart.
     """
     weights = np.zeros(2 << BITS)
@@ -152,7 +155,11 @@ def fit_vectors(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value:
     kept = telling(grades, row, column, value)[column]
     row, value = row[kept], value[kept]
     used, column = np.unique(column[kept], return_inverse=True)
-    n, balance = len(grades), 1 / np.bincount(grades, minlength=GRADES)[grades] / len(present)
+    if not len(used):
+        return Model(weights, np.full(GRADES - 1, -500.0))
+    # Rare grades count for more than their share, by its root, and common ones for less.
+    n, balance = len(grades), (np.sqrt(shares) / np.maximum(np.bincount(grades, minlength=GRADES), 1))[grades]
+    balance = balance / balance.sum()
     # Presence counts as it is; shares are put on the scale of their spread.
     spread = np.sqrt(np.maximum(np.bincount(column, value**2, len(used)) / n, 1e-12))
     spread[used >= 1 << BITS] = 1
@@ -169,13 +176,11 @@ def fit_vectors(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value:
     for _ in range(20):
         probe = back(balance * times(probe / max(np.linalg.norm(probe), 1e-30)))
         size = max(np.linalg.norm(probe), 1e-9)
-    rate = 1 / (0.5 * size + 0.5 + PENALTY)
-    w, steps = np.zeros(len(used)), np.zeros(GRADES - 1)
-    steps[0] = -1.0  # the first threshold, then logarithms of the gaps
-    at_w, at_steps = w, steps
-    for step in range(1, STEPS + 1):
-        gaps = np.exp(at_steps[1:])
-        edges = np.concatenate([[-np.inf], at_steps[0] + np.concatenate([[0], np.cumsum(gaps)]), [np.inf]])
+    rate = 1 / (size + 2 + PENALTY)
+    w, cuts = np.zeros(len(used)), np.arange(GRADES - 1, dtype=np.float64)
+    at_w, at_cuts, momentum = w, cuts, 0
+    for _ in range(STEPS):
+        edges = np.concatenate([[-np.inf], at_cuts, [np.inf]])
         score = times(at_w)
         with np.errstate(over="ignore"):
             low = 1 / (1 + np.exp(score - edges[grades]))
@@ -183,14 +188,18 @@ def fit_vectors(grades: np.ndarray, row: np.ndarray, column: np.ndarray, value:
         chance = np.maximum(high - low, 1e-12)
         d_low, d_high = low * (1 - low) / chance * balance, high * (1 - high) / chance * balance
         by_edge = np.bincount(grades, d_low, GRADES + 1) - np.bincount(grades + 1, d_high, GRADES + 1)
-        tails = np.cumsum(by_edge[1:GRADES][::-1])[::-1]
-        new_w = np.minimum(at_w - rate * (back(d_high - d_low) + PENALTY * at_w), 0)
-        new_steps = at_steps - rate * np.concatenate([[tails[0]], tails[1:] * gaps])
-        ahead = (step - 1) / (step + 2)
-        at_w, at_steps = new_w + ahead * (new_w - w), new_steps + ahead * (new_steps - steps)
-        w, steps = new_w, new_steps
+        slope = back(d_high - d_low) + PENALTY * at_w
+        new_w = np.minimum(at_w - rate * slope, 0)
+        # The loss is convex in weights and thresholds together, and so is their order.
+        new_cuts = at_cuts - rate * by_edge[1:GRADES]
+        new_cuts = np.maximum.accumulate(new_cuts + np.arange(GRADES - 1) * -0.01) + np.arange(GRADES - 1) * 0.01
+        # Momentum starts again whenever it leads uphill.
+        momentum = 0 if slope @ (new_w - w) + by_edge[1:GRADES] @ (new_cuts - cuts) > 0 else momentum + 1
+        ahead = momentum / (momentum + 3)
+        at_w, at_cuts = new_w + ahead * (new_w - w), new_cuts + ahead * (new_cuts - cuts)
+        w, cuts = new_w, new_cuts
     weights[used] = w / spread
-    return Model(weights, steps[0] + np.concatenate([[0], np.cumsum(np.exp(steps[1:]))]))
+    return Model(weights, cuts)
 
 
 def graded(labels: DataFrame) -> DataFrame:
@@ -202,6 +211,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
     """``ratings``: ``doc_id`` and ``grade``. At most ``sample`` documents of each grade count."""
+    counts = dict(ratings.groupBy("grade").count().collect())
+    shares = np.array([counts.get(g, 0) for g in range(GRADES)], np.float64)
     chosen = None
     for grade in range(GRADES):
         part = ratings.filter(F.col("grade") == grade)
@@ -222,6 +233,7 @@ def fit(docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "te
         np.repeat(np.arange(len(counts)), counts),
         found.column("columns").combine_chunks().flatten().to_numpy(),
         found.column("values").combine_chunks().flatten().to_numpy().astype(np.float64),
+        shares,
     )
 
 
