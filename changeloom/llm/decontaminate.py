@@ -34,6 +34,8 @@ from .text import mix, pieces, seeds
 
 BITS, RANK, EXTRA = 20, 256, 16
 PASSAGE, STEP = 32, 16
+#: Passages whose latent vectors a task holds at once.
+TOGETHER = 1000
 LEAST_WORDS, LONGEST, ITEMS = 8, 256, 500
 LEAST_COSINE, SAME, LIKE, ANSWER, ANSWERED = 0.35, 0.85, 0.6, 5, 0.6
 
@@ -209,8 +211,8 @@ def _search(index: Index):
         total = all_sums[end] - all_sums[first]
         out = [[], [], []]
         likely = np.flatnonzero(known * PASSAGE >= LEAST_COSINE**2 * total)
-        for at in range(0, len(likely), 20_000):
-            part = likely[at : at + 20_000]
+        for at in range(0, len(likely), TOGETHER):
+            part = likely[at : at + TOGETHER]
             sizes = end[part] - first[part]
             starts = np.cumsum(sizes) - sizes
             own = np.arange(sizes.sum()) + np.repeat(first[part] - starts, sizes)

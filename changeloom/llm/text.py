@@ -16,7 +16,7 @@ import pyarrow as pa
 
 #: White space: tab, line feed, vertical tab, form feed, carriage return, space.
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _IS_WHITE = np.zeros(256, bool)
 _IS_WHITE[list(WHITE)] = True
