@@ -1,4 +1,10 @@
-from changeloom.operators.envelope import after_images, route, route_counts, split
+from changeloom.operators.envelope import (
+    after_images,
+    route,
+    route_counts,
+    split,
+    unreadable_envelopes,
+)
 from changeloom.operators.join import heavy_keys, lookup
 from changeloom.operators.keyvalue import from_key_value, to_key_value
 from changeloom.operators.serving import null_defaults, serving_projection, serving_table
@@ -23,4 +29,5 @@ __all__ = [
     "split",
     "stamp_status",
     "to_key_value",
+    "unreadable_envelopes",
 ]

@@ -59,6 +59,15 @@ def dead_letters(routed: DataFrame, entity: Entity) -> DataFrame:
     return unread.select(F.col("after").alias("raw_value"), F.lit(entity.name).alias("entity"))
 
 
+def unreadable_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
+    """``(raw_value, entity)`` for messages that are not JSON at all.
+
+    ``split`` drops them, as it drops deletes; this keeps them for a closer look.
+    """
+    broken = raw.filter(F.col("value").isNotNull() & F.try_parse_json("value").isNull())
+    return broken.select(F.col("value").alias("raw_value"), F.lit(entity.name).alias("entity"))
+
+
 def split(
     raw: DataFrame, entity: Entity, carry: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

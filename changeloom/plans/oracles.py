@@ -199,6 +199,12 @@ ORACLES = {
         for name in ("users", "products", "payments", "transactions", "shippings")
     },
     "cdc_dead_letter": " UNION ALL ".join(_dead_letters(name) for name in DAMAGED),
+    "cdc_dead_letter_envelope": " UNION ALL ".join(
+        f"""{_dead_letters(name)} UNION ALL
+        SELECT '{{"payload":' AS raw_value, '{name}' AS entity
+        FROM ({FEEDS[name]}) AS feed WHERE fault = 3"""
+        for name in DAMAGED
+    ),
     "cdc_route_counts": " UNION ALL ".join(f"({_routes(name)})" for name in DAMAGED),
     "cdc_date": f"""
         SELECT event_id, last_modified_ts,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from changeloom.entities import DATE_COLUMN, ENTITIES
 from changeloom.functions.time import change_order, with_date
-from changeloom.operators.envelope import after_images, route_counts, split
+from changeloom.operators.envelope import after_images, route_counts, split, unreadable_envelopes
 from changeloom.operators.keyvalue import from_key_value, to_key_value
 from changeloom.operators.serving import null_defaults, serving_projection, serving_table
 from changeloom.operators.status import stamp_status
@@ -96,6 +96,16 @@ def cdc_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
     return _over_damaged(spark, folder, lambda feed: split(feed.raw, feed.entity)[1])
 
 
+def cdc_dead_letter_envelope(spark: SparkSession, folder: str) -> DataFrame:
+    """Dead letters and the messages whose envelope cannot be read."""
+
+    def rejects(feed: feeds.Feed) -> DataFrame:
+        unread = unreadable_envelopes(feed.raw, feed.entity)
+        return split(feed.raw, feed.entity)[1].unionByName(unread)
+
+    return _over_damaged(spark, folder, rejects)
+
+
 def cdc_route_counts(spark: SparkSession, folder: str) -> DataFrame:
     def counts(feed: feeds.Feed) -> DataFrame:
         return route_counts(feed.raw, feed.entity).withColumn("entity", F.lit(feed.entity.name))
@@ -488,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "cdc_after": cdc_after,
     **{f"cdc_good_{name}": _cdc_good(name) for name in feeds.FEEDS},
     "cdc_dead_letter": cdc_dead_letter,
+    "cdc_dead_letter_envelope": cdc_dead_letter_envelope,
     "cdc_route_counts": cdc_route_counts,
     "cdc_date": cdc_date,
     "cdc_kv": cdc_kv,

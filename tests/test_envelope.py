@@ -12,6 +12,7 @@ from changeloom.operators.envelope import (
     route,
     route_counts,
     split,
+    unreadable_envelopes,
 )
 from tests.conftest import plan_of
 
@@ -143,6 +144,12 @@ def test_route_agrees_with_split(spark, rows):
     assert counts == {"good": 1, "dead_letter": len(DEAD), "dropped": len(DROPPED)}
 
 
+def test_only_broken_json_is_an_unreadable_envelope(spark):
+    found = unreadable_envelopes(raw(spark, *DROPPED.values(), message("{cut")), USERS).collect()
+    broken = {DROPPED[name] for name in ("cut_envelope", "not_json", "empty")}
+    assert {row["raw_value"] for row in found} == broken and len(found) == 3
+
+
 def test_each_json_text_is_parsed_once_and_nothing_shuffles(spark, tmp_path):
     path = str(tmp_path / "raw")
     raw(spark, message(json.dumps(USER))).write.parquet(path)
