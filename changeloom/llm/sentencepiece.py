@@ -21,7 +21,6 @@ is encoded with a leading white space, which decoding takes off again.
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -95,13 +94,6 @@ class Vocabulary:
         self.next[line, keys & 0xFF] = np.fromiter(child.values(), np.int32, len(child))
 
 
-#: Chunks of more bytes are filtered in logarithms, one by one.
-_LONG = 400
-#: Scales the forward sums of a chunk by a factor for each byte, which cancels out; about
-#: the inverse of a piece's weight a byte, so that sums stay near 1.
-_SCALE = 2.2
-
-
 @dataclass
 class _Lattice:
     """Forward-filtered edges of some chunks. Node k + c is the end of byte k of chunk c, and
@@ -147,24 +139,6 @@ def _edges(vocabulary: Vocabulary, data: np.ndarray, limit: np.ndarray):
     return tuple(np.concatenate(x) for x in (starts, sizes, names, weights))
 
 
-def _forward_long(total: np.ndarray, start, end, weight, edges: np.ndarray) -> np.ndarray:
-    """Chances of the edges of one long chunk, whose first node is ``total``'s first."""
-    order = edges[np.argsort(end[edges], kind="stable")]
-    logs, chances = {int(start[edges].min()): 0.0}, np.zeros(len(edges))
-    first = 0
-    cuts = np.append(np.flatnonzero(np.diff(end[order])) + 1, len(order))
-    for last in cuts:
-        part = order[first:last]
-        arrived = np.array([logs.get(int(v), -math.inf) for v in start[part]]) + weight[part]
-        top = arrived.max()
-        if top > -math.inf:
-            logs[int(end[part[0]])] = top + math.log(np.exp(arrived - top).sum())
-            chances[first:last] = np.exp(arrived - logs[int(end[part[0]])])
-        first = last
-    total[order] = chances
-    return total
-
-
 def forward(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> _Lattice:
     """Filter the lattices of the chunks of ``data`` between ``offsets``."""
     lengths = np.diff(offsets)
@@ -176,25 +150,27 @@ def forward(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> _L
     at, start, end, depth, sizes, names, weights = (
         x[by_end] for x in (at, start, end, depth, sizes, names, weights)
     )
-    scaled = np.exp(weights + _SCALE * sizes)
-    sums = np.zeros(len(data) + len(lengths) + 1)
-    sums[offsets[:-1] + np.arange(len(lengths))] = 1
-    long = lengths[chunk[at]] > _LONG
-    order = np.argsort(np.where(long, -1, depth), kind="stable")
-    levels = np.concatenate([np.searchsorted(depth[order][long.sum() :], np.arange(1, _LONG + 2)) + long.sum()])
+    # Sums are kept as logarithms: the weight of a path leaves the range of floats within
+    # some hundred bytes.
+    logs = np.full(len(data) + len(lengths) + 1, -np.inf)
+    logs[offsets[:-1] + np.arange(len(lengths))] = 0
+    chances = np.zeros(len(end))
+    order = np.argsort(depth, kind="stable")
+    levels = np.append(np.flatnonzero(np.diff(depth[order], prepend=0)), len(order))
     for first, last in zip(levels[:-1], levels[1:], strict=True):
-        if first == last:
-            continue
         part = order[first:last]
         ends = end[part]
         cuts = np.flatnonzero(np.append(True, ends[1:] != ends[:-1]))
-        sums[ends[cuts]] = np.add.reduceat(sums[start[part]] * scaled[part], cuts)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        chances = np.where(sums[end] > 0, sums[start] * scaled / sums[end], 0)
-    if long.any():
-        for c in np.unique(chunk[at[long]]):
-            edges = np.flatnonzero(long & (chunk[at] == c))
-            chances = _forward_long(chances, start, end, weights, edges)
+        sizes_in = np.diff(np.append(cuts, len(part)))
+        arrived = logs[start[part]] + weights[part]
+        top = np.maximum.reduceat(arrived, cuts)
+        top[top == -np.inf] = 0
+        shares = np.exp(arrived - np.repeat(top, sizes_in))
+        sums = np.add.reduceat(shares, cuts)
+        reached = sums > 0
+        logs[ends[cuts[reached]]] = top[reached] + np.log(sums[reached])
+        sums[~reached] = 1
+        chances[part] = shares / np.repeat(sums, sizes_in)
     live = chances > 0
     end, sizes, names, chances = end[live], sizes[live], names[live], chances[live]
     first = np.append(True, end[1:] != end[:-1])
@@ -252,7 +228,9 @@ def encode_texts(
             step += np.uint64(1)
             bits = mix(states[active] + step * _STEP)
         chance = (bits >> np.uint64(12)) * 2.0**-52
-        edge = np.searchsorted(lattice.keys, node[active] + chance, "right")
+        # A chance near 1 must not be rounded up to the next node.
+        drawn_at = np.minimum(node[active] + chance, np.nextafter(node[active] + 1.0, 0))
+        edge = np.searchsorted(lattice.keys, drawn_at, "right")
         taken[active] += 1
         drawn.append((active, lattice.names[edge]))
         node[active] -= lattice.sizes[edge]

@@ -23,6 +23,7 @@ from tests.llm.conftest import sentence
 
 MODEL = tokenizer_file("piece_bpe_32k.model")
 BPE = tokenizer_file("byte_bpe_50k.json")
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
 @pytest.fixture(scope="module")
@@ -71,6 +72,15 @@ def test_long_chunks_and_unknown_characters(vocabulary):
         assert joined(vocabulary, ids, counts).to_pylist() == texts
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789", "0123456789abcdef", BASE64])
+def test_words_of_some_hundred_random_characters(vocabulary, alphabet):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices(alphabet, k=n)) for n in (100, 150, 200, 399, 400, 2000) for _ in range(5)]
+    (part,) = pieces(pa.array(texts))
+    ids, counts = encode_texts(vocabulary, part, np.arange(len(texts)))
+    assert joined(vocabulary, ids, counts).to_pylist() == texts
+
+
 def test_pieces_depend_on_seed_and_key_alone(docs, rows_of):
     def run(df, seed=0):
         rows = encode(df, MODEL, seed=seed).select("row.doc_id", "row.text", "pieces", "ids_crc32", "lossless")
