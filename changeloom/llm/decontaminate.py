@@ -11,8 +11,9 @@ last words, which must come in order for a looser match to count.
 The passage norm covers all words, those outside the benchmark too; a passage whose known
 words cannot reach the least cosine is passed over, exactly.
 
-Passages of a set of at most ``ITEMS`` items go through the search at once, and their latent
-table is broadcast: at most ``ITEMS * LONGEST`` features of ``RANK`` numbers. A larger
+Passages of a set of at most ``ITEMS`` items and ``RANK`` passages go through the search at
+once, so that the space has a dimension for every passage and no copy is lost in it. Their
+latent table is broadcast: at most ``RANK * PASSAGE`` features of ``RANK`` numbers. A larger
 benchmark takes several passes. An item longer than ``LONGEST`` words is searched in parts.
 
 Defined results: null and empty texts match nothing. Items under ``LEAST_WORDS`` words say
@@ -32,10 +33,10 @@ from pyspark.sql import functions as F
 
 from .text import mix, pieces, seeds
 
-BITS, RANK, EXTRA = 20, 256, 16
+BITS, RANK, EXTRA = 20, 512, 16
 PASSAGE, STEP = 32, 16
 #: Passages whose latent vectors a task holds at once.
-TOGETHER = 1000
+TOGETHER = 500
 LEAST_WORDS, LONGEST, ITEMS = 8, 256, 500
 LEAST_COSINE, SAME, LIKE, ANSWER, ANSWERED = 0.35, 0.85, 0.6, 5, 0.6
 
@@ -164,14 +165,15 @@ def _index(spark, items: list[tuple[object, np.ndarray]], idf: np.ndarray, rank:
             passages.append(_buckets(words[cut : cut + PASSAGE]))
             item.append(k)
     rows = spark.createDataFrame([(x.tolist(),) for x in passages], "buckets array<long>")
-    bucket, basis = _decompose(rows, idf, rank)
+    bucket, basis = _decompose(rows, idf, max(rank, len(passages)))
     table = np.full(1 << BITS, len(bucket), np.int32)
     table[bucket] = np.arange(len(bucket))
     basis = np.vstack([basis, np.zeros(basis.shape[1])]).astype(np.float32)
     latent = []
     for x in passages:
         b, w = _vector(x, idf)
-        latent.append(w.astype(np.float32) @ basis[table[b]])
+        own = w.astype(np.float32) @ basis[table[b]]
+        latent.append(own / max(np.linalg.norm(own), 1e-30))
     return Index(idf, table, basis, np.array(latent).T.copy(), np.array(item), [w for _, w in items], [i for i, _ in items])
 
 
@@ -284,18 +286,25 @@ def _search(index: Index):
     return run
 
 
-def _items(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[object, np.ndarray]]]:
-    """Sets of items in the order of their ids: the words of each, long ones in parts."""
+def _items(
+    benchmark: DataFrame, id: str, text: str, rank: int
+) -> Iterator[list[tuple[object, np.ndarray]]]:
+    """Sets of items in the order of their ids: the words of each, long ones in parts. A set
+    of more than one part has at most ``rank`` passages."""
     held: list[tuple[object, np.ndarray]] = []
+    passages = 0
     for own_id, own_text in benchmark.select(id, text).orderBy(id, text).toLocalIterator():
         for texts in pieces(pa.array([own_text], pa.string())):
             n = len(texts.words)
             if n >= LEAST_WORDS:
                 parts = -(-n // LONGEST)
-                held += [(own_id, x) for x in np.array_split(texts.words, parts)]
-        if len(held) >= ITEMS:
-            yield held
-            held = []
+                for part in np.array_split(texts.words, parts):
+                    more = len(_cuts(len(part)))
+                    if held and (len(held) >= ITEMS or passages + more > rank):
+                        yield held
+                        held, passages = [], 0
+                    held.append((own_id, part))
+                    passages += more
     if held:
         yield held
 
@@ -315,7 +324,7 @@ def leaks(
     base = docs.select(F.col(id).alias("id"), F.xxhash64(id, text).alias("key"), F.col(text).alias("text"))
     kind, item_kind = (x.dataType.simpleString() for x in (base.schema["id"], benchmark.schema[item_id]))
     found, idf = None, None
-    for items in _items(benchmark, item_id, item_text):
+    for items in _items(benchmark, item_id, item_text, rank):
         idf = inverse_frequencies(docs, text) if idf is None else idf
         index = _index(spark, items, idf, rank)
         part = base.mapInArrow(

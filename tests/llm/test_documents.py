@@ -228,6 +228,21 @@ def test_large_benchmarks_take_several_passes(spark, monkeypatch):
     assert found == {(k, k) for k in range(10)}
 
 
+def test_no_copy_of_many_long_items_is_lost(spark):
+    rng = random.Random(12)
+    items = [sentence(rng, rng.randrange(15, 61), 6000) for _ in range(500)]
+    texts = []
+    for k, item in enumerate(items):
+        words = sentence(rng, 200, 6000).split()
+        cut = rng.randrange(len(words))
+        texts.append((k, " ".join([*words[:cut], item, *words[cut:]])))
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
+    found = {(r["id"], r["item_id"]) for r in leaks(docs, benchmark).collect()}
+    lost = {(k, k) for k in range(500)} - found
+    assert not lost, len(lost)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=30), st.lists(st.integers(0, 4), max_size=30))
 def test_common_subsequence(a, b):
