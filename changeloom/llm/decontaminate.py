@@ -8,8 +8,10 @@ passage, for a cosine with some benchmark passage in that space. Candidates are
 the longest common subsequence of words with the whole item, and by its answer: the item's
 last words, which must come in order for a looser match to count.
 
-The passage norm covers all words, those outside the benchmark too; a passage whose known
-words cannot reach the least cosine is passed over, exactly.
+The passage norm covers all words, those outside the benchmark too. So that rare words around
+a copy do not hide it, a passage is also a candidate if it holds a share ``HELD`` of a
+benchmark passage's own weight, whatever else it says. Of a whole copy, one of two neighbouring
+passages holds half at least. A passage whose known words reach neither is passed over, exactly.
 
 Passages of a set of at most ``ITEMS`` items and ``RANK`` passages go through the search at
 once, so that the space has a dimension for every passage and no copy is lost in it. Their
@@ -38,7 +40,7 @@ PASSAGE, STEP = 32, 16
 #: Passages whose latent vectors a task holds at once.
 TOGETHER = 500
 LEAST_WORDS, LONGEST, ITEMS = 8, 256, 500
-LEAST_COSINE, SAME, LIKE, ANSWER, ANSWERED = 0.35, 0.85, 0.6, 5, 0.6
+LEAST_COSINE, HELD, SAME, LIKE, ANSWER, ANSWERED = 0.35, 0.45, 0.85, 0.6, 5, 0.6
 
 
 def _buckets(words: np.ndarray) -> np.ndarray:
@@ -103,6 +105,8 @@ class Index:
     table: np.ndarray  # line of each bucket, or the last line, which is zero
     basis: np.ndarray  # latent vector of each known bucket
     latent: np.ndarray  # one column for each passage
+    norm: np.ndarray  # of each passage, before it was scaled to 1
+    most: np.ndarray  # by line: the greatest share that one such word is of a passage
     item: np.ndarray  # of each passage
     words: list[np.ndarray]
     ids: list
@@ -169,12 +173,19 @@ def _index(spark, items: list[tuple[object, np.ndarray]], idf: np.ndarray, rank:
     table = np.full(1 << BITS, len(bucket), np.int32)
     table[bucket] = np.arange(len(bucket))
     basis = np.vstack([basis, np.zeros(basis.shape[1])]).astype(np.float32)
-    latent = []
+    latent, norms = [], []
+    most = np.zeros(len(bucket) + 1)
     for x in passages:
         b, w = _vector(x, idf)
+        norms.append(np.linalg.norm(np.unique(x, return_counts=True)[1] * idf[b].astype(np.float64)))
+        most[table[b]] = np.maximum(most[table[b]], w / max(norms[-1], 1e-30))
         own = w.astype(np.float32) @ basis[table[b]]
         latent.append(own / max(np.linalg.norm(own), 1e-30))
-    return Index(idf, table, basis, np.array(latent).T.copy(), np.array(item), [w for _, w in items], [i for i, _ in items])
+    most[-1] = 0
+    return Index(
+        idf, table, basis, np.array(latent).T.copy(), np.array(norms, np.float32), most, np.array(item),
+        [w for _, w in items], [i for i, _ in items],
+    )
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -193,6 +204,7 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
 def _search(index: Index):
     known_square = np.append(np.ones(len(index.basis) - 1, np.float32), np.float32(0))
     words = [w.tolist() for w in index.words]
+    least = HELD * index.norm.min()
 
     def candidates(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word and end of a passage, and the benchmark passage that it resembles."""
@@ -212,7 +224,10 @@ def _search(index: Index):
         # Repeated words: the norm is at least this, and the known part at most PASSAGE times.
         total = all_sums[end] - all_sums[first]
         out = [[], [], []]
-        likely = np.flatnonzero(known * PASSAGE >= LEAST_COSINE**2 * total)
+        could = np.concatenate([[0], np.cumsum(weight * index.most[line])])
+        likely = np.flatnonzero(
+            (known * PASSAGE >= LEAST_COSINE**2 * total) | (could[end] - could[first] >= HELD)
+        )
         for at in range(0, len(likely), TOGETHER):
             part = likely[at : at + TOGETHER]
             sizes = end[part] - first[part]
@@ -229,7 +244,8 @@ def _search(index: Index):
             norm = np.sqrt(np.bincount(p, values.astype(np.float64) ** 2, len(part)))
             inside = known_square[index.table[b]] > 0
             share = np.sqrt(np.bincount(p[inside], values[inside].astype(np.float64) ** 2, len(part)))
-            good = share >= LEAST_COSINE * norm
+            bound = np.bincount(p, values * index.most[index.table[b]], len(part))
+            good = (share >= LEAST_COSINE * norm) | (share >= least) & (bound >= HELD)
             keep = inside & good[p]
             if not keep.any():
                 continue
@@ -237,8 +253,9 @@ def _search(index: Index):
             cuts = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
             some = p[cuts]
             latent = np.add.reduceat(index.basis[lines] * values[:, None].astype(np.float32), cuts, axis=0)
-            cosine = latent @ index.latent / norm[some][:, None]
-            hit, passage = np.nonzero(cosine >= LEAST_COSINE)
+            product = latent @ index.latent
+            cosine = product / norm[some][:, None]
+            hit, passage = np.nonzero((cosine >= LEAST_COSINE) | (product >= HELD * index.norm))
             out[0].append(part[some[hit]])
             out[1].append(passage)
             out[2].append(cosine[hit, passage])

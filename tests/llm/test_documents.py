@@ -243,6 +243,22 @@ def test_no_copy_of_many_long_items_is_lost(spark):
     assert not lost, len(lost)
 
 
+def test_rare_words_do_not_hide_a_short_item(spark):
+    rng = random.Random(13)
+    items = [sentence(rng, rng.randrange(8, 32), 400) for _ in range(120)]
+    texts = []
+    for k, item in enumerate(items):
+        rare = [f"r{k}-{j}" for j in range(80)]
+        cut = rng.randrange(len(rare))
+        texts.append((k, " ".join([*rare[:cut], item, *rare[cut:]])))
+    texts += [(1000 + k, sentence(rng, 100)) for k in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
+    found = {(r["id"], r["item_id"]) for r in leaks(docs, benchmark).collect()}
+    lost = {(k, k) for k in range(120)} - found
+    assert not lost, len(lost)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.integers(0, 4), max_size=30), st.lists(st.integers(0, 4), max_size=30))
 def test_common_subsequence(a, b):
