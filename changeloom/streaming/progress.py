@@ -33,6 +33,7 @@ class ProgressListener(StreamingQueryListener):
         self._spark, self._path = spark, path
         self._lock = threading.Lock()
         self.running: set[str] = set()
+        self.heard = time.monotonic()
 
     def onQueryStarted(self, event):
         self.running.add(str(event.runId))
@@ -44,6 +45,7 @@ class ProgressListener(StreamingQueryListener):
             line = self._spark.createDataFrame([(event.progress.json,)], "value STRING")
             with self._lock:
                 line.coalesce(1).write.mode("append").text(self._path)
+        self.heard = time.monotonic()
 
     def onQueryIdle(self, event):
         pass
@@ -52,6 +54,7 @@ class ProgressListener(StreamingQueryListener):
         if event.exception:
             logger.error("run %s failed: %s", event.runId, event.exception)
         self.running.discard(str(event.runId))
+        self.heard = time.monotonic()
 
 
 @contextmanager
@@ -59,17 +62,17 @@ def recorded(spark: SparkSession, path: str, patience: float = 60.0) -> Iterator
     """Keep the reports of all queries that run within the block.
 
     Reports arrive after the batches they tell of; the block ends when those of the
-    queries that ended in it have arrived.
+    queries that ended in it have arrived, and fails if none arrives for ``patience`` seconds
+    while some are missing.
     """
     listener = ProgressListener(spark, path)
     spark.streams.addListener(listener)
     try:
         yield
-        limit = time.monotonic() + patience
-        while time.monotonic() < limit:
-            active = {str(query.runId) for query in spark.streams.active}
-            if not listener.running - active:
-                break
+        ended = time.monotonic()
+        while missing := listener.running - {str(query.runId) for query in spark.streams.active}:
+            if time.monotonic() - max(ended, listener.heard) > patience:
+                raise TimeoutError(f"reports of runs {sorted(missing)} have not arrived")
             time.sleep(0.05)
     finally:
         spark.streams.removeListener(listener)

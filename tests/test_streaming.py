@@ -271,3 +271,16 @@ def test_a_failed_query_fails_the_job(spark, inbox, tmp_path):
     with pytest.raises(StreamingQueryException, match="broken output"):
         await_all(spark)
     spark.streams.resetTerminated()
+
+
+def test_missing_reports_are_an_error(tmp_path):
+    from types import SimpleNamespace
+
+    kept = []
+    streams = SimpleNamespace(active=[], addListener=kept.append, removeListener=kept.remove)
+    with pytest.raises(TimeoutError, match="lost"):
+        with recorded(SimpleNamespace(streams=streams), str(tmp_path), patience=0.2):
+            kept[0].running.add("lost")
+    assert not kept
+    with recorded(SimpleNamespace(streams=streams), str(tmp_path), patience=0.2):
+        pass
