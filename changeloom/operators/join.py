@@ -6,8 +6,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A sketch that tracks this many keys is off by a small share of a partition.
-MOST_TRACKED = 4096
+# The most keys that the engine's sketches can track, enough for 125,000 partitions.
+MOST_TRACKED = 1_000_000
 
 
 def partitions_of(spark: SparkSession) -> int:
@@ -18,8 +18,8 @@ def heavy_keys(facts: DataFrame, *keys: str, partitions: int | None = None) -> d
     """Per key column, the values (NULL included) found in over half a partition's even share.
 
     The more partitions, the smaller the share that makes one of them late, so the
-    threshold follows their number; at most twice as many keys can pass it. One pass
-    over the key columns with mergeable sketches of fixed size, merged in two levels:
+    threshold follows their number; at most twice as many keys can pass it, and the sketches
+    track four times as many as that. One pass over the key columns, merged in two levels:
     first by groups of tasks, about as many as the square root of the partitions, so
     that no task receives the sketches of all. Counts are approximate, which is fine
     for deciding what to spread; no result depends on them.
@@ -27,8 +27,8 @@ def heavy_keys(facts: DataFrame, *keys: str, partitions: int | None = None) -> d
     if not keys or facts.isEmpty():
         return {key: [] for key in keys}
     partitions = partitions or partitions_of(facts.sparkSession)
-    most = min(2 * partitions, MOST_TRACKED // 4)
-    tracked = min(4 * most, MOST_TRACKED)
+    most = min(2 * partitions, 100_000)
+    tracked = min(max(4 * most, 1024), MOST_TRACKED)
     # Whole tasks go to a group, so that each sends one sketch.
     group = F.spark_partition_id() % F.lit(math.isqrt(partitions) + 1)
     sketch = [F.expr(f"approx_top_k_accumulate({k}, {tracked})").alias(f"s{i}") for i, k in enumerate(keys)]

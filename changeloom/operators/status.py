@@ -5,9 +5,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: what readers of the tables expect.
+STAMP = "UPDATED"
+
 
 def stamp_status(
-    changes: DataFrame, key: str, order: Sequence[Column], stamp: str = "UPDATED"
+    changes: DataFrame, key: str, order: Sequence[Column], stamp: str = STAMP
 ) -> DataFrame:
     """Set ``status`` on every change of a key but its first.
 

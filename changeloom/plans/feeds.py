@@ -24,6 +24,7 @@ from changeloom.entities import (
     Entity,
 )
 from changeloom.sources.files import read_table, stream_table
+from changeloom.sources.filesystem import stamp
 
 EVENTS = Entity(
     name="events",
@@ -238,6 +239,15 @@ def event_stream(spark: SparkSession, folder: str) -> Feed:
     return _events(stream_table(spark, folder, "events"))
 
 
+#: The tables that the feeds are computed from.
+SOURCES = ("lineitem", "orders", "part", "customer", "nation")
+
+
+def signature(spark: SparkSession, folder: str) -> tuple:
+    """Sizes and times of the source tables: another one whenever their files change."""
+    return tuple(stamp(spark, f"{folder}/{name}.parquet") for name in SOURCES)
+
+
 FEEDS = {
     "users": users,
     "products": products,

@@ -175,6 +175,12 @@ def _serving(name: str, columns: str) -> str:
                FROM {_current(name)} AS latest"""
 
 
+# A seventh of the transactions has times without a fraction, hence no date.
+UNDATED = f"""(
+    SELECT * REPLACE (CASE WHEN off // 1000000 % 7 = 0 THEN substr(last_modified_ts, 1, 19)
+                           ELSE last_modified_ts END AS last_modified_ts)
+    FROM {_good("transactions")} AS good)"""
+
 LAST_SEEN = _current("events", "user_id")
 DAMAGED = ("transactions", "shippings", "events")
 
@@ -324,6 +330,18 @@ ORACLES = {
         SELECT {COLUMNS["events"]}, {DAY} AS date
         FROM {LAST_SEEN} AS latest""",
     "stream_upsert_transactions": _retained("transactions"),
+    "stream_upsert_undated": f"""
+        SELECT {COLUMNS["transactions"]}, {DAY} AS date, batches
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY transaction_id
+                  ORDER BY CAST(last_modified_ts AS TIMESTAMP) DESC, last_modified_ts DESC, off DESC
+              ) AS newest FROM {UNDATED} AS changes) AS ranked,
+             (VALUES ('thirds'), ('halves')) AS b(batches)
+        WHERE newest = 1 AND length(last_modified_ts) > 19
+          AND CAST({DAY} AS DATE) > DATE '2001-11-04' - 3""",
+    "archive_merged": f"""
+        SELECT {COLUMNS["events"]}, off, {DAY} AS date FROM {_good("events")} AS good
+        WHERE {DAY} >= '2024-01-10' AND {DAY} < '2024-01-20'""",
     "stream_fanout": PUBLISHED,
     **{
         f"stream_fanout_{name}": _published(name)
@@ -335,3 +353,15 @@ ORACLES = {
     "stream_progress": """
         SELECT 'events-history' AS query, count(*) AS input_rows FROM events""",
 }
+
+# What a live table holds in the end is what its batch form gives.
+ORACLES |= {
+    live: ORACLES[batch]
+    for live, batch in (
+        ("q_star_colocated", "q_star_revenue"),
+        ("serving_live", "serving_table"),
+        ("status_live", "status_stamp"),
+        ("rollup_live_daily", "q_daily"),
+        ("rollup_live_metrics", "q_metrics_by_dim"),
+    )
+}

@@ -30,7 +30,8 @@ from changeloom.plans.serving import (
 )
 from changeloom.session import scratch_dir, stored
 from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
-from changeloom.sources.layout import write_indexed, write_sorted
+from changeloom.sources.archive import clean_archive, merge_archive
+from changeloom.sources.layout import write_bucketed, write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
 from changeloom.streaming.progress import progress_table, recorded
 from changeloom.streaming.sinks import (
@@ -42,6 +43,9 @@ from changeloom.streaming.sinks import (
     start_key_values,
 )
 from changeloom.streaming.job import start_separate
+from changeloom.streaming.rollup import compact_rollup, read_rollup, start_rollup
+from changeloom.streaming.serving import compact_serving, follow_records, read_serving
+from changeloom.streaming.status import compact_status, read_status, start_status
 from changeloom.streaming.tables import compact, read_upserts, start_upserts, vacuum
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +54,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 AS_OF = date(2001, 11, 4)
 # Archived events before this day are replayed from the archive, later ones from the feed.
 REPLAY_FROM = date(2024, 1, 15)
+# Buckets of the maintained tables here, which are small.
+FEW = 4
+# Days that are read from a merged archive.
+SINCE, UNTIL = date(2024, 1, 10), date(2024, 1, 20)
 # The newest event per user: the event stream under another key.
 LAST_SEEN = replace(feeds.EVENTS, name="last_seen", key="user_id")
 
@@ -208,12 +216,12 @@ def layout_bloom(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def served(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The latest-state table of an entity, stored once a session in its layout.
+    """The latest-state table of an entity, stored once a session and state of its input.
 
     Sorted by time where the entity says so, with bloom filters on its lookup columns
     either way, so that lookups reach the scan as pushed filters.
     """
-    owner = (spark.sparkContext.applicationId, folder, name)
+    owner = (spark.sparkContext.applicationId, folder, name, feeds.signature(spark, folder))
     if owner not in _SERVED:
         entity, path = ENTITIES[name], scratch_dir(spark, f"served_{name}")
         if entity.sorted_by:
@@ -224,7 +232,7 @@ def served(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(ENTITIES[name].schema).parquet(_SERVED[owner])
 
 
-_SERVED: dict[tuple[str, str, str], str] = {}
+_SERVED: dict[tuple, str] = {}
 
 
 def q_point_lookup(spark: SparkSession, folder: str) -> DataFrame:
@@ -325,6 +333,15 @@ def q_star_revenue(spark: SparkSession, folder: str) -> DataFrame:
     return star_revenue(tables, ["category", "job", "payment_method", "shipping_status"])
 
 
+def q_star_colocated(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with transactions and shippings stored in the same buckets."""
+    tables = {name: served(spark, folder, name) for name in feeds.FEEDS}
+    for name in ("transactions", "shippings"):
+        path = scratch_dir(spark, f"bucketed_{name}")
+        tables[name] = write_bucketed(tables[name], path, "shipping_id", 8)
+    return star_revenue(tables, ["category", "job", "payment_method", "shipping_status"])
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -400,11 +417,124 @@ def stream_upsert_transactions(spark: SparkSession, folder: str) -> DataFrame:
         rows = split(_messages(spark, folder, entity.name, run, part), entity, ["off"])[0]
         ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
         drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
-        compact(spark, f"{run}/table", entity, log_order(), AS_OF)
+        compact(spark, f"{run}/table", entity, log_order(), AS_OF, buckets=FEW)
         vacuum(spark, f"{run}/table", entity)
     return text_date(read_upserts(spark, f"{run}/table", entity, log_order(), AS_OF).drop("off"))
 
 
+def _undated(spark: SparkSession, folder: str) -> feeds.Feed:
+    """Transactions of which a seventh have times without a fraction, hence no date."""
+    feed = feeds.transactions(spark, folder)
+    seventh = F.expr("off DIV 1000000 % 7 = 0")
+    time = F.when(seventh, F.substring("last_modified_ts", 1, 19)).otherwise(F.col("last_modified_ts"))
+    return replace(feed, rows=feed.rows.withColumn("last_modified_ts", time))
+
+
+def _in_parts(spark: SparkSession, feed: feeds.Feed, run: str, parts: list[Column]):
+    """The decoded changes of a feed as a stream, once for each part that has arrived."""
+    for part in parts:
+        feed.raw.filter(part).write.mode("append").parquet(f"{run}/messages")
+        raw = spark.readStream.schema("value STRING, off BIGINT").parquet(f"{run}/messages")
+        yield split(raw, feed.entity, ["off"])[0]
+
+
+def _thirds(*numbers: int) -> list[Column]:
+    return [F.pmod(F.xxhash64("off"), F.lit(3)) == n for n in numbers]
+
+
+def stream_upsert_undated(spark: SparkSession, folder: str) -> DataFrame:
+    """Compaction with retention between batches, newest first and not, with undated changes."""
+    feed, entity = _undated(spark, folder), feeds.TRANSACTIONS
+    late = F.col("off") % 2 == 1
+    orders = {"thirds": _thirds(2, 0, 1), "halves": [late, ~late]}
+    tables = []
+    for name, parts in orders.items():
+        run = scratch_dir(spark, f"stream_upsert_undated_{name}")
+        for rows in _in_parts(spark, feed, run, parts):
+            ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
+            drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
+            compact(spark, f"{run}/table", entity, log_order(), AS_OF, buckets=FEW)
+            vacuum(spark, f"{run}/table", entity)
+        table = read_upserts(spark, f"{run}/table", entity, log_order(), AS_OF)
+        tables.append(text_date(table.drop("off")).withColumn("batches", F.lit(name)))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def serving_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Both hops as streams: changes to records, records to the serving table. The second
+    is stopped while the first goes on, and resumes."""
+    run = scratch_dir(spark, "serving_live")
+    for half in _halves(spark, folder, run):
+        feed = replace(feeds.event_stream(spark, half), entity=LAST_SEEN)
+        dated = with_date(split(feed.raw, LAST_SEEN, ["off"])[0])
+        ends = (FileSink(f"{run}/kv"), f"{run}/checkpoint-{half.rsplit('/', 1)[1]}", ONCE)
+        drain([start_key_values(dated, LAST_SEEN, *ends)])
+        second = (f"{run}/kv/{LAST_SEEN.name}", LAST_SEEN, f"{run}/table", f"{run}/hop", ONCE)
+        drain([follow_records(spark, *second)])
+        compact_serving(spark, f"{run}/table", LAST_SEEN, FEW)
+    return read_serving(spark, f"{run}/table", LAST_SEEN)
+
+
+def status_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Status stamps in three batches that mix early and late changes, state folded between."""
+    run, feed = scratch_dir(spark, "status_live"), feeds.transactions(spark, folder)
+    for rows in _in_parts(spark, feed, run, _thirds(1, 2, 0)):
+        drain([start_status(rows, feed.entity, f"{run}/table", f"{run}/checkpoint", ONCE)])
+        compact_status(spark, f"{run}/table", feed.entity, FEW)
+    return read_status(spark, f"{run}/table", feed.entity)
+
+
+def _live_rollup(spark: SparkSession, folder: str, run: str, by: dict, sums: dict) -> DataFrame:
+    feed, names = feeds.transactions(spark, folder), (list(by), list(sums))
+    for number, rows in enumerate(_in_parts(spark, feed, run, _thirds(2, 1, 0))):
+        ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
+        drain([start_rollup(with_date(rows), feed.entity, log_order(), by, sums, *ends)])
+        if number < 2:
+            compact_rollup(spark, f"{run}/table", feed.entity, log_order(), *names, FEW)
+    return read_rollup(spark, f"{run}/table", *names)
+
+
+def rollup_live_daily(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily roll-up, kept up to date over three batches with retraction."""
+    sums = {name: F.col(name) for name in ("quantity", "discount")}
+    run = scratch_dir(spark, "rollup_live_daily")
+    days = _live_rollup(spark, folder, run, {DATE_COLUMN: F.col(DATE_COLUMN)}, sums)
+    average = (F.col("discount") / F.col("rows")).alias("avg_discount")
+    return text_date(days).select(DATE_COLUMN, F.col("rows").alias("orders"), F.col("quantity").alias("units"), average)
+
+
+def rollup_live_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by payment and status; least and greatest quantity over the combinations left."""
+    by = {name: F.col(name) for name in ("payment_id", "status", "quantity")}
+    run = scratch_dir(spark, "rollup_live_metrics")
+    parts = _live_rollup(spark, folder, run, by, {"discount": F.col("discount")})
+    return roll_up(
+        parts,
+        ["payment_id", "status"],
+        {
+            "orders": F.sum("rows"),
+            "units": F.sum(F.col("rows") * F.col("quantity")),
+            "avg_discount": F.sum("discount") / F.sum("rows"),
+            "min_quantity": F.min("quantity"),
+            "max_quantity": F.max("quantity"),
+        },
+    )
+
+
+def archive_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Some days of an archive whose batches have been merged, and of one more batch since."""
+    run = scratch_dir(spark, "archive_merged")
+    path = f"{run}/archive/events"
+    parts = _thirds(0, 1, 2)
+    feed = feeds.events(spark, folder)
+    for number, rows in enumerate(_in_parts(spark, feed, run, parts)):
+        drain([start_archive(with_date(rows), feed.entity, f"{run}/archive", f"{run}/checkpoint", ONCE)])
+        if number < 2:
+            merge_archive(spark, path, feed.entity, crowded=2)
+            clean_archive(spark, path)
+    return text_date(read_archive(spark, path, feed.entity, SINCE, UNTIL))
+
+
 def _targets(run: str, checkpoint: str = "checkpoint") -> FanOutTargets:
     return FanOutTargets(
         f"{run}/archive", f"{run}/dlq", FileSink(f"{run}/kv"), f"{run}/{checkpoint}"
@@ -495,6 +625,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "q_star_revenue": q_star_revenue,
+    "q_star_colocated": q_star_colocated,
     "cdc_after": cdc_after,
     **{f"cdc_good_{name}": _cdc_good(name) for name in feeds.FEEDS},
     "cdc_dead_letter": cdc_dead_letter,
@@ -530,6 +661,12 @@ QUERIES: dict[str, Query] = {
     "archive_replay": archive_replay,
     "stream_upsert": stream_upsert,
     "stream_upsert_transactions": stream_upsert_transactions,
+    "stream_upsert_undated": stream_upsert_undated,
+    "serving_live": serving_live,
+    "status_live": status_live,
+    "rollup_live_daily": rollup_live_daily,
+    "rollup_live_metrics": rollup_live_metrics,
+    "archive_merged": archive_merged,
     "stream_fanout": stream_fanout,
     **{f"stream_fanout_{name}": _stream_fanout(name) for name in feeds.FEEDS},
     "stream_fresh_checkpoint": stream_fresh_checkpoint,

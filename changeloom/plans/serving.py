@@ -90,7 +90,8 @@ def star(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     facts = tables["transactions"]
     heavy = heavy_keys(facts, *(key for name, (key, _) in STAR.items() if name not in ONE_TO_ONE))
-    for name, (key, wanted) in STAR.items():
+    # One-to-one dimensions first: stored in the same buckets as the facts, they need no exchange.
+    for name, (key, wanted) in sorted(STAR.items(), key=lambda entry: entry[0] not in ONE_TO_ONE):
         dimension = tables[name].select(key, *wanted)
         facts = lookup(facts, dimension, key, heavy.get(key, ()), [TRANSACTIONS.key])
     return facts

@@ -1,3 +1,5 @@
+from changeloom.sources.archive import clean_archive, merge_archive
+from changeloom.sources.filelog import FileLog
 from changeloom.sources.files import (
     read_archive,
     read_dead_letters,
@@ -10,6 +12,9 @@ from changeloom.sources.layout import write_indexed, write_sorted
 
 __all__ = [
     "Broker",
+    "FileLog",
+    "clean_archive",
+    "merge_archive",
     "read_archive",
     "read_changes",
     "read_dead_letters",

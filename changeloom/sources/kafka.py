@@ -1,11 +1,17 @@
-"""Kafka topics in and out. Needs the Spark Kafka package on the class path."""
+"""Kafka topics in and out. Needs the Spark Kafka package on the class path.
+
+Clean records carry the position of their change in the change topic as a header: tasks
+write side by side, so that the clean topic's own offsets do not tell which of two
+changes of equal time is the newer.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from changeloom.entities import Entity
 
@@ -13,6 +19,8 @@ from changeloom.entities import Entity
 CHANGE_TOPIC = "transactions_streaming.public.{name}"
 CLEAN_TOPIC = "streaming_{name}"
 
+POSITION_HEADER = "off"
+
 
 @dataclass(frozen=True)
 class Broker:
@@ -49,6 +57,24 @@ def sink_options(broker: Broker, entity: Entity) -> dict[str, str]:
     return {**broker.options(), "topic": CLEAN_TOPIC.format(name=entity.name)}
 
 
+def position_headers(position: str = "off") -> Column:
+    """Record headers that name the position of the change."""
+    value = F.col(position).cast("string").cast("binary")
+    header = F.struct(F.lit(POSITION_HEADER).alias("key"), value.alias("value"))
+    return F.array(header).alias("headers")
+
+
+def clean_records(records: DataFrame) -> DataFrame:
+    """``(key, value, off)`` of records with headers; the topic's offset where a record has none."""
+    named = F.filter("headers", lambda h: h["key"] == POSITION_HEADER)
+    position = F.get(named, F.lit(0))["value"].cast("string").try_cast("bigint")
+    return records.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        F.coalesce(position, F.col("offset")).alias("off"),
+    )
+
+
 def read_changes(
     spark: SparkSession,
     broker: Broker,
@@ -79,9 +105,5 @@ def read_clean(
     As a batch, what the topic holds now; as a stream, that and all that follows.
     """
     reader = spark.readStream if streaming else spark.read
-    return (
-        reader.format("kafka")
-        .options(**source_options(broker, CLEAN_TOPIC.format(name=entity.name)))
-        .load()
-        .selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value", "offset AS off")
-    )
+    options = source_options(broker, CLEAN_TOPIC.format(name=entity.name))
+    return clean_records(reader.format("kafka").options(**options, includeHeaders="true").load())

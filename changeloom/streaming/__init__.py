@@ -1,5 +1,7 @@
 from changeloom.streaming.lifecycle import await_all, drain
 from changeloom.streaming.progress import ProgressListener, progress_table, recorded
+from changeloom.streaming.rollup import compact_rollup, read_rollup, start_rollup
+from changeloom.streaming.serving import compact_serving, follow_records, read_serving, start_serving
 from changeloom.streaming.sinks import (
     FanOutTargets,
     FileSink,
@@ -9,6 +11,7 @@ from changeloom.streaming.sinks import (
     start_dead_letters,
     start_key_values,
 )
+from changeloom.streaming.status import compact_status, read_status, start_status
 from changeloom.streaming.tables import compact, read_upserts, start_upserts, vacuum
 
 __all__ = [
@@ -18,14 +21,24 @@ __all__ = [
     "ProgressListener",
     "await_all",
     "compact",
+    "compact_rollup",
+    "compact_serving",
+    "compact_status",
     "drain",
     "fan_out",
+    "follow_records",
     "progress_table",
+    "read_rollup",
+    "read_serving",
+    "read_status",
     "read_upserts",
     "recorded",
     "start_archive",
     "start_dead_letters",
     "start_key_values",
+    "start_rollup",
+    "start_serving",
+    "start_status",
     "start_upserts",
     "vacuum",
 ]

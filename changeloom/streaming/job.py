@@ -130,7 +130,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(message)s")
     args = _arguments(argv)
     spark: SparkSession = build_session("change_streams", _object_store(), **SHARED)
-    spark.streams.addListener(ProgressListener(spark, args.metrics))
+    listener = ProgressListener(spark, args.metrics)
+    spark.streams.addListener(listener)
 
     broker = Broker(args.brokers)
 
@@ -142,5 +143,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     targets = FanOutTargets(args.archive, args.dead_letters, KafkaSink(broker), args.checkpoints)
     start = start_separate if args.separate else start_fan_outs
     trigger = {"processingTime": args.interval} if args.interval else None
-    start(source, [ENTITIES[name] for name in args.entities], targets, trigger=trigger)
-    await_all(spark)
+    try:
+        start(source, [ENTITIES[name] for name in args.entities], targets, trigger=trigger)
+        await_all(spark)
+    finally:
+        listener.close()

@@ -7,9 +7,12 @@ same layout, so that either can follow the other on the same targets::
     archive/<entity>/run=<query id>/batch_id=<n>/date=<day>/
     key values, dead letters: <root>/<entity>/run=<query id>/batch_id=<n>/
 
-The query id lives in the checkpoint. A batch that is repeated after a failure
-replaces its own folders; a query with a fresh checkpoint has another id and
-adds to what is there.
+The query id lives in the checkpoint. A batch counts once it stands in the log, which
+is written after all its outputs: readers see the whole batch or none of it. A batch
+that is repeated after a failure replaces its own folders, or does nothing if it stands
+in the log already; a query with a fresh checkpoint has another id and adds to what is
+there. ``fan_out`` keeps one log for its three outputs, below the archive, to which the
+others point; the ``start_*`` queries keep one below each output.
 """
 
 from __future__ import annotations
@@ -25,10 +28,12 @@ from changeloom.entities import DATE_COLUMN, Entity
 from changeloom.functions.time import with_date
 from changeloom.operators.envelope import dead_letters, good_rows, route
 from changeloom.operators.keyvalue import to_key_value
-from changeloom.sources.kafka import Broker, sink_options
+from changeloom.sources.filelog import FileLog
+from changeloom.sources.kafka import Broker, position_headers, sink_options
 
 Trigger = Mapping[str, object]
-Publish = Callable[[DataFrame, str, int], None]
+#: Writes a batch and returns the folders that it wrote, by kind.
+Publish = Callable[[DataFrame, str, int], Mapping[str, str]]
 
 #: The position in the log, which settles equal times.
 POSITION = ("off",)
@@ -53,9 +58,13 @@ class KafkaSink:
     broker: Broker
 
     def save(self, records: DataFrame, entity: Entity, run: str, batch_id: int) -> None:
-        pairs = records.select("key", "value").write.format("kafka")
+        headers = [position_headers()] if "off" in records.columns else []
+        pairs = records.select("key", "value", *headers).write.format("kafka")
         pairs.options(**sink_options(self.broker, entity)).save()
 
+    def root(self, entity: Entity) -> None:
+        """No files of its own."""
+
 
 @dataclass(frozen=True)
 class FileSink:
@@ -64,28 +73,41 @@ class FileSink:
     path: str
 
     def save(self, records: DataFrame, entity: Entity, run: str, batch_id: int) -> None:
-        folder = batch_folder(f"{self.path}/{entity.name}", run, batch_id)
+        folder = batch_folder(self.root(entity), run, batch_id)
         records.write.mode("overwrite").parquet(folder)
 
+    def root(self, entity: Entity) -> str:
+        return f"{self.path}/{entity.name}"
+
 
-def save_archive(dated: DataFrame, root: str, run: str, batch_id: int) -> None:
+def save_archive(dated: DataFrame, root: str, run: str, batch_id: int) -> str:
     """Rebalanced by date first: a quiet batch ends in few files instead of one per task,
     a backlog in a few per date, and a crowded date is split again by its size."""
+    folder = batch_folder(root, run, batch_id)
     writer = dated.hint("rebalance", DATE_COLUMN).write.mode("overwrite")
-    writer.partitionBy(DATE_COLUMN).parquet(batch_folder(root, run, batch_id))
+    writer.partitionBy(DATE_COLUMN).parquet(folder)
+    return folder
 
 
-def save_dead_letters(dead: DataFrame, root: str, run: str, batch_id: int) -> None:
-    dead.hint("rebalance").write.mode("overwrite").json(batch_folder(root, run, batch_id))
+def save_dead_letters(dead: DataFrame, root: str, run: str, batch_id: int) -> str:
+    folder = batch_folder(root, run, batch_id)
+    dead.hint("rebalance").write.mode("overwrite").json(folder)
+    return folder
 
 
 def start(
-    rows: DataFrame, publish: Publish, name: str, checkpoint: str, trigger: Trigger | None
+    rows: DataFrame, publish: Publish, log: FileLog, name: str, checkpoint: str, trigger: Trigger | None
 ) -> StreamingQuery:
-    """A query that hands every batch to ``publish`` with its query id and number."""
-    writer = rows.writeStream.foreachBatch(
-        lambda batch, batch_id: publish(batch, query_of(batch), batch_id)
-    )
+    """A query that hands every batch to ``publish`` with its query id and number, and then
+    enters what that wrote in the log, all at once."""
+    log.open()
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        run = query_of(batch)
+        if not log.committed(run, batch_id):
+            log.commit(run, batch_id, publish(batch, run, batch_id))
+
+    writer = rows.writeStream.foreachBatch(take)
     writer = writer.queryName(name).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
@@ -94,11 +116,13 @@ def start_archive(
     dated: DataFrame, entity: Entity, path: str, checkpoints: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
     """Every good change as Parquet, one folder per date."""
+    root, name = f"{path}/{entity.name}", f"{entity.name}-history"
 
-    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
-        save_archive(batch, f"{path}/{entity.name}", run, batch_id)
+    def publish(batch: DataFrame, run: str, batch_id: int) -> dict[str, str]:
+        return {"archive": save_archive(batch, root, run, batch_id)}
 
-    return start(dated, publish, f"{entity.name}-history", f"{checkpoints}/{entity.name}-history", trigger)
+    log = FileLog(dated.sparkSession, root)
+    return start(dated, publish, log, name, f"{checkpoints}/{name}", trigger)
 
 
 def start_key_values(
@@ -110,22 +134,29 @@ def start_key_values(
     carry: Sequence[str] = POSITION,
 ) -> StreamingQuery:
     """Every good change as a key/value record."""
+    name = f"{entity.name}-records"
+    checkpoint, root = f"{checkpoints}/{name}", sink.root(entity)
 
-    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+    def publish(batch: DataFrame, run: str, batch_id: int) -> dict[str, str]:
         sink.save(to_key_value(batch, entity.key, carry), entity, run, batch_id)
+        return {"key_value": batch_folder(root, run, batch_id)} if root else {}
 
-    return start(dated, publish, f"{entity.name}-records", f"{checkpoints}/{entity.name}-records", trigger)
+    # Records in a topic need no log to be found; it only tells which batches are done.
+    log = FileLog(dated.sparkSession, root or f"{checkpoint}-log")
+    return start(dated, publish, log, name, checkpoint, trigger)
 
 
 def start_dead_letters(
     dead: DataFrame, entity: Entity, path: str, checkpoints: str, trigger: Trigger | None = None
 ) -> StreamingQuery:
     """Every dead letter as a JSON line."""
+    root, name = f"{path}/{entity.name}", f"{entity.name}-rejects"
 
-    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
-        save_dead_letters(batch, f"{path}/{entity.name}", run, batch_id)
+    def publish(batch: DataFrame, run: str, batch_id: int) -> dict[str, str]:
+        return {"dead_letter": save_dead_letters(batch, root, run, batch_id)}
 
-    return start(dead, publish, f"{entity.name}-rejects", f"{checkpoints}/{entity.name}-rejects", trigger)
+    log = FileLog(dead.sparkSession, root)
+    return start(dead, publish, log, name, f"{checkpoints}/{name}", trigger)
 
 
 @dataclass(frozen=True)
@@ -143,23 +174,31 @@ def fan_out(
     carry: Sequence[str] = POSITION,
     trigger: Trigger | None = None,
 ) -> StreamingQuery:
-    """All three outputs of an entity from one query.
+    """All three outputs of an entity from one query, a batch at once.
 
     Each batch is parsed once and held (spilling to disk) while it is written
-    three times. Kafka may see records again after a failure, which a keyed
-    newest-wins reader absorbs. Bound the batch at the source.
+    three times; one entry in the log then makes all three count. Kafka may see records
+    again after a failure, which a keyed newest-wins reader absorbs. Bound the batch at
+    the source.
     """
+    archive, letters = f"{targets.archive}/{entity.name}", f"{targets.dead_letters}/{entity.name}"
+    records, name = targets.key_values.root(entity), f"{entity.name}-all"
+    log = FileLog(raw.sparkSession, archive)
+    for root in (letters, records) if records else (letters,):
+        FileLog(raw.sparkSession, root).follow(archive)
 
-    def publish(batch: DataFrame, run: str, batch_id: int) -> None:
+    def publish(batch: DataFrame, run: str, batch_id: int) -> dict[str, str]:
         routed = route(batch, entity, carry).filter("after IS NOT NULL")
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = with_date(good_rows(routed, carry), entity.modified_at)
-            save_archive(good, f"{targets.archive}/{entity.name}", run, batch_id)
+            folders = {"archive": save_archive(good, archive, run, batch_id)}
             targets.key_values.save(to_key_value(good, entity.key, carry), entity, run, batch_id)
+            if records:
+                folders["key_value"] = batch_folder(records, run, batch_id)
             dead = dead_letters(routed, entity)
-            save_dead_letters(dead, f"{targets.dead_letters}/{entity.name}", run, batch_id)
+            return {**folders, "dead_letter": save_dead_letters(dead, letters, run, batch_id)}
         finally:
             routed.unpersist()
 
-    return start(raw, publish, f"{entity.name}-all", f"{targets.checkpoints}/{entity.name}-all", trigger)
+    return start(raw, publish, log, name, f"{targets.checkpoints}/{name}", trigger)

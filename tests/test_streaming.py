@@ -1,3 +1,4 @@
+import datetime
 import json
 import os
 from dataclasses import dataclass, replace
@@ -8,7 +9,13 @@ from pyspark.errors import StreamingQueryException
 from changeloom.entities import USERS
 from changeloom.functions import change_order, with_date
 from changeloom.operators import latest, serving_table, split
-from changeloom.sources import read_archive, read_dead_letters, read_key_values
+from changeloom.sources import (
+    FileLog,
+    read_archive,
+    read_dead_letters,
+    read_key_values,
+)
+from changeloom.sources.filesystem import below
 from changeloom.streaming import (
     FanOutTargets,
     FileSink,
@@ -122,8 +129,6 @@ def test_outputs_equal_the_batch_split_and_survive_a_restart(spark, rows, inbox,
 
 
 def test_archive_keeps_undated_rows_and_bounds_by_date(spark, rows, inbox, targets):
-    import datetime
-
     inbox.add(SECOND)
     good, _ = split(inbox.stream(), USERS, ["off"])
     drain([start_archive(with_date(good), USERS, targets.archive, targets.checkpoints, ONCE)])
@@ -188,7 +193,9 @@ def test_a_batch_repeated_after_a_failure_adds_nothing(spark, rows, inbox, targe
     )
     with pytest.raises(StreamingQueryException):
         drain([fan_out(inbox.stream(), USERS, broken, ["off"], ONCE)])
-    assert rows(read_archive(spark, f"{targets.archive}/users", USERS))
+    # The archive of the batch is written, but the batch does not count.
+    assert below(spark, f"{targets.archive}/users")
+    assert not any(rows(output) for output in published(spark, targets))
     drain([fan_out(inbox.stream(), USERS, broken, ["off"], ONCE)])
     check_outputs(spark, rows, inbox, targets)
 
@@ -209,13 +216,16 @@ def test_a_maintained_table_ends_in_the_batch_state(spark, rows, inbox, tmp_path
             return rows(read_upserts(spark, table, USERS, order()).select(*columns))
 
         assert current() == rows(expected)
-        # The newest batch of a running stream is left out, so the first fold takes none.
-        assert compact(spark, table, USERS, order(), running=number < 2) == number + 1
+        assert compact(spark, table, USERS, order(), buckets=4) == number + 1
         assert current() == rows(expected)
+        files = below(spark, table)
+        assert compact(spark, table, USERS, order()) == number + 1 and below(spark, table) == files
         vacuum(spark, table, USERS)
         assert current() == rows(expected)
-    assert os.listdir(f"{table}/snapshots") == ["version=3"]
-    assert not spark.read.parquet(f"{table}/snapshots/version=3").isEmpty()
+        assert rows(read_upserts(spark, table, USERS, order(), keys=["a", "zz"]), "user_id") == [("a",)]
+    log = FileLog(spark, table)
+    live = sorted(r.path for r in log.held(log.state()).collect())
+    assert below(spark, f"{table}/snapshots") == live and not below(spark, f"{table}/changes")
 
 
 def test_an_unfinished_snapshot_does_not_count(spark, rows, inbox, tmp_path):
@@ -225,7 +235,7 @@ def test_an_unfinished_snapshot_does_not_count(spark, rows, inbox, tmp_path):
     before = rows(read_upserts(spark, table, USERS, order()))
     spark.range(3).write.parquet(f"{table}/snapshots/version=1")
     assert rows(read_upserts(spark, table, USERS, order())) == before
-    compact(spark, table, USERS, order(), running=False)
+    compact(spark, table, USERS, order())
     assert rows(read_upserts(spark, table, USERS, order())) == before
 
 
