@@ -223,7 +223,11 @@ def fit(docs: DataFrame, ratings: DataFrame, id: str = "doc_id", text: str = "te
     rated = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(
         chosen, F.col("id") == F.col("rated")
     )
-    rated = rated.dropDuplicates(["id"]).select("text", F.col("grade").cast("int").alias("grade"))
+    # One text for each id, the same in any order of the rows.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "grade")).alias("first")
+    rated = rated.groupBy("id").agg(first).select("first.text", F.col("first.grade").cast("int").alias("grade"))
+    # Sums of floating-point numbers depend on the order of the rows.
+    rated = rated.orderBy("grade", F.xxhash64("text"), "text")
     found = rated.mapInArrow(
         _features, "grade int, columns array<int>, values array<float>"
     ).toArrow()

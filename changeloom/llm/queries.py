@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .decontaminate import leaks
 from .embeddings import embedding_links
 from .jaccard import jaccard_join
+from .lexical import search
 from .lm_score import score as lm_score
 from .quality import fit, graded, score
 from .scratch import documents, scratch_dir
@@ -16,6 +17,10 @@ from .sharding import shard_rows
 from .stages import tokenizer_file
 from .substring import dedup_substrings
 from .tokens import read_tokens, write_tokens
+from .toxicity import fit as toxicity_fit
+from .toxicity import held_out
+from .toxicity import score as toxicity_score
+from .tries import prefix_trie
 from .urls import filter_urls
 
 
@@ -85,6 +90,24 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_rows(documents(spark, folder)).withColumnRenamed("id", "doc_id")
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    model = toxicity_fit(docs, documents(spark, folder, "labels"))
+    found = toxicity_score(docs, model)
+    return found.select(
+        "row.doc_id", held_out("row.doc_id").alias("held_out"), F.round("score", 9).alias("score"), "predicted"
+    )
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    found = search(documents(spark, folder), documents(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(documents(spark, folder, "conversations"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -96,4 +119,7 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_sharding": op10_sharding,
+    "op11_toxicity": op11_toxicity,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_trie": op13_conversation_trie,
 }

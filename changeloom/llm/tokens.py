@@ -154,8 +154,9 @@ class _Known:
             text = b"\n".join([parts[j] for j in some] + [b""]).decode("utf-8", "replace")
             ids = np.array(_encoded(self.tokenizer, [text])[0], np.uint32)
             ends = np.flatnonzero(ids == _LINE)
-            if len(ends) != len(some):
-                raise ValueError("parts were not encoded apart")
+            if len(ends) != len(some):  # they did not come apart: one by one
+                odd += some
+                continue
             begin = np.concatenate([[0], ends[:-1] + 1])
             where[some], sizes[some] = at + begin, ends - begin
             flat.append(ids)
@@ -165,7 +166,7 @@ class _Known:
             where[k], sizes[k] = at, len(ids)
             flat.append(np.array(ids, np.uint32))
             at += len(ids)
-        return np.concatenate(flat), where, sizes
+        return np.concatenate(flat or [np.zeros(0, np.uint32)]), where, sizes
 
     def lookup(self, hashes: np.ndarray, part) -> tuple[np.ndarray, np.ndarray]:
         """Where in the pool the ids of sorted, distinct hashes begin, and how many they are;
@@ -187,30 +188,30 @@ class _Known:
 def encode_texts(known: _Known, texts) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows one after another, each row with the end id, and their numbers."""
     data, offsets, n = texts.data, texts.offsets, len(texts)
-    starts, ends = _cut(data, offsets) if len(data) else (np.zeros(0, np.int64),) * 2
-    keep = ends > starts
-    starts, ends = starts[keep], ends[keep]
-    hashes, first, which = np.unique(
-        span_hashes(data, starts, ends), return_index=True, return_inverse=True
-    )
     raw = data.tobytes()
-    where, sizes = known.lookup(hashes, lambda k: raw[starts[first[k]] : ends[first[k]]])
-    row = np.searchsorted(offsets, starts, "right") - 1
-    counts = np.bincount(row, sizes[which], n).astype(np.int64)
+    # Rows with other white space are encoded whole; their parts are not looked at.
     whole: dict[int, np.ndarray] = {}
     if _OTHER_WHITE.search(raw.decode("utf-8", "replace")):
         for r in range(n):
             text = raw[offsets[r] : offsets[r + 1]].decode("utf-8", "replace")
             if _OTHER_WHITE.search(text):
                 whole[r] = np.array(_encoded(known.tokenizer, [text])[0], np.uint32)
-                counts[r] = len(whole[r])
+    usual = np.ones(n, bool)
+    usual[list(whole)] = False
+    starts, ends = _cut(data, offsets) if len(data) else (np.zeros(0, np.int64),) * 2
+    row = np.searchsorted(offsets, starts, "right") - 1
+    keep = (ends > starts) & usual[row]
+    starts, ends, row = starts[keep], ends[keep], row[keep]
+    hashes, first, which = np.unique(
+        span_hashes(data, starts, ends), return_index=True, return_inverse=True
+    )
+    where, sizes = known.lookup(hashes, lambda k: raw[starts[first[k]] : ends[first[k]]])
+    counts = np.bincount(row, sizes[which], n).astype(np.int64)
+    for r, ids in whole.items():
+        counts[r] = len(ids)
     counts += 1
     bounds = np.concatenate([[0], np.cumsum(counts)])
     out = np.full(bounds[-1], END, np.uint32)
-    usual = np.ones(n, bool)
-    usual[list(whole)] = False
-    mine = usual[row]
-    which, row = which[mine], row[mine]
     sizes_of = sizes[which]
     total = np.cumsum(sizes_of)
     own = np.arange(total[-1] if len(total) else 0)

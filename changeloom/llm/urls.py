@@ -33,6 +33,8 @@ RULES = (
     ("block", "net", "/fr/"),
 )
 ORDER, SYMBOLS, BINS, SPAN = 5, 256, 400, 4.0
+#: Characters of a text that are cut into grams at once.
+STRETCH = 64
 _START, _STOP = "\x02", "\x03"
 
 
@@ -91,6 +93,22 @@ def _model(grams: DataFrame) -> DataFrame:
     return counts.select("gram", F.log(F.col("p_a") / F.col("p_b")).alias("ratio"))
 
 
+def _places(texts: DataFrame) -> DataFrame:
+    """``key``, ``a``, ``b`` and ``gram`` for each character and the end of each text.
+
+    A long text is first cut, in one pass, into short stretches that overlap by a gram less
+    one character, so that work and memory grow with its length.
+    """
+    padded = F.concat(F.lit(_START * (ORDER - 1)), "text", F.lit(_STOP))
+    pattern = f"(?s)(?=(.{{1,{STRETCH + ORDER - 1}}})).{{1,{STRETCH}}}"
+    stretches = texts.select(
+        "key", "a", "b", F.explode(F.regexp_extract_all(padded, F.lit(pattern), 1)).alias("stretch")
+    ).filter(F.length("stretch") >= ORDER)
+    at = F.explode(F.sequence(F.lit(1), F.length("stretch") - (ORDER - 1))).alias("at")
+    gram = F.substr("stretch", F.col("at"), F.lit(ORDER)).alias("gram")
+    return stretches.select("key", "a", "b", "stretch", at).select("key", "a", "b", gram)
+
+
 def _threshold(scored: DataFrame) -> DataFrame:
     """One row: the bin whose lower edge best splits accepted from rejected."""
     bins = scored.filter("a + b > 0").groupBy("bin").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
@@ -120,21 +138,16 @@ def filter_urls(pages: DataFrame, id: str = "page_id", url: str = "url", rules=R
     texts = judged.groupBy("text").agg(
         F.count_if(F.col("said") == "allow").alias("a"), F.count_if(F.col("said") == "block").alias("b")
     )
-    texts = stored(texts, "url-texts")
-    padded = F.concat(F.lit(_START * (ORDER - 1)), "text", F.lit(_STOP))
-    places = texts.select(
-        "text", "a", "b", padded.alias("padded"),
-        F.explode(F.sequence(F.lit(1), F.length("text") + 1)).alias("at"),
-    )
-    places = places.withColumn("gram", F.substr("padded", F.col("at"), F.lit(ORDER))).drop("padded", "at")
+    texts = stored(texts.withColumn("key", F.monotonically_increasing_id()), "url-texts")
+    places = _places(texts)
     grams = stored(places.groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b")), "url-grams")
     totals = grams.groupBy().agg((F.sum("a") > 0).alias("some_a"), (F.sum("b") > 0).alias("some_b")).first()
     known = bool(totals.some_a and totals.some_b)
-    ratio = F.sum("ratio") / (F.length("text") + 1)
-    scored = places.select("text", "gram").join(_model(grams), "gram").groupBy("text").agg(
+    ratio = F.sum("ratio") / F.count(F.lit(1))
+    scored = places.select("key", "gram").join(_model(grams), "gram").groupBy("key").agg(
         (F.round(ratio, 9) if known else F.lit(0.0)).alias("score")
     )
-    scored = texts.join(scored, "text").withColumn(
+    scored = texts.join(scored, "key").withColumn(
         "bin", F.floor(F.greatest(F.lit(-SPAN), F.least(F.lit(SPAN - 1e-6), "score")) * (BINS / 2 / SPAN))
     )
     scored = stored(scored.select("text", "score", "bin", "a", "b"), "url-scores")
