@@ -12,17 +12,19 @@ The restored text is scored.
   of all documents: a table of fixed size, however large the corpus.
 * Words and word beginnings of restored texts that mark toxic documents form a lexicon, learned
   from at most ``SAMPLE`` labelled documents a class. A feature must be more common in toxic
-  documents than chance allows among as many features as there are, and must be the best
-  explanation of enough documents by itself, so that words which merely stand in copies of a toxic
-  document do not count. The lexicon has at most ``LEXICON`` features.
-* A word is as toxic as its most telling feature, and a document as likely toxic as that any of
-  its words is, or that none of them tells. ``predicted`` is 1 where that reaches a half.
+  documents, and among their words, than chance allows for as many features as there are. It counts in
+  as many documents as it has different neighbours there, so that words which merely stand in copies
+  of one toxic document are left out. The lexicon has at most ``LEXICON`` features; the weight of
+  one is the logarithm of how much more common it is in toxic documents.
+* A document's score is a logistic regression on the weights of its words, each with its most telling
+  feature: their sum, that sum against the length of the text, the greatest one, and the number of
+  words that tell. ``predicted`` is 1 where the score reaches a half.
 
 A span is suspicious if it holds a mark or digit among letters, three equal letters in a row, or
 three single characters set apart. All other words have one reading and stay as they are.
 
-Defined results: null and empty texts restore to ``""`` and get the score of documents without a
-telling word. Without labels of both classes the score is the share of toxic labels, 0 without
+Defined results: null and empty texts restore to ``""`` and get the score of a document without
+words. Without labels of both classes the score is the share of toxic labels, 0 without
 any. A document with several labels is toxic if one of them says so; labels with nulls
 count for nothing. Of documents with equal ids the sample holds one text, chosen by hash. Ids can
 be null (never held out) or repeated. Spans of more than ``MOST_CELLS`` cells are decoded in
@@ -43,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import stored
-from .text import Texts, mix, pieces, span_hashes
+from .text import Texts, lists, mix, pieces, span_hashes
 
 #: Characters of the language model: the end of a word, a-z, a digit, and classes of all others.
 SYMBOLS, ORDER = 40, 4
@@ -53,7 +55,9 @@ _STATES = SYMBOLS ** (ORDER - 1)
 BACKOFF, READ_AS, LEFT_OUT, KEPT_APART = 4.0, -0.5, -0.5, -0.5
 MOST_CELLS, KNOWN = 4096, 200_000
 
-SAMPLE, LEXICON, LEAST, CHANCE, PRIOR_ROWS = 8000, 1 << 16, 3, 0.05, 2.0
+SAMPLE, LEXICON, LEAST, CHANCE = 8000, 1 << 16, 3, 0.05
+#: Occurrences in a document that count; least and greatest weight; penalty of the regression.
+REPEATS, LIGHT, HEAVY, PENALTY = 3, math.log(3), 8.0, 1e-4
 PREFIXES = (3, 4, 5, 6, 7, 8)
 
 # Letters that a mark or digit is commonly written for.
@@ -359,7 +363,7 @@ def _features(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _document_features(channel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct features of a task's documents: in how many toxic and other ones."""
+        """Distinct features: in how many documents, and how often; no feature, all words."""
         own = Channel(channel.value)
         for batch in batches:
             toxic = batch.column("toxic").to_numpy()
@@ -370,59 +374,128 @@ def _document_features(channel):
                 key, row = key[order], row[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (row[1:] != row[:-1])
-                key, bad = key[new], toxic[texts.rows][row[new]]
+                first = np.flatnonzero(new)
+                times = np.minimum(np.diff(np.append(first, len(key))), REPEATS)
+                key, bad = key[first], toxic[texts.rows][row[first]]
                 cuts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+                words = np.bincount(_spans(texts, _LETTER)[2], minlength=len(texts))
+                counts = [np.array([0]), np.array([0]), np.array([words @ toxic[texts.rows]]), np.array([words.sum()])]
                 if len(cuts):
-                    n = np.diff(np.append(cuts, len(key)))
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(key[cuts].view(np.int64)),
-                            pa.array(np.add.reduceat(bad, cuts).astype(np.int64)),
-                            pa.array(n.astype(np.int64)),
-                        ],
-                        ["feature", "toxic", "n"],
-                    )
+                    sums = (bad, np.ones(len(key), np.int64), times * bad, times)
+                    counts = [np.append(np.add.reduceat(x, cuts), c) for x, c in zip(sums, counts, strict=True)]
+                names = np.append(key[cuts].view(np.int64), 0)
+                none = np.append(np.zeros(len(cuts), bool), True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(names, mask=none), *(pa.array(x.astype(np.int64)) for x in counts)],
+                    ["feature", *_COUNTS],
+                )
 
     return run
 
 
+_COUNTS = ("toxic", "n", "often_toxic", "often")
+
+
 @dataclass
 class Model:
-    """Losses of the language model, and telling features with their chances to be toxic."""
+    """Losses of the language model, telling features with their weights, and the regression's
+    coefficients, or a score for all documents."""
 
     losses: np.ndarray
     features: np.ndarray  # sorted
-    chances: np.ndarray
-    otherwise: float  # the chance of a document without any
+    weights: np.ndarray
+    coefficients: np.ndarray | None = None
+    constant: float = 0.0
 
-    def words(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Row, chance and feature of the words of restored texts that tell: for each word its best."""
+    def hits(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, word and feature wherever restored texts hold a telling feature."""
         key, row, word = _features(texts)
         if not len(self.features) or not len(key):
-            return np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+            return (np.zeros(0, np.int64),) * 3
         at = np.minimum(np.searchsorted(self.features, key), len(self.features) - 1)
         hit = np.flatnonzero(self.features[at] == key)
-        at, row, word = at[hit], row[hit], word[hit]
-        order = np.lexsort((at, -self.chances[at], word))
-        at, row, word = at[order], row[order], word[order]
+        return row[hit], word[hit], at[hit]
+
+    def summary(self, texts: Texts) -> np.ndarray:
+        """What the regression sees of each row."""
+        n = len(texts)
+        words = np.bincount(_spans(texts, _LETTER)[2], minlength=n)
+        row, word, feature = self.hits(texts)
+        order = np.lexsort((-self.weights[feature], word))
+        row, word, weight = row[order], word[order], self.weights[feature[order]]
         best = np.append(True, word[1:] != word[:-1]) if len(word) else np.zeros(0, bool)
-        return row[best], self.chances[at[best]], at[best]
+        row, weight = row[best], weight[best]
+        total, most = np.bincount(row, weight, n), np.zeros(n)
+        np.maximum.at(most, row, weight)
+        return np.stack(
+            [
+                np.ones(n),
+                np.minimum(total, 40) / 5,
+                np.log1p(words),
+                np.minimum(total / np.sqrt(words + 10), 5),
+                most / 4,
+                np.log1p(np.bincount(row, minlength=n)),
+            ],
+            axis=1,
+        )
 
     def scores(self, texts: Texts) -> np.ndarray:
-        """That any of a row's distinct telling features is right, or that it is toxic anyway."""
-        row, chance, feature = self.words(texts)
-        _, first = np.unique(np.stack([row, feature]), axis=1, return_index=True)
-        loss = np.log1p(-np.minimum(chance, 1 - 1e-9))
-        left = np.bincount(row[first], loss[first], len(texts))
-        return 1 - np.exp(left) * (1 - self.otherwise)
-
+        if self.coefficients is None:
+            return np.full(len(texts), self.constant)
+        return 1 / (1 + np.exp(-np.clip(self.summary(texts) @ self.coefficients, -500, 500)))
+
+
+def regression(rows: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Penalised logistic regression by Newton's method, halving steps that lead uphill."""
+    weights = weights / weights.sum()
+
+    def loss(b: np.ndarray) -> float:
+        z = rows @ b
+        return float(weights @ (np.logaddexp(0, z) - toxic * z) + PENALTY / 2 * (b @ b))
+
+    b = np.zeros(rows.shape[1])
+    for _ in range(100):
+        chance = 1 / (1 + np.exp(-np.clip(rows @ b, -500, 500)))
+        slope = rows.T @ (weights * (chance - toxic)) + PENALTY * b
+        bend = (rows * (weights * chance * (1 - chance))[:, None]).T @ rows + PENALTY * np.eye(len(b))
+        step, now = np.linalg.solve(bend, slope), loss(b)
+        while loss(b - step) > now and np.abs(step).max() > 1e-12:
+            step = step / 2
+        b = b - step
+        if np.abs(step).max() < 1e-10:
+            break
+    return b
+
+
+def _significant(hits: Column, of: Column, share: float, features: int) -> Column:
+    """Whether ``hits`` of so many are more than chance gives any of the features."""
+    own = hits / of
+    more = own * F.log(own / share)
+    rest = F.when(own < 1, (1 - own) * F.log((1 - own) / (1 - share))).otherwise(0.0)
+    return (own > share) & (of * (more + rest) > math.log(max(features, 1) / CHANCE))
+
+
+def _neighbours(told):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Features of toxic documents with the words around them."""
+        model: Model = told.value
+        own = Channel(model.losses)
+        for batch in batches:
+            for texts in pieces(_lower(batch.column("text"))):
+                texts = own.restored(texts)
+                starts, ends, rows = _spans(texts, _LETTER)
+                words = span_hashes(texts.data, starts, ends)
+                before, after = np.zeros_like(words), np.zeros_like(words)
+                same = rows[1:] == rows[:-1]
+                before[1:][same], after[:-1][same] = words[:-1][same], words[1:][same]
+                around = mix(mix(before) ^ words) ^ mix(~after)
+                _, word, feature = model.hits(texts)
+                codes = np.unique(np.stack([feature.astype(np.uint64), around[word]]), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(codes[0].astype(np.int32)), pa.array(codes[1].view(np.int64))], ["place", "around"]
+                )
 
-def _significant(prior: float, features: int) -> Column:
-    """Whether ``toxic`` of ``n`` documents are more than chance gives any of the features."""
-    share = F.col("toxic") / F.col("n")
-    more = share * F.log(share / prior)
-    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - prior))).otherwise(0.0)
-    return (share > prior) & (F.col("n") * (more + rest) > math.log(max(features, 1) / CHANCE))
+    return run
 
 
 def held_out(id: str) -> Column:
@@ -430,20 +503,13 @@ def held_out(id: str) -> Column:
     return F.coalesce(F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE
-) -> Model:
-    """``labels``: ``doc_id`` and ``toxic``, of which rows held out are left aside."""
-    spark = docs.sparkSession
-    losses = character_model(docs, text)
+def _sample(docs: DataFrame, labels: DataFrame, id: str, text: str, sample: int) -> tuple[DataFrame | None, dict]:
+    """Labelled texts that may be learned from, as ``text`` and ``toxic``, and all labels' counts."""
     known = labels.select("doc_id", "toxic").dropna().filter(~held_out("doc_id"))
     known = known.groupBy("doc_id").agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
     counts = dict(known.groupBy("toxic").count().collect())
-    total = sum(counts.values())
-    prior = counts.get(1, 0) / total if total else 0.0
-    nothing = Model(losses, np.zeros(0, np.uint64), np.zeros(0), prior)
     if len(counts) < 2:
-        return nothing
+        return None, counts
     chosen = None
     for side in (0, 1):
         part = known.filter(F.col("toxic") == side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
@@ -452,62 +518,84 @@ def fit(
     chosen = F.broadcast(chosen.select(F.col("doc_id").alias("rated"), "toxic"))
     rated = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(chosen, F.col("id") == F.col("rated"))
     first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "toxic")).alias("first")
-    rated = stored(rated.groupBy("id").agg(first).select("first.text", F.col("first.toxic").cast("int").alias("toxic")), "rated")
-    in_sample = dict(rated.groupBy("toxic").count().collect())
-    if len(in_sample) < 2:
+    rated = rated.groupBy("id").agg(first).select("first.text", F.col("first.toxic").cast("int").alias("toxic"))
+    return stored(rated, "toxic-sample"), counts
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE
+) -> Model:
+    """``labels``: ``doc_id`` and ``toxic``, of which rows held out are left aside."""
+    context = docs.sparkSession.sparkContext
+    losses = character_model(docs, text)
+    rated, counts = _sample(docs, labels, id, text, sample)
+    total = sum(counts.values())
+    nothing = Model(losses, np.zeros(0, np.uint64), np.zeros(0), None, counts.get(1, 0) / total if total else 0.0)
+    found = dict(rated.groupBy("toxic").count().collect()) if rated is not None else {}
+    if len(found) < 2:
         return nothing
-    weights = {side: counts[side] / in_sample[side] for side in (0, 1)}
-    share = in_sample[1] / (in_sample[0] + in_sample[1])
-    channel = spark.sparkContext.broadcast(losses)
-    features = rated.repartition(max(2, sum(in_sample.values()) // 500), F.xxhash64("text")).mapInArrow(
-        _document_features(channel), "feature long, toxic long, n long"
+    dealt = rated.repartition(max(2, sum(found.values()) // 500), F.xxhash64("text"))
+    kinds = ", ".join(f"{c} long" for c in ("feature", *_COUNTS))
+    features = dealt.mapInArrow(_document_features(context.broadcast(losses)), kinds)
+    features = features.groupBy("feature").agg(*(F.sum(c).alias(c) for c in _COUNTS))
+    features = stored(features.filter(F.col("feature").isNull() | (F.col("toxic") >= LEAST)), "toxic-features")
+    words = features.filter(F.col("feature").isNull()).first()
+    if not words.often_toxic or words.often == words.often_toxic:
+        return nothing
+    features = features.filter(F.col("feature").isNotNull())
+    many, share = features.count(), found[1] / sum(found.values())
+    rate = (F.col("often_toxic") + 0.5) / words.often_toxic
+    other = (F.col("often") - F.col("often_toxic") + 0.5) / (words.often - words.often_toxic)
+    telling = features.withColumn("weight", F.least(F.log(rate / other), F.lit(HEAVY))).filter(
+        (F.col("weight") > LIGHT)
+        & _significant(F.col("toxic"), F.col("n"), share, many)
+        & _significant(F.col("often_toxic"), F.col("often"), words.often_toxic / words.often, many)
     )
-    features = features.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n"))
-    features = stored(features.filter(F.col("toxic") >= LEAST), "toxic-features")
-    # As many tests as features that could pass them.
-    passing = features.filter(_significant(share, features.count()))
-    bad, good = F.col("toxic") * weights[1], (F.col("n") - F.col("toxic")) * weights[0]
-    chance = (bad + PRIOR_ROWS * prior) / (bad + good + PRIOR_ROWS)
-    best = passing.select("feature", "toxic", chance.alias("chance")).filter("chance >= 0.5")
-    best = best.orderBy(F.desc("toxic"), F.desc("chance"), "feature").limit(LEXICON).toArrow()
-
-    def lexicon(table: pa.Table) -> Model:
-        key = table.column("feature").to_numpy().view(np.uint64)
-        order = np.argsort(key)
-        return Model(losses, key[order], table.column("chance").to_numpy()[order], prior)
-
-    model = lexicon(best)
-    # What each feature explains by itself: documents of which it is the most common telling one.
-    support = np.zeros(len(best), np.int64)
-    support[np.argsort(np.argsort(best.column("feature").to_numpy().view(np.uint64)))] = best.column("toxic").to_numpy()
-    told = spark.sparkContext.broadcast((model, support))
-
-    def explained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, support = told.value
+    best = telling.orderBy(F.desc(F.col("toxic") * F.col("weight")), "feature").limit(LEXICON).toArrow()
+    key = best.column("feature").to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    model = Model(losses, key[order], best.column("weight").to_numpy()[order])
+    # In how many places with different neighbours each feature stands: copies do not add to them.
+    toxic = dealt.filter("toxic = 1").mapInArrow(_neighbours(context.broadcast(model)), "place int, around long")
+    places = toxic.groupBy("place").agg(F.count_distinct("around").alias("places"))
+    counted = np.zeros(len(best), np.int64)
+    for row in places.collect():
+        counted[row.place] = row.places
+    hits, of = best.column("toxic").to_numpy()[order], best.column("n").to_numpy()[order]
+    real = np.minimum(hits, counted)
+    kept = (real >= LEAST) & _beyond_chance(real, real + of - hits, share, many)
+    model = Model(losses, model.features[kept], model.weights[kept])
+
+    def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = told.value
         own = Channel(model.losses)
         for batch in batches:
-            toxic = batch.column("toxic").to_numpy()
             for texts in pieces(_lower(batch.column("text"))):
-                key, row, _ = _features(own.restored(texts))
-                best = np.full(len(texts), -1, np.int64)
-                if len(model.features) and len(key):
-                    at = np.minimum(np.searchsorted(model.features, key), len(model.features) - 1)
-                    hit = np.flatnonzero(model.features[at] == key)
-                    order = hit[np.lexsort((at[hit], support[at[hit]], row[hit]))]
-                    best[row[order]] = at[order]  # the last one of each row, the most common
+                rows = model.summary(own.restored(texts))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(best), pa.array(toxic[texts.rows].astype(np.int64))], ["best", "toxic"]
+                    [
+                        lists(rows.ravel(), np.full(len(rows), rows.shape[1]), pa.float64()),
+                        batch.column("toxic").slice(texts.rows.start, len(texts)),
+                    ],
+                    ["x", "toxic"],
                 )
 
-    alone = rated.mapInArrow(explained, "best long, toxic long")
-    alone = alone.groupBy("best").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n"))
-    alone = stored(alone, "toxic-explained")
-    rest = alone.filter("best < 0").agg(F.sum("toxic").alias("toxic"), F.sum("n").alias("n")).first()
-    kept = alone.filter("best >= 0").filter(F.col("toxic") >= LEAST).filter(_significant(share, max(len(best), 1)))
-    kept = np.sort(np.array([r.best for r in kept.select("best").collect()], np.int64))
-    missed, clean = (rest.toxic or 0) * weights[1], ((rest.n or 0) - (rest.toxic or 0)) * weights[0]
-    otherwise = min((missed + PRIOR_ROWS * prior) / (missed + clean + PRIOR_ROWS), 0.49)
-    return Model(losses, model.features[kept], model.chances[kept], otherwise)
+    told = context.broadcast(model)
+    table = dealt.mapInArrow(summarised, "x array<double>, toxic int").orderBy("toxic", "x").toArrow()
+    rows = np.asarray(table.column("x").combine_chunks().flatten()).reshape(len(table), -1)
+    toxic = table.column("toxic").to_numpy()
+    # The sample's classes weigh as all labels do.
+    side = np.array([counts[0] / found[0], counts[1] / found[1]])
+    model.coefficients = regression(rows, toxic, side[toxic])
+    return model
+
+
+def _beyond_chance(hits: np.ndarray, of: np.ndarray, share: float, features: int) -> np.ndarray:
+    """As ``_significant``, of numbers."""
+    own = hits / np.maximum(of, 1)
+    more = own * np.log(np.maximum(own, 1e-300) / share)
+    rest = np.where(own < 1, (1 - own) * np.log(np.maximum(1 - own, 1e-300) / (1 - share)), 0)
+    return (own > share) & (of * (more + rest) > math.log(max(features, 1) / CHANCE))
 
 
 # Use ------------------------------------------------------------------------------------

@@ -1,5 +1,6 @@
 """Operators on single documents and whole collections."""
 
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -7,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -433,3 +435,50 @@ def test_ratio_equals_brute_force_and_tells_urls_apart(spark):
     free = sorted((r["score"], r["verdict"] == "allow") for r in rows if not r["rule"])
     verdicts = [allowed for _, allowed in free]
     assert free and verdicts == sorted(verdicts)
+
+
+WHITE_SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2003\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def test_every_short_text_of_white_space_and_letters(spark, tmp_path):
+    """All strings of up to three characters, in one batch, and a document of such lines."""
+    import pyarrow as pa
+
+    from changeloom.llm.text import pieces
+    from changeloom.llm.tokens import _known, encode_texts
+
+    letters = WHITE_SPACE + "ab1é."
+    rows = ["".join(x) for n in range(4) for x in itertools.product(letters, repeat=n)]
+    rows += ["first line\n\u00a0\nsecond line", "plain", "a\n\u00a0", "\u00a0 a"]
+    known = _known(BPE)
+    ids, counts = [], []
+    for texts in pieces(pa.array(rows, pa.string())):
+        found, n = encode_texts(known, texts)
+        ids += found.tolist()
+        counts += n.tolist()
+    expected = [x.ids + [2] for x in known.tokenizer.encode_batch(rows, add_special_tokens=False)]
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e] for e, n in zip(ends, counts)] == expected
+    df = spark.createDataFrame(list(enumerate(rows[-4:])), "doc_id LONG, text STRING")
+    write_tokens(df, str(tmp_path / "ids"), BPE)
+    for r in read_tokens(spark, str(tmp_path / "ids")).collect():
+        assert r["tokens"] == expected[len(rows) - 4 + r["id"]]
+
+
+def test_one_long_url_among_short_ones(spark):
+    rng = random.Random(7)
+    long = "https://x.com/" + "".join(rng.choices("abcdef/?=%", k=300_000))
+    urls = [(0, long), (1, "data:" + "Q" * 100_000)] + [(k, f"http://a{k % 9}.net/es/{k}") for k in range(2, 60)]
+    rows = filter_urls(spark.createDataFrame(urls, "page_id LONG, url STRING")).collect()
+    assert len(rows) == 60 and {r["id"]: r["rule"] for r in rows}[0] == "com/"
+
+
+def test_quality_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(11)
+    rows = [(k // 2, sentence(rng, 30) + (" awful" if k % 4 < 2 else "")) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    grades = spark.createDataFrame([(k, k % 2 * 2) for k in range(200)], "doc_id LONG, grade INT")
+    models = [quality.fit(docs.repartition(n).orderBy(F.rand(n)), grades) for n in (1, 3, 5)]
+    for model in models[1:]:
+        assert np.array_equal(model.thresholds, models[0].thresholds)
+        assert np.array_equal(model.weights, models[0].weights)
