@@ -16,10 +16,13 @@ passages holds half at least. A passage whose known words reach neither is passe
 Passages of a set of at most ``ITEMS`` items and ``RANK`` passages go through the search at
 once, so that the space has a dimension for every passage and no copy is lost in it. Their
 latent table is broadcast: at most ``RANK * PASSAGE`` features of ``RANK`` numbers. A larger
-benchmark takes several passes. An item longer than ``LONGEST`` words is searched in parts.
+benchmark takes several passes. An item longer than ``LONGEST`` words is searched in parts, and
+what a part finds is settled against the whole item. Items under ``LEAST_WORDS`` words have no
+passage of their own; they are found where their words stand in a row, at most ``SHORT`` items
+a pass.
 
-Defined results: null and empty texts match nothing. Items under ``LEAST_WORDS`` words say
-too little to search for. Equal items are found under each of their ids.
+Defined results: null and empty texts match nothing, and items without words are in no
+text. Equal items are found under each of their ids.
 """
 
 from __future__ import annotations
@@ -33,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import mix, pieces, seeds
+from .text import mix, pieces, seeds, window_hashes
 
 BITS, RANK, EXTRA = 20, 512, 16
 PASSAGE, STEP = 32, 16
 #: Passages whose latent vectors a task holds at once.
 TOGETHER = 500
-LEAST_WORDS, LONGEST, ITEMS = 8, 256, 500
+LEAST_WORDS, LONGEST, ITEMS, SHORT = 8, 256, 500, 1 << 16
 LEAST_COSINE, HELD, SAME, LIKE, ANSWER, ANSWERED = 0.35, 0.45, 0.85, 0.6, 5, 0.6
 
 
@@ -107,7 +110,7 @@ class Index:
     latent: np.ndarray  # one column for each passage
     norm: np.ndarray  # of each passage, before it was scaled to 1
     most: np.ndarray  # by line: the greatest share that one such word is of a passage
-    item: np.ndarray  # of each passage
+    item: np.ndarray  # of each passage: the whole item that it is from
     words: list[np.ndarray]
     ids: list
 
@@ -162,9 +165,13 @@ def _decompose(passages: DataFrame, idf: np.ndarray, rank: int):
     return bucket, small @ left[:, order] / np.sqrt(values[order])
 
 
-def _index(spark, items: list[tuple[object, np.ndarray]], idf: np.ndarray, rank: int) -> Index:
-    passages, item = [], []
-    for k, (_, words) in enumerate(items):
+def _index(spark, items: list[tuple[object, np.ndarray, np.ndarray]], idf: np.ndarray, rank: int) -> Index:
+    passages, item, owners = [], [], []
+    for own_id, words, whole in items:
+        # The parts of an item come one after another.
+        if not owners or owners[-1][1] is not whole:
+            owners.append((own_id, whole))
+        k = len(owners) - 1
         for cut in _cuts(len(words)):
             passages.append(_buckets(words[cut : cut + PASSAGE]))
             item.append(k)
@@ -184,7 +191,7 @@ def _index(spark, items: list[tuple[object, np.ndarray]], idf: np.ndarray, rank:
     most[-1] = 0
     return Index(
         idf, table, basis, np.array(latent).T.copy(), np.array(norms, np.float32), most, np.array(item),
-        [w for _, w in items], [i for i, _ in items],
+        [w for _, w in owners], [i for i, _ in owners],
     )
 
 
@@ -303,12 +310,62 @@ def _search(index: Index):
     return run
 
 
+def _short(benchmark: DataFrame, id: str, text: str) -> Iterator[list[tuple[object, np.ndarray]]]:
+    """Blocks of the items that are too short for a passage."""
+    held = []
+    for own_id, own_text in benchmark.select(id, text).orderBy(id, text).toLocalIterator():
+        for texts in pieces(pa.array([own_text], pa.string())):
+            if 0 < len(texts.words) < LEAST_WORDS:
+                held.append((own_id, texts.words))
+        if len(held) >= SHORT:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def _rows_of_words(items: list[np.ndarray]):
+    """Documents that hold the words of an item in a row."""
+    by_width: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    for k, words in enumerate(items):
+        name = window_hashes(words, np.array([0]), np.array([len(words)]))[0]
+        by_width[len(words)][int(name)].append(k)
+    known = {n: np.array(sorted(names), np.uint64) for n, names in by_width.items()}
+    owners = {n: dict(names) for n, names in by_width.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for texts in pieces(batch.column("text")):
+                found = set()
+                for width, names in known.items():
+                    starts, ends, row = texts.windows(width)
+                    hashes = window_hashes(texts.words, starts, ends)
+                    at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+                    hit = np.flatnonzero(names[at] == hashes)
+                    for r, name in zip(row[hit].tolist(), hashes[hit].tolist(), strict=True):
+                        found.update((r, k) for k in owners[width][name])
+                if found:
+                    at = pa.array([texts.rows.start + r for r, _ in sorted(found)])
+                    whole = pa.array(np.ones(len(found)))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("id").take(at),
+                            batch.column("key").take(at),
+                            pa.array([k for _, k in sorted(found)], pa.int32()),
+                            whole, whole, whole,
+                        ],
+                        ["id", "key", "item", "share", "answer", "cosine"],
+                    )
+
+    return run
+
+
 def _items(
     benchmark: DataFrame, id: str, text: str, rank: int
-) -> Iterator[list[tuple[object, np.ndarray]]]:
-    """Sets of items in the order of their ids: the words of each, long ones in parts. A set
-    of more than one part has at most ``rank`` passages."""
-    held: list[tuple[object, np.ndarray]] = []
+) -> Iterator[list[tuple[object, np.ndarray, np.ndarray]]]:
+    """Sets of items in the order of their ids: the words of each, long ones in parts, and of the
+    whole item. A set of more than one part has at most ``rank`` passages."""
+    held: list[tuple[object, np.ndarray, np.ndarray]] = []
     passages = 0
     for own_id, own_text in benchmark.select(id, text).orderBy(id, text).toLocalIterator():
         for texts in pieces(pa.array([own_text], pa.string())):
@@ -320,7 +377,7 @@ def _items(
                     if held and (len(held) >= ITEMS or passages + more > rank):
                         yield held
                         held, passages = [], 0
-                    held.append((own_id, part))
+                    held.append((own_id, part, texts.words))
                     passages += more
     if held:
         yield held
@@ -340,15 +397,19 @@ def leaks(
     spark = docs.sparkSession
     base = docs.select(F.col(id).alias("id"), F.xxhash64(id, text).alias("key"), F.col(text).alias("text"))
     kind, item_kind = (x.dataType.simpleString() for x in (base.schema["id"], benchmark.schema[item_id]))
-    found, idf = None, None
+    found, idf, columns = None, None, f"id {kind}, key long, item int, share double, answer double, cosine double"
+
+    def named(part: DataFrame, ids: list) -> DataFrame:
+        names = F.array(*[F.lit(i).cast(item_kind) for i in ids])
+        return part.withColumn("item_id", F.get(names, "item")).drop("item")
+
+    for block in _short(benchmark, item_id, item_text):
+        part = named(base.mapInArrow(_rows_of_words([w for _, w in block]), columns), [i for i, _ in block])
+        found = part if found is None else found.union(part)
     for items in _items(benchmark, item_id, item_text, rank):
         idf = inverse_frequencies(docs, text) if idf is None else idf
         index = _index(spark, items, idf, rank)
-        part = base.mapInArrow(
-            _search(index), f"id {kind}, key long, item int, share double, answer double, cosine double"
-        )
-        names = F.array(*[F.lit(i).cast(item_kind) for i in index.ids])
-        part = part.withColumn("item_id", F.get(names, "item")).drop("item")
+        part = named(base.mapInArrow(_search(index), columns), index.ids)
         found = part if found is None else found.union(part)
     if found is None:
         return spark.createDataFrame(

@@ -1,13 +1,20 @@
 """Sharding by balanced label propagation, with DataFrame operations only.
 
-Documents with equal texts are linked. All rows start in shards whose counts are at most one
-apart (law ``rows``). In each round every linked row asks for the shard in which most of its
-group is, and rows change places: those that want to go from a to b against those that want
-to go from b to a, and beyond that against rows of b without links, for which no move costs
-an edge. Places are only ever swapped, so the counts stay as they are.
+Documents with equal texts are linked. Every row starts with a label by hash, and each group of
+linked rows asks for the shard of most of its labels among those that still have room for it
+whole. A shard takes what asks for it, largest first, up to its quota; the others ask again with
+what room is left. Quotas are the even counts themselves, so that counts are at most one apart
+(law ``rows``), and rows without links take the places that remain.
 
-The quotas of a round are an 8 by 8 table; ranks within shards come from counts by bucket,
-so that no task sees a whole shard. Groups of any size are counted before they are joined.
+Groups larger than any room are split, and only those: they fill the emptiest shards and put the
+rest where it fits. There are fewer of them than shards, as all that is left fits into all rooms
+together; they and the last ``TAIL`` groups are placed on the driver. Larger groups go first: while
+the largest one left is over ``FINE`` of a quota, only those of at least half its size ask.
+
+Groups are counted before they are joined, and a round's running sums come from counts by bucket, so
+that no task sees a whole shard. Rows of large groups (at most ``1 / LARGE`` of them) find their
+shard by a small table, all others by a join on the group. Labels, ties and places follow hashes
+of id and text, so that the same rows get the same shards however they are dealt out.
 
 Defined results: a null text has size 1, the checksum of no bytes, and no links. Rows
 repeated in full are rows of their own. Ids can be null or repeated.
@@ -15,17 +22,19 @@ repeated in full are rows of their own. Ids can be null or repeated.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import stored
 
-SHARDS, ROUNDS, PER_BUCKET = 8, 3, 100_000
+SHARDS, PER_BUCKET, TAIL = 8, 100_000, 1000
+#: Shares of a quota and of all rows: see above.
+FINE, LARGE = 1 / 64, 1 / 512
 
 
 def _ranked(rows: DataFrame, keys: list[str], buckets: int, name: str) -> DataFrame:
     """``name``: a gapless rank from 0 among the rows with equal ``keys``."""
-    rows = rows.withColumn("bucket_", F.pmod(F.xxhash64("key", "row_id"), F.lit(buckets)))
+    rows = rows.withColumn("bucket_", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     sizes = rows.groupBy(*keys, "bucket_").agg(F.count(F.lit(1)).alias("n_"))
     before = Window.partitionBy(*keys).orderBy("bucket_").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.withColumn("base_", F.coalesce(F.sum("n_").over(before), F.lit(0))).drop("n_")
@@ -38,51 +47,91 @@ def _ranked(rows: DataFrame, keys: list[str], buckets: int, name: str) -> DataFr
     )
 
 
-def _quotas(wanted: list, free: list) -> tuple[list, list]:
-    """How many rows go from a to b, and how many rows without links make room for them."""
-    wants = {(a, b): n for a, b, n in wanted}
-    left = dict(free)
-    moves, fills = [], []
-    for a, b in sorted(wants):
-        back = wants.get((b, a), 0)
-        swap = min(wants[a, b], back)
-        fill = min(wants[a, b] - swap, left.get(b, 0))
-        if fill:
-            used = dict(free)[b] - left[b]
-            fills.append((b, a, used, used + fill))
-            left[b] -= fill
-        if swap + fill:
-            moves.append((a, b, swap + fill))
-    return moves, fills
-
-
-def _round(rows: DataFrame, buckets: int) -> DataFrame | None:
-    """``row_id`` and new ``shard`` of the rows that move, or None."""
-    spark = rows.sparkSession
-    votes = rows.filter("linked").groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n"))
-    # Ties go to a shard by hash of the group, lest all groups ask for the same one.
-    best = F.max(F.struct("n", F.xxhash64("group", "shard").alias("tie"), "shard"))
-    goals = votes.groupBy("group").agg(best.alias("best"))
-    movers = rows.filter("linked").join(goals.select("group", F.col("best.shard").alias("goal")), "group")
-    movers = stored(movers.filter("shard <> goal"), "movers")
-    wanted = [tuple(r) for r in movers.groupBy("shard", "goal").count().collect()]
-    free = [tuple(r) for r in rows.filter("NOT linked").groupBy("shard").count().collect()]
-    moves, fills = _quotas(wanted, free)
-    if not moves:
-        return None
-    moves = spark.createDataFrame(moves, "shard int, goal int, quota long")
-    ranked = _ranked(movers, ["shard", "goal"], buckets, "place").join(F.broadcast(moves), ["shard", "goal"])
-    moved = ranked.filter("place < quota").select("row_id", F.col("goal").alias("new_shard"))
-    if not fills:
-        return moved
-    fills = spark.createDataFrame(fills, "shard int, new_shard int, first long, last long")
-    single = _ranked(rows.filter("NOT linked"), ["shard"], buckets, "place").join(F.broadcast(fills), "shard")
-    return moved.union(single.filter("place >= first AND place < last").select("row_id", "new_shard"))
-
-
-def shard_rows(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS, rounds: int = ROUNDS
-) -> DataFrame:
+def _before(groups: DataFrame, buckets: int) -> DataFrame:
+    """``before``: rows of the groups that come first under the same ``goal``, larger sizes first."""
+    size = F.floor(F.log2("left")).cast("int")
+    groups = groups.withColumn("size_", -size).withColumn("bucket_", F.pmod(F.xxhash64("group"), F.lit(buckets)))
+    sums = groups.groupBy("goal", "size_", "bucket_").agg(F.sum("left").alias("n_"))
+    over = Window.partitionBy("goal").orderBy("size_", "bucket_").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("base_", F.coalesce(F.sum("n_").over(over), F.lit(0))).drop("n_")
+    within = Window.partitionBy("goal", "size_", "bucket_").orderBy("group")
+    own = F.sum("left").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    return (
+        groups.withColumn("own_", F.coalesce(own, F.lit(0)))
+        .join(sums, ["goal", "size_", "bucket_"])
+        .withColumn("before", F.col("base_") + F.col("own_"))
+        .drop("size_", "bucket_", "base_", "own_")
+    )
+
+
+def _by_shard(values: list[int]) -> Column:
+    return F.array(*[F.lit(v).cast("long") for v in values])
+
+
+def place(left: int, votes: list[int], room: list[int]) -> list[tuple[int, int]]:
+    """Shards and numbers of rows for one group, and less room: whole where it was labelled most
+    if it fits there, else where it fits, else over as few shards as it takes."""
+    found = []
+    while left:
+        fits = [s for s in range(len(room)) if room[s] >= left]
+        if fits:
+            shard = max(fits, key=lambda s: (votes[s], -room[s], -s))
+        else:
+            shard = max(range(len(room)), key=lambda s: (room[s], -s))
+        take = min(left, room[shard])
+        found.append((shard, take))
+        room[shard] -= take
+        left -= take
+    return found
+
+
+def assign(groups: DataFrame, room: list[int], buckets: int) -> tuple[DataFrame, list[int]]:
+    """``group``, ``shard``, ``start`` and ``stop`` (of the group's rows, from 0), and what room
+    is left. ``groups``: ``group``, ``left`` rows, ``votes`` by shard."""
+    spark, room = groups.sparkSession, list(room)
+    quota, schema = max(room), "group long, shard int, start long, stop long"
+    done = spark.createDataFrame([], schema)
+
+    def on_the_driver(some: DataFrame) -> DataFrame:
+        rows = []
+        for row in sorted(some.collect(), key=lambda r: (-r.left, r.group)):
+            start = 0
+            for shard, take in place(row.left, row.votes, room):
+                rows.append((row.group, shard, start, start + take))
+                start += take
+        return spark.createDataFrame(rows, schema)
+
+    number = 0
+    while True:
+        state = groups.agg(F.count(F.lit(1)).alias("n"), F.max("left").alias("most")).first()
+        if state.n <= TAIL:
+            return done.union(on_the_driver(groups)), room
+        if state.most > max(room):
+            # Fewer than there are shards.
+            done = done.union(on_the_driver(groups.filter(F.col("left") > max(room))))
+            groups = groups.join(done.select("group").distinct(), "group", "left_anti")
+            groups = stored(groups, "shard-groups")
+            continue
+        least = 1 if state.most <= quota * FINE else state.most // 2
+        number += 1
+        wishes = [
+            F.when(
+                F.lit(room[s]) >= F.col("left"),
+                F.struct(F.col("votes")[s].alias("votes"), F.xxhash64("group", F.lit(s), F.lit(number)).alias("tie"), F.lit(s).alias("goal")),
+            )
+            for s in range(len(room))
+        ]
+        goal = F.array_max(F.array(*wishes))["goal"]
+        asking = groups.filter(F.col("left") >= least).withColumn("goal", goal)
+        fits = F.col("before") + F.col("left") <= _by_shard(room)[F.col("goal")]
+        taken = stored(_before(asking, buckets).filter(fits).select("group", "goal", "left"), "shard-taken")
+        for row in taken.groupBy("goal").agg(F.sum("left").alias("n")).collect():
+            room[row.goal] -= row.n
+        done = done.union(taken.select("group", F.col("goal").alias("shard"), F.lit(0).cast("long").alias("start"), F.col("left").alias("stop")))
+        groups = stored(groups.join(taken.select("group"), "group", "left_anti"), "shard-groups")
+
+
+def shard_rows(docs: DataFrame, id: str = "doc_id", text: str = "text", shards: int = SHARDS) -> DataFrame:
     """One row a document: ``id``, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot`` and
     ``grown_shard``."""
     content = F.coalesce(F.col(text), F.lit(""))
@@ -95,19 +144,38 @@ def shard_rows(
         F.monotonically_increasing_id().alias("row_id"),
     )
     rows = stored(rows, "shard-rows")
-    buckets = max(64, rows.count() // PER_BUCKET)
-    copies = rows.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n"))
-    copies = copies.filter("n > 1").select("group", F.lit(True).alias("linked"))
-    rows = rows.join(copies, "group", "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
-    rows = _ranked(rows.withColumn("all_", F.lit(0)), ["all_"], buckets, "place")
-    rows = rows.withColumn("shard", (F.col("place") % shards).cast("int")).drop("all_", "place")
-    rows = stored(rows, "shards")
-    for _ in range(rounds):
-        moved = _round(rows, buckets)
-        if moved is None:
-            break
-        rows = rows.join(moved, "row_id", "left").withColumn("shard", F.coalesce("new_shard", "shard"))
-        rows = stored(rows.drop("new_shard"), "shards")
-    return _ranked(rows, ["shard"], buckets, "slot").select(
+    n = rows.count()
+    buckets = max(64, n // PER_BUCKET)
+    room = [n // shards + (s < n % shards) for s in range(shards)]
+    label = F.pmod(F.xxhash64("key", F.lit("label")), F.lit(shards))
+    votes = [F.count_if(label == s) for s in range(shards)]
+    groups = rows.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("left"), F.array(*votes).alias("votes"))
+    groups = stored(groups.filter("left > 1"), "shard-groups")
+    assigned, room = assign(groups, room, buckets) if n else (groups.selectExpr("group", "0 AS shard", "0L AS start", "0L AS stop"), room)
+    assigned = stored(assigned, "shard-assigned")
+
+    # At most 1 / LARGE groups, and shards each.
+    several = Window.partitionBy("group")
+    parts = assigned.withColumn("parts", F.count(F.lit(1)).over(several)).withColumn("all", F.max("stop").over(several))
+    large = stored(parts.filter((F.col("parts") > 1) | (F.col("all") > n * LARGE)), "shard-large")
+    names = F.broadcast(large.groupBy("group").agg(F.max("parts").alias("parts"), F.min("shard").alias("only")))
+    marked = rows.join(names, "group", "left")
+    whole = marked.filter("parts = 1").select(*rows.columns, F.col("only").alias("shard"))
+    cut = _ranked(marked.filter("parts > 1").select(rows.columns), ["group"], buckets, "place")
+    cut = cut.join(F.broadcast(large.select("group", "shard", "start", "stop")), "group")
+    cut = cut.filter("place >= start AND place < stop").select(*rows.columns, "shard")
+    rest = marked.filter("parts IS NULL").select(rows.columns)
+    small = parts.filter((F.col("parts") == 1) & (F.col("all") <= n * LARGE)).select("group", "shard")
+    named = rest.filter("group IS NOT NULL").join(small, "group", "left")
+    linked = named.filter("shard IS NOT NULL").select(*rows.columns, "shard")
+    single = named.filter("shard IS NULL").select(rows.columns).union(rest.filter("group IS NULL"))
+    single = _ranked(single.withColumn("all_", F.lit(0)), ["all_"], buckets, "place")
+    ends = [sum(room[: s + 1]) for s in range(shards)]
+    shard = F.lit(shards - 1)
+    for s in reversed(range(shards - 1)):
+        shard = F.when(F.col("place") < ends[s], F.lit(s)).otherwise(shard)
+    single = single.select(*rows.columns, shard.alias("shard"))
+    placed = stored(whole.union(cut).union(linked).union(single), "shards")
+    return _ranked(placed.withColumn("shard", F.col("shard").cast("int")), ["shard"], buckets, "slot").select(
         "id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )

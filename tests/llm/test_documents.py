@@ -210,7 +210,8 @@ def test_leaks_are_found_and_clean_documents_left(spark):
             text = " ".join([*words[:cut], *item, *words[cut:]])
             expected.add((k, k % 40))
         texts.append((k, text))
-    texts += [(None, None), (500, ""), (501, "too short an item")]
+    texts += [(None, None), (500, ""), (501, "not too short an item"), (502, "too short of an item")]
+    expected.add((501, 40))
     docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
     benchmark = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
     found = {(r["id"], r["item_id"]) for r in leaks(docs, benchmark).collect()}
@@ -219,6 +220,40 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert leaks(docs.limit(0), benchmark).count() == 0
 
 
+def test_items_of_every_length_follow_one_rule(spark):
+    """Copies of items of one to nine words, and halves and most of items around a part's length."""
+    rng = random.Random(21)
+    short = [sentence(rng, n, 100_000) for n in range(1, 10)]
+    long = [sentence(rng, n, 100_000) for n in (250, 256, 258, 600)]
+    items, texts, expected = [*short, *long], [], set()
+    for k, item in enumerate(items):
+        words = item.split()
+        for share in (0.5, 0.9, 1.0):
+            held = words[: max(1, round(share * len(words)))]
+            texts.append((len(texts), f"{sentence(rng, 40, 100_000)} {' '.join(held)} {sentence(rng, 40, 100_000)}"))
+            if len(held) == len(words) or share == 0.9 and len(words) >= 8:
+                expected.add((len(texts) - 1, k))
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
+    assert {(r["id"], r["item_id"]) for r in leaks(docs, benchmark).collect()} == expected
+
+
+@pytest.mark.parametrize("replaced", [0.1, 0.2, 0.3])
+def test_paraphrases_are_found(spark, replaced):
+    rng = random.Random(int(replaced * 100))
+    items = [sentence(rng, rng.randrange(12, 61), 5000) for _ in range(100)]
+    texts = []
+    for k, item in enumerate(items):
+        words = item.split()
+        for j in rng.sample(range(len(words) - 5), int(replaced * len(words))):
+            words[j] = f"x{rng.randrange(5000)}"
+        texts.append((k, f"{sentence(rng, 60, 5000)} {' '.join(words)} {sentence(rng, 60, 5000)}"))
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id LONG, text STRING")
+    found = {(r["id"], r["item_id"]) for r in leaks(docs, benchmark).collect()}
+    assert found == {(k, k) for k in range(100)}
+
+
 def test_large_benchmarks_take_several_passes(spark, monkeypatch):
     from changeloom.llm import decontaminate
 
@@ -356,6 +391,48 @@ def test_a_dominant_group_is_split_only_as_far_as_it_must(spark, n):
     check_shards(shard_rows(df).collect(), texts)
 
 
+def homes_of(rows, texts):
+    """The shards of each text that occurs more than once, with how many rows there."""
+    text_of, homes = dict(texts), {}
+    for r in rows:
+        homes.setdefault(text_of[r["doc_id" if "doc_id" in r else "id"]], Counter())[r["shard"]] += 1
+    return {t: h for t, h in homes.items() if sum(h.values()) > 1}
+
+
+@pytest.mark.parametrize("tail", [0, 1000])
+def test_groups_that_fit_exactly_stay_whole(spark, monkeypatch, tail):
+    from changeloom.llm import sharding
+
+    monkeypatch.setattr(sharding, "TAIL", tail)
+    texts = [(k, f"t{k % 1200}") for k in range(7200)]
+    rows = shard_rows(spark.createDataFrame(texts, "doc_id LONG, text STRING")).collect()
+    check_shards(rows, texts)
+    assert all(len(h) == 1 for h in homes_of(rows, texts).values())
+
+
+def test_a_hot_third_fills_three_shards_and_pairs_stay_whole(spark):
+    def text(k):
+        return "same" if k % 3 == 0 else f"p{k // 6}" if k % 3 == 1 else f"single {k}"
+
+    texts = [(k, text(k)) for k in range(6000)]
+    df = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    rows = shard_rows(df).collect()
+    check_shards(rows, texts)
+    homes = homes_of(rows, texts)
+    assert len(homes["same"]) == 3 and all(len(h) == 1 for t, h in homes.items() if t != "same")
+    again = shard_rows(df.repartition(7).orderBy(F.rand(5))).collect()
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, again), key=repr)
+
+
+def test_one_group_is_placed_in_as_few_shards_as_it_takes():
+    from changeloom.llm.sharding import place
+
+    room = [5, 9, 7]
+    assert place(7, [3, 1, 0], room) == [(1, 7)] and room == [5, 2, 7]
+    assert place(4, [3, 1, 0], room) == [(0, 4)] and room == [1, 2, 7]
+    assert place(10, [0, 0, 9], room) == [(2, 7), (1, 2), (0, 1)] and room == [0, 0, 0]
+
+
 # URLs -----------------------------------------------------------------------
 
 URLS = [
