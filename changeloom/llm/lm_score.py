@@ -1,21 +1,28 @@
 """LM scoring by cross-entropy difference.
 
 A target model (documents labelled good and clean) and a background model (all documents)
-are matched: word bigrams, one vocabulary (the ``WORDS`` most frequent words of the corpus,
-a token for all others and one for a text's start), one smoothing. Each token's loss under
-the target model less its loss under the background model is averaged over the document; the
-lower, the closer to the target. All counts come from all documents, whole: vocabulary from
-all words, bigrams from all pairs, summed in each task before the shuffle. The vocabulary's
-size is a parameter, so that a model is a table of bounded size (``(WORDS + 2) ** 2``
-numbers at most) and is broadcast.
+are matched: word bigrams over one vocabulary of every word that any text holds, one
+smoothing. The loss of each word and of the text's end under the target model less its loss
+under the background model is averaged over the document; the lower, the closer to the
+target. Vocabulary and counts come from all documents, whole, and grow with them:
+
+* Each task turns its texts into blocks: the distinct words of about ``BLOCK`` bytes of text
+  and the texts as numbers of those words. Blocks are stored; texts are read once.
+* A block asks for the counts of its distinct words and bigrams. The questions are dealt out
+  by the leading bits of the n-gram's hash, so that each bucket sums some n-grams of all
+  blocks. The most frequent n-gram stands once in a block, so no bucket is hot.
+* The answers go back to the blocks, which score their texts. The driver sees three totals.
+
+Words and bigrams are told apart by hashes of 63 bits.
 
 Defined results: a text without words (null, empty) has no tokens and a null score. Without
 target documents the target model gives all tokens equal chances.
-Labels with nulls count for nothing. Ids can be null or repeated.
+Labels with nulls count for nothing. Ids can be null or repeated, each row is scored.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,118 +30,178 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .text import pieces
+from .scratch import stored
+from .text import mix, pieces
+
+BLOCK = 1 << 21
+#: N-grams asked for in one bucket, about.
+QUESTIONS = 1 << 20
+MASS = 50.0
 
-WORDS, MASS = 2046, 50.0
-#: Token numbers of what is outside the vocabulary and of a text's start.
-OTHER, START = 0, 1
+_U = np.uint64
+_ONE, _FACTOR = _U(1), _U(0xD6E8FEB86659FD93)
+#: What stands before a text and after it.
+START, END = _U(0x5851F42D4C957F2D), _U(0x14057B7EF767814F)
 
+_BLOCK = "block long, ids array<{}>, counts binary, words binary, tokens binary"
+_QUESTION = "bucket int, block long, keys binary, n binary, target binary"
+_ANSWER = "bucket int, block long, n binary, target binary, types long, tokens double, target_tokens double"
 
-def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for texts in pieces(batch.column("text")):
-            words, counts = np.unique(texts.words, return_counts=True)
+        ids = batch.column("id")
+        for texts in pieces(batch.column("text"), BLOCK):
+            words, tokens = np.unique(texts.words, return_inverse=True)
+            some = ids.slice(texts.rows.start, len(texts))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(counts)], ["word", "n"]
+                [
+                    # Drawn once: the blocks are stored before they are used.
+                    pa.array([secrets.randbits(62)], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some),
+                    pa.array([texts.counts.astype(np.int32).tobytes()]),
+                    pa.array([words.tobytes()]),
+                    pa.array([tokens.astype(np.int32).tobytes()]),
+                ],
+                ["block", "ids", "counts", "words", "tokens"],
             )
 
 
-def vocabulary(docs: DataFrame, text: str = "text", words: int = WORDS) -> np.ndarray:
-    """Hashes of the most frequent words, sorted."""
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(_word_counts, "word long, n long")
-    counts = counts.groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(words).select("word").collect()
-    return np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
-
-
-def _pairs(texts, known: np.ndarray) -> np.ndarray:
-    """For each word the code of the pair of the token before it and its own."""
-    size = len(known) + 2
-    at = np.searchsorted(known, texts.words)
-    found = at < len(known)
-    found[found] = known[at[found]] == texts.words[found]
-    tokens = np.where(found, at + 2, OTHER)
-    before = np.empty_like(tokens)
-    before[1:] = tokens[:-1]
-    before[texts.bounds[:-1][texts.counts > 0]] = START
-    return before * size + tokens
-
-
-def _pair_counts(known: np.ndarray):
-    size = (len(known) + 2) ** 2
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, size), np.int64)
-        for batch in batches:
-            target = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
-            for texts in pieces(batch.column("text")):
-                pairs = _pairs(texts, known)
-                counts[0] += np.bincount(pairs, minlength=size)
-                counts[1] += np.bincount(pairs[target[texts.rows][texts.row]], minlength=size)
-        for first in range(0, size, 1 << 18):
-            part = counts[:, first : first + (1 << 18)]
-            some = np.flatnonzero(part[0])
-            if len(some):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some + first), pa.array(part[0, some]), pa.array(part[1, some])],
-                    ["pair", "n", "target"],
-                )
+def word_keys(words: np.ndarray) -> np.ndarray:
+    return words | _ONE
+
+
+def bigram_keys(before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    return mix(before * _FACTOR + after) & ~_ONE
+
+
+def transitions(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands before each word and each end of a text, the word or end, and its row."""
+    rows = np.flatnonzero(counts)
+    sizes = counts[rows].astype(np.int64) + 1
+    ends = np.cumsum(sizes)
+    after = np.empty(int(sizes.sum()), _U)
+    last = np.zeros(len(after), bool)
+    last[ends - 1] = True
+    after[last], after[~last] = END, words
+    before = np.empty_like(after)
+    before[1:] = after[:-1]
+    before[ends - sizes] = START
+    return before, after, np.repeat(rows, sizes)
+
+
+def _block(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def numbers(name: str, kind) -> np.ndarray:
+        return np.frombuffer(table.column(name)[0].as_py(), kind)
+
+    counts = numbers("counts", np.int32)
+    return *transitions(numbers("words", _U)[numbers("tokens", np.int32)], counts), counts
+
+
+def _asked(before: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a block, sorted, and where those of its words and then of its
+    bigrams stand there."""
+    return np.unique(np.concatenate([word_keys(after), bigram_keys(before, after)]), return_inverse=True)
+
+
+def _questions(bits: int):
+    edges = np.arange(1, 1 << bits, dtype=_U) << _U(64 - bits) if bits else np.zeros(0, _U)
+
+    def run(block: pa.Table, targets: pa.Table) -> pa.Table:
+        out = {name: [] for name in ("bucket", "block", "keys", "n", "target")}
+        before, after, row, counts = _block(block)
+        hit = np.zeros(len(counts), bool)
+        hit[targets.column("pos").to_numpy()] = True
+        keys, at = _asked(before, after)
+        n = np.bincount(at, minlength=len(keys)).astype(np.int32)
+        target = np.bincount(at, np.tile(hit[row], 2), len(keys)).astype(np.int32)
+        bounds = np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+        for bucket in np.flatnonzero(np.diff(bounds)):
+            part = slice(bounds[bucket], bounds[bucket + 1])
+            out["bucket"].append(int(bucket))
+            out["block"].append(block.column("block")[0].as_py())
+            for name, values in (("keys", keys), ("n", n), ("target", target)):
+                out[name].append(values[part].tobytes())
+        kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        return pa.table([pa.array(out[name], kind) for name, kind in zip(out, kinds)], list(out))
 
     return run
 
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """The loss of each pair's second token after the first, for a square table of counts."""
-    single = counts.sum(axis=0) + 1.0
-    single /= single.sum()
-    before = counts.sum(axis=1, keepdims=True)
-    return (np.log(before + MASS) - np.log(counts + MASS * single)).astype(np.float32)
+def _answers(asked: pa.Table) -> pa.Table:
+    """The sums of every n-gram of a bucket, for each block in the order of its question.
+    The first row also holds how many words the bucket has and how often they occur."""
+    parts = [np.frombuffer(x.as_py(), _U) for x in asked.column("keys")]
+    bounds = np.cumsum([0, *map(len, parts)])
+    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+    is_word = (keys & _ONE).astype(bool)
+    sums, totals = [], []
+    for name in ("n", "target"):
+        one = np.concatenate([np.frombuffer(x.as_py(), np.int32) for x in asked.column(name)])
+        whole = np.bincount(at, one, len(keys))
+        found = whole.astype(np.float32)[at]
+        sums.append(pa.array([found[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()))
+        totals.append(float(whole[is_word].sum()))
+    rest = [0] * (len(parts) - 1)
+    return pa.table(
+        [
+            asked.column("bucket"),
+            asked.column("block"),
+            *sums,
+            pa.array([int(is_word.sum()), *rest], pa.int64()),
+            *(pa.array([x, *rest], pa.float64()) for x in totals),
+        ],
+        ["bucket", "block", "n", "target", "types", "tokens", "target_tokens"],
+    )
+
+
+def losses(pair, before, after, total: float, types: int):
+    """The loss of a token, for the counts of its bigram, of what stands before it and of
+    itself, in a corpus of ``total`` tokens of ``types`` kinds."""
+    single = (after + 1.0) / (total + types)
+    return np.log(before + MASS) - np.log(pair + MASS * single)
+
+
+def _scores(types: int, totals: tuple[float, float]):
+    def run(block: pa.Table, answers: pa.Table) -> pa.Table:
+        before, after, row, counts = _block(block)
+        keys, at = _asked(before, after)
+        words, bigrams = at[: len(after)], at[len(after) :]
+        # A text's start is seen as often as its end, and a word before as often as after.
+        context = np.searchsorted(keys, word_keys(np.where(before == START, END, before)))
+        answers = answers.sort_by("bucket")
+        loss = []
+        for name, total in zip(("n", "target"), totals):
+            n = np.frombuffer(b"".join(x.as_py() for x in answers.column(name)), np.float32).astype(np.float64)
+            loss.append(losses(n[bigrams], n[context], n[words], total, types) if len(at) else np.zeros(0))
+        sums = np.bincount(row, loss[1] - loss[0], len(counts))
+        ids = block.column("ids").combine_chunks().flatten()
+        score = pa.array(sums / (counts + 1.0), mask=counts == 0)
+        return pa.table([ids, pa.array(counts.astype(np.int64)), score], ["id", "n_tokens", "score"])
+
+    return run
 
 
-def difference(docs: DataFrame, labels: DataFrame, known: np.ndarray, id: str, text: str) -> np.ndarray:
-    """Target loss less background loss of every pair."""
-    good = labels.filter("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("good")).distinct()
+def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id``, ``n_tokens`` (words) and ``score`` of every row."""
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    # Texts are always dealt out by id: no other plan holds when the labels are many.
-    rows = rows.join(good.hint("merge"), F.col("id") == F.col("good"), "left")
-    rows = rows.select("text", F.col("good").isNotNull().alias("target"))
-    counted = rows.mapInArrow(_pair_counts(known), "pair long, n long, target long")
-    counted = counted.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
-    # At most one row for each pair of the vocabulary.
-    table = counted.toArrow()
-    size = len(known) + 2
-    pair = table.column("pair").to_numpy()
-
-    def model(name: str) -> np.ndarray:
-        counts = np.zeros(size * size, np.float32)
-        counts[pair] = table.column(name).to_numpy()
-        return losses(counts.reshape(size, size)).ravel()
-
-    return model("target") - model("n")
-
-
-def score(
-    docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", words: int = WORDS
-) -> DataFrame:
-    """``row`` (all input columns), ``n_tokens`` and ``score``."""
-    known = vocabulary(docs, text, words)
-    table = docs.sparkSession.sparkContext.broadcast((known, difference(docs, labels, known, id, text)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, loss = table.value
-        for batch in batches:
-            for texts in pieces(batch.column("text_")):
-                sums = np.bincount(texts.row, loss[_pairs(texts, known)], len(texts))
-                some = texts.counts > 0
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("row").slice(texts.rows.start, len(texts)),
-                        pa.array(texts.counts.astype(np.int64)),
-                        pa.array(sums / np.maximum(texts.counts, 1), mask=~some),
-                    ],
-                    ["row", "n_tokens", "score"],
-                )
-
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text_"))
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {kind}, n_tokens long, score double")
+    kind = rows.schema["id"].dataType.simpleString()
+    blocks = stored(rows.mapInArrow(_blocks, _BLOCK.format(kind)), "lm-blocks")
+    asked = blocks.agg(F.sum(F.octet_length("tokens")).alias("n")).first().n or 0
+    bits = max(0, int(asked // 4 // QUESTIONS).bit_length())
+
+    good = labels.filter("quality = 1 AND toxic = 0").select(F.col("doc_id").alias("id")).distinct()
+    targets = blocks.select("block", F.posexplode("ids").alias("pos", "id"))
+    targets = targets.join(good.hint("merge"), "id").select(F.col("block").alias("home"), "pos")
+    questions = (
+        blocks.groupBy("block").cogroup(targets.groupBy("home")).applyInArrow(_questions(bits), _QUESTION)
+    )
+    answers = stored(questions.groupBy("bucket").applyInArrow(_answers, _ANSWER), "lm-answers")
+    sums = answers.agg(*(F.sum(x).alias(x) for x in ("types", "tokens", "target_tokens"))).first()
+    scores = _scores(sums.types or 0, (sums.tokens or 0.0, sums.target_tokens or 0.0))
+    found = answers.select("block", "bucket", "n", "target")
+    return (
+        blocks.groupBy("block")
+        .cogroup(found.groupBy("block"))
+        .applyInArrow(scores, f"id {kind}, n_tokens long, score double")
+    )

@@ -83,7 +83,7 @@ def op8_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     found = lm_score(documents(spark, folder), documents(spark, folder, "labels"))
-    return found.select("row.doc_id", "n_tokens", F.round("score", 6).alias("score"))
+    return found.select(F.col("id").alias("doc_id"), "n_tokens", F.round("score", 6).alias("score"))
 
 
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:

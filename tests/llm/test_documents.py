@@ -1,6 +1,7 @@
 """Operators on single documents and whole collections."""
 
 import itertools
+import math
 import random
 import zlib
 from collections import Counter
@@ -309,55 +310,75 @@ def test_common_subsequence(a, b):
 # Language models ------------------------------------------------------------
 
 
-def test_scores_equal_brute_force(docs, rows_of, spark):
+@pytest.mark.parametrize("questions", [lm_score.QUESTIONS, 40])
+def test_scores_equal_brute_force(docs, rows_of, spark, monkeypatch, questions):
+    """Plain counts of all words and bigrams, in one bucket and in many."""
+    monkeypatch.setattr(lm_score, "QUESTIONS", questions)
     good = [k for k in range(0, 20, 2)]
     labels = spark.createDataFrame(
         [*((k, 1, 0) for k in good), (1, 1, 1), (3, 0, 0), (None, 1, 0), (5, None, 0), (0, 1, 0)],
         "doc_id LONG, quality INT, toxic INT",
     )
-    n_words = 60
-    counts = Counter(w for _, t in rows_of for w in brute.words(t))
-    known = {int(x) for x in lm_score.vocabulary(docs, words=n_words)}
-    names = {}
-    for part in pieces(pa.array(list(counts))):
-        names = {w: int(h) for w, h in zip(counts, part.words)}
-    top = {w for w in counts if names[w] in known}
-    assert len(top) == n_words and min(counts[w] for w in top) >= max(counts[w] for w in counts if w not in top)
-    size = n_words + 2
-    number = {w: k + 2 for k, w in enumerate(top)}
-
-    def pairs(text):
-        tokens = [1, *(number.get(w, 0) for w in brute.words(text))]
-        return list(zip(tokens, tokens[1:]))
-
-    tables = np.zeros((2, size, size))
+    singles, pairs = (Counter(), Counter()), (Counter(), Counter())
+
+    def steps(text):
+        tokens = ["<s>", *brute.words(text), "</s>"]
+        return list(zip(tokens, tokens[1:])) if len(tokens) > 2 else []
+
     for i, t in rows_of:
-        for a, b in pairs(t):
-            tables[0, a, b] += 1
-            tables[1, a, b] += i in good
-    loss = [lm_score.losses(x) for x in tables]
+        for model in (0, 1) if i in good else (0,):
+            pairs[model].update(steps(t))
+            singles[model].update(after for _, after in steps(t))
+    types = len(singles[0])
+
+    def loss(model, before, after):
+        single = (singles[model][after] + 1) / (singles[model].total() + types)
+        context = singles[model]["</s>" if before == "<s>" else before]
+        return -math.log((pairs[model][before, after] + lm_score.MASS * single) / (context + lm_score.MASS))
+
     expected = []
     for i, t in rows_of:
-        p = pairs(t)
-        expected.append((i, len(p), sum(loss[1][x] - loss[0][x] for x in p) / len(p) if p else None))
-    rows = lm_score.score(docs, labels, words=n_words).select("row.doc_id", "n_tokens", "score").collect()
+        p = steps(t)
+        mean = sum(loss(1, *x) - loss(0, *x) for x in p) / len(p) if p else None
+        expected.append((i, len(brute.words(t)), mean))
+    rows = lm_score.score(docs, labels).select("id", "n_tokens", "score").collect()
 
     def order(r):
         return repr((r[0], r[1], None if r[2] is None else round(float(r[2]), 3)))
 
+    assert len(rows) == len(expected)
     for a, b in zip(sorted(map(tuple, rows), key=order), sorted(expected, key=order)):
         assert a[:2] == b[:2] and (a[2] is None) == (b[2] is None)
-        assert a[2] is None or a[2] == pytest.approx(b[2], abs=1e-4)
+        assert a[2] is None or a[2] == pytest.approx(b[2], abs=1e-5)
 
 
 def test_losses_are_those_of_a_distribution():
-    counts = np.random.default_rng(0).integers(0, 5, (30, 30))
-    assert np.exp(-lm_score.losses(counts)).sum(axis=1) == pytest.approx(1, abs=1e-4)
+    """Over all tokens that can follow one, where each context is as frequent as its token."""
+    pairs = np.random.default_rng(0).integers(0, 5, (30, 30)).astype(float)
+    singles = pairs.sum(axis=0)
+    loss = lm_score.losses(pairs, pairs.sum(axis=1, keepdims=True), singles, singles.sum(), 30)
+    assert np.exp(-loss).sum(axis=1) == pytest.approx(1, abs=1e-9)
+
+
+def test_rare_words_are_told_apart(spark):
+    """Every word counts, however rare: documents that share only such words with the target
+    are closer to it than documents of other rare words."""
+    common = [f"w{k % 50}" for k in range(400)]
+    rows = [(k, " ".join([*common, f"rare{k}"])) for k in range(300)]
+    rows += [(1000, "zeta eta theta"), (1001, "zeta eta theta"), (1002, "iota kappa lambda"), (1003, "iota kappa lambda")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(5)
+    labels = spark.createDataFrame([(1000, 1, 0)], "doc_id LONG, quality INT, toxic INT")
+    found = {r.id: r.score for r in lm_score.score(docs, labels).collect()}
+    assert found[1001] == found[1000] and found[1002] == found[1003]
+    assert found[1001] < found[1002] - 1
 
 
 def test_scoring_of_nothing(empty, spark):
     labels = spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT")
     assert lm_score.score(empty, labels).count() == 0
+    nothing = spark.createDataFrame([(1, None), (None, ""), (2, "  ")], "doc_id LONG, text STRING")
+    rows = lm_score.score(nothing, labels).collect()
+    assert [(r.n_tokens, r.score) for r in rows] == [(0, None)] * 3
 
 
 # Sharding -------------------------------------------------------------------
