@@ -352,6 +352,12 @@ def test_scores_equal_brute_force(docs, rows_of, spark, monkeypatch, questions):
         assert a[2] is None or a[2] == pytest.approx(b[2], abs=1e-5)
 
 
+@given(st.lists(st.integers(0, 2**63 - 1) | st.integers(0, 300), max_size=50))
+def test_packed_numbers(values):
+    values = np.array(values, np.uint64)
+    assert lm_score.unpacked(lm_score.packed(values)).tolist() == values.tolist()
+
+
 def test_losses_are_those_of_a_distribution():
     """Over all tokens that can follow one, where each context is as frequent as its token."""
     pairs = np.random.default_rng(0).integers(0, 5, (30, 30)).astype(float)
