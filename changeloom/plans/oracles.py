@@ -354,7 +354,7 @@ ORACLES = {
         SELECT 'events-history' AS query, count(*) AS input_rows FROM events""",
 }
 
-# What a live table holds in the end is what its batch form gives.
+# What a live or an indexed table gives is what its batch form gives.
 ORACLES |= {
     live: ORACLES[batch]
     for live, batch in (
@@ -363,5 +363,6 @@ ORACLES |= {
         ("status_live", "status_stamp"),
         ("rollup_live_daily", "q_daily"),
         ("rollup_live_metrics", "q_metrics_by_dim"),
+        *((f"{name}_indexed", name) for name in ("q_point_lookup", "q_user_lookup", "q_filter_keys", "q_recent")),
     )
 }

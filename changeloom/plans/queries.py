@@ -23,13 +23,16 @@ from changeloom.plans.serving import (
     cents,
     daily,
     find,
+    find_indexed,
     recent,
+    recent_indexed,
     register_views,
     roll_up,
     star_revenue,
 )
 from changeloom.session import scratch_dir, stored
 from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
+from changeloom.sources.fileindex import FileIndex
 from changeloom.sources.archive import clean_archive, merge_archive
 from changeloom.sources.layout import write_bucketed, write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
@@ -235,6 +238,46 @@ def served(spark: SparkSession, folder: str, name: str) -> DataFrame:
 _SERVED: dict[tuple, str] = {}
 
 
+def indexed(spark: SparkSession, folder: str, name: str) -> FileIndex:
+    """The index of the files of a served table, built as often as that is stored."""
+    table, entity = served(spark, folder, name), ENTITIES[name]
+    path = _SERVED[spark.sparkContext.applicationId, folder, name, feeds.signature(spark, folder)]
+    fresh = path not in _INDEXED
+    root = scratch_dir(spark, f"index_{name}") if fresh else _INDEXED[path]
+    index = FileIndex(spark, root, table.schema, entity.bloom, entity.sorted_by)
+    if fresh:
+        index.add(path)
+        _INDEXED[path] = root
+    return index
+
+
+_INDEXED: dict[str, str] = {}
+
+
+def q_point_lookup_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    return find_indexed(indexed(spark, folder, "products"), product_id="10")
+
+
+def q_user_lookup_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    return find_indexed(indexed(spark, folder, "transactions"), user_id="7")
+
+
+def q_filter_keys_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    wanted = {"user_id": ["3", "7", "42"], "status": "INSERT"}
+    return find_indexed(indexed(spark, folder, "transactions"), **wanted)
+
+
+def q_recent_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    return recent_indexed(
+        indexed(spark, folder, "transactions"),
+        "last_modified_ts",
+        "1996-01-01 00:00:00.000000",
+        "2000-12-31 23:59:59.999999",
+        100,
+        "transaction_id",
+    )
+
+
 def q_point_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return find(served(spark, folder, "products"), product_id="10")
 
@@ -649,6 +692,10 @@ QUERIES: dict[str, Query] = {
     "q_filter_status": q_filter_status,
     "q_filter_keys": q_filter_keys,
     "q_recent": q_recent,
+    "q_point_lookup_indexed": q_point_lookup_indexed,
+    "q_user_lookup_indexed": q_user_lookup_indexed,
+    "q_filter_keys_indexed": q_filter_keys_indexed,
+    "q_recent_indexed": q_recent_indexed,
     "q_metrics_by_dim": q_metrics_by_dim,
     "q_product_metrics": q_product_metrics,
     "q_shipping_metrics": q_shipping_metrics,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from changeloom.entities import DATE_COLUMN, TRANSACTIONS
 from changeloom.operators.join import heavy_keys, lookup
+from changeloom.sources.fileindex import FileIndex
 
 
 def pushed_filters(table: DataFrame) -> str:
@@ -49,6 +50,18 @@ def recent(
     )
 
 
+def find_indexed(index: FileIndex, **equals: object) -> DataFrame:
+    """``find`` that opens only the files which can hold a wanted row."""
+    return find(index.read(index.candidates(**equals)), **equals)
+
+
+def recent_indexed(
+    index: FileIndex, time: str, start: str, end: str, limit: int, tie_break: str
+) -> DataFrame:
+    """``recent`` that opens only the files which can hold one of the newest rows."""
+    return recent(index.read(index.newest(time, start, end, limit)), time, start, end, limit, tie_break)
+
+
 def roll_up(
     table: DataFrame, by: Sequence[str], measures: Mapping[str, Column]
 ) -> DataFrame:
