@@ -209,6 +209,30 @@ def encode_texts(
     if not len(data):
         return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
     starts, ends = _chunks(data, offsets)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    place = np.arange(len(starts)) - np.searchsorted(starts, offsets[:-1])[row]
+    with np.errstate(over="ignore"):
+        states = mix(keys.view(np.uint64)[row] ^ mix(np.array([seed], np.int64).view(np.uint64)))
+        states = mix(states + place.astype(np.uint64) * _PLACE)
+    # A long text is taken a stretch of chunks at a time; what is drawn for a chunk depends on
+    # its place and its bytes alone.
+    found, taken, begin = [], np.zeros(len(starts), np.int64), 0
+    while begin < len(starts):
+        end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + LATTICE_BYTES, "right")))
+        part = slice(begin, end)
+        ids, taken[part] = _sampled(
+            vocabulary, data[starts[begin] : ends[end - 1]], starts[part] - starts[begin], states[part]
+        )
+        found.append(ids)
+        begin = end
+    return np.concatenate(found), np.bincount(row, taken, len(texts)).astype(np.int64)
+
+
+def _sampled(
+    vocabulary: Vocabulary, data: np.ndarray, starts: np.ndarray, states: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of the chunks that begin at ``starts``, and each chunk's number of pieces."""
+    ends = np.append(starts[1:], len(data))
     _, first, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
     sizes = (ends - starts)[first]
     bounds = np.concatenate([[0], np.cumsum(sizes)])
@@ -216,11 +240,6 @@ def encode_texts(
     lattice = forward(vocabulary, data[own], bounds)
     stop = (bounds[:-1] + np.arange(len(sizes)))[which]
     node = stop + sizes[which]
-    row = np.searchsorted(offsets, starts, "right") - 1
-    place = np.arange(len(starts)) - np.searchsorted(starts, offsets[:-1])[row]
-    with np.errstate(over="ignore"):
-        states = mix(keys.view(np.uint64)[row] ^ mix(np.array([seed], np.int64).view(np.uint64)))
-        states = mix(states + place.astype(np.uint64) * _PLACE)
     taken = np.zeros(len(starts), np.int64)
     active, drawn, step = np.arange(len(starts)), [], np.uint64(0)
     while len(active):
@@ -239,17 +258,22 @@ def encode_texts(
     ids = np.empty(last[-1], np.int32)
     for k, (which, names) in enumerate(drawn):
         ids[last[which] - 1 - k] = names
-    return ids, np.bincount(row, taken, len(texts)).astype(np.int64)
+    return ids, taken
 
 
 def decoded(
     vocabulary: Vocabulary, ids: np.ndarray, counts: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of the texts of rows of pieces, and where each row starts."""
-    sizes = vocabulary.lengths[ids]
-    ends = np.cumsum(sizes)
-    own = np.arange(ends[-1] if len(ends) else 0)
-    data = vocabulary.flat[own + np.repeat(vocabulary.at[ids] - ends + sizes, sizes)]
+    ends = np.cumsum(vocabulary.lengths[ids])
+    data = np.empty(ends[-1] if len(ends) else 0, np.uint8)
+    for first in range(0, len(ids), LATTICE_BYTES):
+        part = ids[first : first + LATTICE_BYTES]
+        sizes = vocabulary.lengths[part]
+        upto = ends[first : first + LATTICE_BYTES]
+        begin = upto[0] - sizes[0]
+        from_ = np.repeat(vocabulary.at[part] - upto + sizes, sizes)
+        data[begin : upto[-1]] = vocabulary.flat[np.arange(begin, upto[-1]) + from_]
     bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
     keep = np.ones(len(data), bool)
     keep[bounds[:-1][counts > 0]] = False

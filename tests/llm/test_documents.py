@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -46,6 +47,31 @@ def test_pieces_decode_to_the_text(vocabulary, texts, seed):
         assert joined(vocabulary, ids, counts).to_pylist() == texts
 
 
+def test_stretches_of_a_text_give_the_pieces_of_the_whole(vocabulary, monkeypatch):
+    rng = random.Random(4)
+    texts = [sentence(rng, 400) if k % 2 else "x" * 50 * k + "\n\n" for k in range(6)] + ["", None]
+    (part,) = pieces(pa.array(texts))
+    keys = np.arange(len(texts)) + 7
+    whole = encode_texts(vocabulary, part, keys, 3)
+    for most in (1, 64, 1000):
+        monkeypatch.setattr("changeloom.llm.sentencepiece.LATTICE_BYTES", most)
+        found = encode_texts(vocabulary, part, keys, 3)
+        assert [x.tolist() for x in found] == [x.tolist() for x in whole]
+        assert joined(vocabulary, *found).to_pylist() == [x or "" for x in texts]
+
+
+def test_a_long_text_needs_little_memory(vocabulary):
+    text = " ".join(f"word{k % 9973} of" for k in range(500_000))
+    (part,) = pieces(pa.array([text]))
+    tracemalloc.start()
+    try:
+        ids, counts = encode_texts(vocabulary, part, np.zeros(1, np.int64))
+        assert joined(vocabulary, ids, counts).to_pylist() == [text]
+        assert tracemalloc.get_traced_memory()[1] < 300_000_000 + 40 * len(text)
+    finally:
+        tracemalloc.stop()
+
+
 def test_segmentations_follow_their_weights(vocabulary):
     n = 20_000
     (part,) = pieces(pa.array(["thing"] * n))
