@@ -354,11 +354,12 @@ ORACLES = {
         SELECT 'events-history' AS query, count(*) AS input_rows FROM events""",
 }
 
-# What a live or an indexed table gives is what its batch form gives.
+# What a live, a segmented or an indexed table gives is what its batch form gives.
 ORACLES |= {
     live: ORACLES[batch]
     for live, batch in (
         ("q_star_colocated", "q_star_revenue"),
+        ("stream_upsert_segments", "stream_upsert_undated"),
         ("serving_live", "serving_table"),
         ("status_live", "status_stamp"),
         ("rollup_live_daily", "q_daily"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +47,7 @@ from changeloom.streaming.sinks import (
 )
 from changeloom.streaming.job import start_separate
 from changeloom.streaming.rollup import compact_rollup, read_rollup, start_rollup
+from changeloom.streaming.segments import clean_segments, expire, fold_segments, merge_segments, read_segments
 from changeloom.streaming.serving import compact_serving, follow_records, read_serving
 from changeloom.streaming.status import compact_status, read_status, start_status
 from changeloom.streaming.tables import compact, read_upserts, start_upserts, vacuum
@@ -503,6 +504,28 @@ def stream_upsert_undated(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
+def stream_upsert_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments by day: batches newest first and not, with undated changes, while the window
+    moves on by days; one table merges its files between."""
+    feed, entity = _undated(spark, folder), feeds.TRANSACTIONS
+    late = F.col("off") % 2 == 1
+    orders = {"thirds": _thirds(2, 0, 1), "halves": [late, ~late]}
+    tables = []
+    for name, parts in orders.items():
+        run = scratch_dir(spark, f"stream_upsert_segments_{name}")
+        for number, rows in enumerate(_in_parts(spark, feed, run, parts)):
+            ends, day = (f"{run}/table", f"{run}/checkpoint", ONCE), AS_OF - timedelta(days=9 - 2 * number)
+            drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
+            fold_segments(spark, f"{run}/table", entity, log_order(), day, FEW)
+            if name == "thirds":
+                merge_segments(spark, f"{run}/table", entity, crowded=2)
+        expire(spark, f"{run}/table", entity, AS_OF)
+        clean_segments(spark, f"{run}/table")
+        table = read_segments(spark, f"{run}/table", entity, log_order())
+        tables.append(text_date(table.drop("off")).withColumn("batches", F.lit(name)))
+    return reduce(DataFrame.unionByName, tables)
+
+
 def serving_live(spark: SparkSession, folder: str) -> DataFrame:
     """Both hops as streams: changes to records, records to the serving table. The second
     is stopped while the first goes on, and resumes."""
@@ -709,6 +732,7 @@ QUERIES: dict[str, Query] = {
     "stream_upsert": stream_upsert,
     "stream_upsert_transactions": stream_upsert_transactions,
     "stream_upsert_undated": stream_upsert_undated,
+    "stream_upsert_segments": stream_upsert_segments,
     "serving_live": serving_live,
     "status_live": status_live,
     "rollup_live_daily": rollup_live_daily,

@@ -84,7 +84,7 @@ def touched(rows: DataFrame, key: str, buckets: int) -> list[int]:
     return sorted(r.bucket for r in found)
 
 
-def _not_before(state: State, as_of: date | None) -> None:
+def not_before(state: State, as_of: date | None) -> None:
     gone = state.notes.get("as_of")
     if as_of is not None and gone is not None and as_of < date.fromisoformat(gone):
         raise ValueError(f"retention was applied as of {gone}; rows before are gone")
@@ -124,7 +124,7 @@ def read_upserts(
     are looked up, in the files of their buckets.
     """
     state, schema = FileLog(spark, root).state(), schema or table_schema(entity)
-    _not_before(state, as_of)
+    not_before(state, as_of)
     if keys is None:
         rows = stored_rows(spark, root, schema)
     else:
@@ -170,7 +170,7 @@ def compact(
     """
     log, schema = FileLog(spark, root), schema or table_schema(entity)
     state = log.state()
-    _not_before(state, as_of)
+    not_before(state, as_of)
     fresh = log.fresh(state)
     bounds = {r.run: r.last for r in fresh.groupBy("run").agg(F.max("batch").alias("last")).collect()}
     if not bounds:
@@ -204,14 +204,20 @@ def compact(
     return version
 
 
+def drop_folded(log: FileLog, state: State) -> None:
+    """Delete the batches that a version holds."""
+    stale = log.stale(state).filter(F.col("kind") == CHANGES)
+    for row in stale.select("run", "batch").distinct().toLocalIterator():
+        delete(log.spark, batch_folder(f"{log.root}/changes", row.run, row.batch))
+
+
 def vacuum(spark: SparkSession, root: str, entity: Entity) -> None:
     """Delete the batches that the newest version holds, and buckets that it has replaced.
     Readers that started before may fail and have to start again."""
     log = FileLog(spark, root)
     state = log.state()
     live = {r.path.rsplit("/", 1)[0] for r in log.held(state).filter(F.col("kind") == SNAPSHOT).select("path").collect()}
-    for row in log.stale(state).filter(F.col("kind") == CHANGES).select("run", "batch").distinct().toLocalIterator():
-        delete(spark, batch_folder(f"{root}/changes", row.run, row.batch))
+    drop_folded(log, state)
     there = {p.rsplit("/", 1)[0] for p in below(spark, f"{root}/snapshots")}
     for folder in sorted(there - live):
         if int(part_of(f"{folder}/", "version")) <= state.version:
