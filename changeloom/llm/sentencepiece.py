@@ -10,7 +10,9 @@ run. Decoding joins the pieces' bytes and gives back the text.
 White space is a piece's first character or a run of its own, so no edge crosses the start
 of a white-space run or a line end, and the lattice falls into independent chunks; this is
 checked against the vocabulary. Forward filtering runs once for each distinct chunk of a few
-megabytes of text, and backward sampling for all its chunks at once.
+megabytes of text, and backward sampling for all its chunks at once. A chunk of many bytes (a
+word without white space) is filtered and sampled by itself, a stretch of bytes at a time: only
+the sums at its nodes are kept, and its edges are looked up again on the way back.
 
 Weights: with log probabilities in the model, these, times ``alpha``; a merge-order model
 has ranks for scores, and its piece of rank r weighs ``(r + 2) ** -alpha``.
@@ -21,7 +23,9 @@ is encoded with a leading white space, which decoding takes off again.
 
 from __future__ import annotations
 
+import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -35,6 +39,8 @@ from .text import lists, mix, pieces, span_hashes
 ALPHA, SEED = 1.0, 0
 #: Text whose lattices are held at once; each byte takes some hundred bytes.
 LATTICE_BYTES = 1 << 19
+#: Chunks above this are taken by themselves, this many bytes at a time.
+LONG_CHUNK, STRETCH = 1 << 12, 1 << 16
 _STEP, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -68,6 +74,7 @@ class Vocabulary:
         for piece in self.pieces:
             if b" " in piece.lstrip(b" ") or (b"\n" in piece and len(piece) > 1):
                 raise ValueError(f"a piece crosses a chunk's edge: {piece!r}")
+        self.longest = max(len(piece) for piece in self.pieces)
         lengths = np.array([len(x) for x in self.bytes])
         self.lengths, self.at = lengths, np.concatenate([[0], np.cumsum(lengths)[:-1]])
         self.flat = np.frombuffer(b"".join(self.bytes), np.uint8)
@@ -171,6 +178,11 @@ def forward(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> _L
         logs[ends[cuts[reached]]] = top[reached] + np.log(sums[reached])
         sums[~reached] = 1
         chances[part] = shares / np.repeat(sums, sizes_in)
+    return _keyed(end, sizes, names, chances)
+
+
+def _keyed(end: np.ndarray, sizes: np.ndarray, names: np.ndarray, chances: np.ndarray) -> _Lattice:
+    """Edges in the order of their ends, with their keys."""
     live = chances > 0
     end, sizes, names, chances = end[live], sizes[live], names[live], chances[live]
     first = np.append(True, end[1:] != end[:-1])
@@ -182,6 +194,73 @@ def forward(vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray) -> _L
     return _Lattice(keys, names, sizes)
 
 
+def _edges_into(vocabulary: Vocabulary, data: np.ndarray, first: int, last: int):
+    """Of one chunk: starts, ends, ids and weights of the edges that end after ``first`` and not
+    after ``last``, by end. Both bounds are where characters begin."""
+    low = max(0, first - vocabulary.longest)
+    while low and data[low] & 0xC0 == 0x80:
+        low -= 1
+    at, sizes, names, weights = _edges(vocabulary, data[low:last], np.full(last - low, last - low))
+    end = at + sizes + low
+    into = np.flatnonzero(end > first)
+    into = into[np.argsort(end[into], kind="stable")]
+    return at[into] + low, end[into], names[into], weights[into]
+
+
+def _forward_long(vocabulary: Vocabulary, data: np.ndarray, cuts: Sequence[int]) -> np.ndarray:
+    """The logarithm of the weight of all paths to each node of one chunk."""
+    logs = np.full(len(data) + 1, -np.inf)
+    logs[0] = 0
+    for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+        start, end, _, weights = _edges_into(vocabulary, data, first, last)
+        low = int(start.min())
+        near = logs[low : last + 1].tolist()
+        starts, ends, weights = (start - low).tolist(), (end - low).tolist(), weights.tolist()
+        k, n = 0, len(ends)
+        while k < n:
+            node, arrived = ends[k], []
+            while k < n and ends[k] == node:
+                arrived.append(near[starts[k]] + weights[k])
+                k += 1
+            top = max(arrived)
+            if top > -math.inf:
+                near[node] = top + math.log(sum([math.exp(x - top) for x in arrived]))
+        logs[first + 1 : last + 1] = near[first + 1 - low :]
+    return logs
+
+
+def _sampled_long(vocabulary: Vocabulary, data: np.ndarray, state: np.ndarray) -> np.ndarray:
+    """The pieces of one long chunk: drawn as ``_sampled`` does, with the bounded memory of a
+    stretch and eight bytes a node."""
+    cuts = [0]
+    while cuts[-1] < len(data):
+        cut = min(len(data), cuts[-1] + STRETCH)
+        while cut < len(data) and data[cut] & 0xC0 == 0x80:
+            cut += 1
+        cuts.append(cut)
+    logs = _forward_long(vocabulary, data, cuts)
+    drawn, node, steps = [], len(data), 0
+    for first, last in zip(cuts[-2::-1], cuts[:0:-1], strict=True):
+        if node <= first:
+            continue
+        start, end, names, weights = _edges_into(vocabulary, data, first, last)
+        known = np.flatnonzero((logs[start] > -np.inf) & (logs[end] > -np.inf))
+        start, end, names, weights = start[known], end[known], names[known], weights[known]
+        lattice = _keyed(end - first, end - start, names, np.exp(logs[start] + weights - logs[end]))
+        with np.errstate(over="ignore"):
+            bits = mix(state + np.arange(steps + 1, steps + 1 + last - first, dtype=np.uint64) * _STEP)
+        chances = ((bits >> np.uint64(12)) * 2.0**-52).tolist()
+        keys, sizes, edges, begin = lattice.keys.tolist(), lattice.sizes.tolist(), [], steps
+        while node > first:
+            here = node - first
+            edge = bisect_right(keys, min(here + chances[steps - begin], math.nextafter(here + 1.0, 0)))
+            edges.append(edge)
+            node -= sizes[edge]
+            steps += 1
+        drawn.append(lattice.names[edges])
+    return np.concatenate(drawn)[::-1].astype(np.int32)
+
+
 def _chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts of the chunks: rows, white-space runs, and what stands before and after a line end."""
     n = len(data)
@@ -217,8 +296,16 @@ def encode_texts(
     # A long text is taken a stretch of chunks at a time; what is drawn for a chunk depends on
     # its place and its bytes alone.
     found, taken, begin = [], np.zeros(len(starts), np.int64), 0
+    long = np.append(np.flatnonzero(ends - starts > LONG_CHUNK), len(starts))
     while begin < len(starts):
+        next_long = int(long[np.searchsorted(long, begin)])
+        if begin == next_long:
+            found.append(_sampled_long(vocabulary, data[starts[begin] : ends[begin]], states[begin : begin + 1]))
+            taken[begin] = len(found[-1])
+            begin += 1
+            continue
         end = max(begin + 1, int(np.searchsorted(ends, starts[begin] + LATTICE_BYTES, "right")))
+        end = min(end, next_long)
         part = slice(begin, end)
         ids, taken[part] = _sampled(
             vocabulary, data[starts[begin] : ends[end - 1]], starts[part] - starts[begin], states[part]

@@ -72,6 +72,35 @@ def test_a_long_text_needs_little_memory(vocabulary):
         tracemalloc.stop()
 
 
+def test_long_words_are_drawn_as_short_ones(vocabulary, monkeypatch):
+    rng = random.Random(8)
+    letters = "etaoinshrdluETA0123456789+/é你\ud7ff😀"
+    texts = ["".join(rng.choices(letters, k=n)) for n in (1, 2, 30, 500, 900)]
+    texts += ["thing" * 150, "ok " + "x" * 700 + " and " + "\ud7ff" * 90, "", None]
+    (part,) = pieces(pa.array(texts))
+    keys = np.arange(len(texts))
+    whole = [x.tolist() for x in encode_texts(vocabulary, part, keys, 5)]
+    for long, stretch in ((0, 7), (20, 64), (600, 100_000)):
+        monkeypatch.setattr("changeloom.llm.sentencepiece.LONG_CHUNK", long)
+        monkeypatch.setattr("changeloom.llm.sentencepiece.STRETCH", stretch)
+        found = encode_texts(vocabulary, part, keys, 5)
+        assert [x.tolist() for x in found] == whole
+        assert joined(vocabulary, *found).to_pylist() == [x or "" for x in texts]
+
+
+def test_a_word_of_a_megabyte_needs_little_memory(vocabulary):
+    rng = random.Random(9)
+    text = "".join(rng.choices(BASE64, k=1_000_000))
+    (part,) = pieces(pa.array([text]))
+    tracemalloc.start()
+    try:
+        ids, counts = encode_texts(vocabulary, part, np.zeros(1, np.int64))
+        assert tracemalloc.get_traced_memory()[1] < 100_000_000 + 40 * len(text)
+    finally:
+        tracemalloc.stop()
+    assert joined(vocabulary, ids, counts).to_pylist() == [text]
+
+
 def test_segmentations_follow_their_weights(vocabulary):
     n = 20_000
     (part,) = pieces(pa.array(["thing"] * n))
