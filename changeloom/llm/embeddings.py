@@ -6,7 +6,9 @@ the nearest of some centroids, fitted by spherical k-means on a bounded sample:
 every cell whose border it is so close to that a linked vector may live there: for unit
 vectors x at home in c and y at home in c', ``y.(c' - c) <= |x - y| |c' - c|``. So no link at
 the threshold is lost, and each vector counts its links once, at home, against all residents
-and guests. Products are in double precision, in blocks of bounded size.
+and guests. Products are in double precision, in blocks of bounded size: the residents of a cell
+ask in blocks, each against all that are in it, so that a vector is sent once for each block of
+askers in its cells, most of which have one.
 
 Equal vectors of a label are one class, compared once and counted as often as they occur.
 
@@ -21,15 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .groups import grouped
 from .scratch import stored
 
-THRESHOLD, SAMPLE, PER_CELL, CELLS, ROUNDS = 0.98, 8192, 10_000, 1024, 12
-BLOCK = 1024
+THRESHOLD, SAMPLE, PER_CELL, CELLS, ROUNDS = 0.98, 8192, 4096, 1024, 12
+#: Residents of a cell, and all that are in it, that one product takes at most; and how many
+#: residents are multiplied at once.
+ASKERS, OTHERS, PART = 4096, 16_384, 128
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -93,9 +97,24 @@ def _assign(centroids: np.ndarray, reach: float):
     return run
 
 
-def _link(threshold: float):
+def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (a smaller or equal place for each place) with the places of each pair joined."""
+    while True:
+        left, right = label[a], label[b]
+        apart = left != right
+        if not apart.any():
+            return label
+        a, b, left, right = a[apart], b[apart], left[apart], right[apart]
+        least = np.minimum(left, right)
+        np.minimum.at(label, left, least)
+        np.minimum.at(label, right, least)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _link(threshold: float, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A group: the residents of one block (askers) and all of another."""
+        """A group: some residents of a cell (askers) and a block of all that are in it."""
         for table in grouped(batches, ["bucket", "asking", "other"]):
             table = table.combine_chunks()
             width = table.column("width")[0].as_py()
@@ -103,32 +122,19 @@ def _link(threshold: float):
             name, copies = table.column("class").to_numpy(), table.column("copies").to_numpy()
             asks = table.column("asks").to_numpy(zero_copy_only=False)
             left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
-            linked = unit[left] @ unit[right].T >= threshold
-            linked &= name[left][:, None] != name[right][None, :]
-            if not linked.any():
-                continue
-            label = np.arange(len(table))
-            a, b = np.nonzero(linked)
-            a, b = left[a], right[b]
-            same = np.unique(name, return_inverse=True)[1]  # an asker is also among the others
-            first = np.full(same.max() + 1, len(table))
-            np.minimum.at(first, same, np.arange(len(table)))
-            label = first[same]
-            while True:
-                least = label.copy()
-                np.minimum.at(least, a, label[b])
-                np.minimum.at(least, b, label[a])
-                least = least[least]
-                np.minimum.at(first, same, least)
-                least = np.minimum(least, first[same])
-                if (least == label).all():
-                    break
-                label = least
-            links = np.zeros(len(table), np.int64)
-            links[left] = linked @ copies[right]
-            some = np.flatnonzero((label != np.arange(len(table))) & (name[label] != name) | (links > 0))
+            others, links = unit[right], np.zeros(len(table), np.int64)
+            _, first, same = np.unique(name, return_index=True, return_inverse=True)
+            label = first[same]  # an asker is also among the others
+            for start in range(0, len(left), most):
+                some = left[start : start + most]
+                linked = unit[some] @ others.T >= threshold
+                linked &= name[some][:, None] != name[right][None, :]
+                links[some] = linked @ copies[right]
+                a, b = np.nonzero(linked)
+                label = _joined(label, some[a], right[b])
+            found = np.flatnonzero((name[label] != name) | (links > 0))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(name[some]), pa.array(name[label[some]]), pa.array(links[some])],
+                [pa.array(name[found]), pa.array(name[label[found]]), pa.array(links[found])],
                 ["class", "root", "n"],
             )
 
@@ -176,19 +182,30 @@ def embedding_links(
         ).withColumn("bucket", F.xxhash64("label", "width", "cell")),
         "vector-cells",
     )
-    sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    dealt = placed.join(sizes, "bucket").withColumn("block", F.pmod("class", "blocks").cast("int"))
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    # A cell's residents ask block by block, each block against all others of the cell.
+    residents, everyone = F.count(F.when(F.col("home"), 1)), F.count(F.lit(1))
+    sizes = placed.groupBy("bucket").agg(
+        F.ceil(residents / ASKERS).cast("int").alias("asking_blocks"),
+        F.ceil(everyone / OTHERS).cast("int").alias("other_blocks"),
+    )
+    dealt = placed.join(sizes.filter("asking_blocks > 0"), "bucket")
     columns = ["bucket", "class", "copies", "vector", "width"]
-    asks = dealt.filter("home").withColumn("other", F.explode(every))
-    asks = asks.select(*columns, F.col("block").alias("asking"), "other", F.lit(True).alias("asks"))
-    told = dealt.withColumn("asking", F.explode(every))
-    told = told.select(*columns, "asking", F.col("block").alias("other"), F.lit(False).alias("asks"))
+
+    def block(blocks: str) -> Column:
+        return F.pmod("class", blocks).cast("int")
+
+    def each(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+
+    asks = dealt.filter("home").withColumn("asking", block("asking_blocks"))
+    asks = asks.select(*columns, "asking", each("other_blocks").alias("other"), F.lit(True).alias("asks"))
+    told = dealt.withColumn("other", block("other_blocks"))
+    told = told.select(*columns, each("asking_blocks").alias("asking"), "other", F.lit(False).alias("asks"))
     found = stored(
         asks.unionByName(told)
         .repartition("bucket", "asking", "other")
         .sortWithinPartitions("bucket", "asking", "other")
-        .mapInArrow(_link(threshold), "class long, root long, n long"),
+        .mapInArrow(_link(threshold, PART), "class long, root long, n long"),
         "vector-links",
     )
     links = found.groupBy("class").agg(F.sum("n").alias("n"))

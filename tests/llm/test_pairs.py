@@ -110,11 +110,12 @@ def test_vectors_of_every_kind(spark):
     assert embedding_links(df.limit(0)).count() == 0
 
 
-def test_links_in_cells_equal_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("per_cell, askers, others, part", [(40, 16, 16, 128), (400, 100, 64, 7), (20, 16, 400, 5)])
+def test_links_in_cells_equal_brute_force(spark, monkeypatch, per_cell, askers, others, part):
     from changeloom.llm import embeddings
 
-    monkeypatch.setattr(embeddings, "PER_CELL", 40)
-    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    for name, value in (("PER_CELL", per_cell), ("ASKERS", askers), ("OTHERS", others), ("PART", part)):
+        monkeypatch.setattr(embeddings, name, value)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(40, 8))
     x = (centres[rng.integers(0, 40, 400)] + rng.normal(size=(400, 8)) * 0.12).astype(np.float32)
