@@ -186,7 +186,8 @@ def compact(
     table = pick(rows, entity.key, order) if as_of is None else _decisive(rows, entity, order, as_of)
     folder = f"{root}/snapshots/version={version}"
     table = table.withColumn("bucket", bucket(entity.key, n))
-    dealt = table.repartition(max(1, len(hit)), "bucket").sortWithinPartitions("bucket", entity.key)
+    # Rebalanced, so that a bucket of any size is written by as many tasks as its size asks for.
+    dealt = table.hint("rebalance", "bucket").sortWithinPartitions("bucket", entity.key)
     dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
     written = [(SNAPSHOT, part_of(p, "bucket"), p) for p in below(spark, folder)]
     kept = held.join(old.select("path"), "path", "left_anti").select("kind", "part", "path")

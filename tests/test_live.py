@@ -316,3 +316,22 @@ def test_reports_outlive_a_store_that_is_down(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(module, "put", put)
     listener.close()
     assert progress_table(spark, path).count() == 5
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, rows, tmp_path):
+    """The rows of one task follow a size, not the number of buckets."""
+    changes, table = Changes(spark, tmp_path / "in"), str(tmp_path / "table")
+    # A size of 4 kB; several tasks must hand over rows for that.
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    changes.add([(f"k{i}", f"x{i * i}", i, at(1), "I", i) for i in range(4000)])
+    drain([start_upserts(with_date(changes.stream()), ORDERS, order(), table, str(tmp_path / "c"), ONCE)])
+    for name, value in sizes.items():
+        spark.conf.set(name, value)
+    try:
+        compact(spark, table, ORDERS, order(), buckets=1)
+    finally:
+        for name in sizes:
+            spark.conf.unset(name)
+    assert len(below(spark, f"{table}/snapshots")) > 1
+    assert rows(read_upserts(spark, table, ORDERS, order()), "id") == rows(changes.batch(), "id")
+    assert rows(read_upserts(spark, table, ORDERS, order(), keys=["k7"]), "kind") == [("x49",)]
