@@ -8,10 +8,10 @@
                              column, slot, word, file, bits
 
 All files of an entry have filters of one length, which follows from the largest count of
-distinct values that a sketch finds in one of them. A value then has the same few words in all
-files, and a lookup reads only those words, of all files at once: its work follows the number
-of files and not the keys in them. Only words with a bit set are stored. The words lie in slots,
-folders of about ``SLOT`` rows, so that a lookup opens as many of them as a value has words.
+distinct values that a sketch finds in one of them. A value has all its bits in one word, the same
+in all files, and a lookup reads only that word, of all files at once: its work follows the number
+of files and not the keys in them. Building makes one row a value. Only words with a bit set are
+stored. They lie in slots, folders of about ``SLOT`` rows, of which a lookup opens one a value.
 
 Tables to index are written once; files that are added later get an entry of their own with
 ``add``. Readers see the files of the entries and no others.
@@ -23,16 +23,19 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, IntegerType, IntegralType, LongType, StringType, StructType
+from pyspark.sql.types import DataType, DateType, IntegralType, LongType, StringType, StructType
 
 from changeloom.sources.filelog import read_files
 from changeloom.sources.filesystem import below, make_folder, matching, put, text
 
-#: Bits a distinct value and bits set for it: one of about 3,000 files is opened in vain.
-BITS_PER_VALUE, HASHES = 20, 6
+#: Least bits a distinct value and bits set for it: one of about 2,600 files is opened in vain.
+BITS_PER_VALUE, HASHES = 32, 6
+#: Of entries; those of another layout have to be built again.
+LAYOUT = 2
 #: Rows of filter words in one folder, about.
 SLOT = 1 << 20
 
@@ -43,14 +46,15 @@ def _hashed(value: Column, kind: DataType) -> Column:
 
 
 def _word_bits(value: Column, kind: DataType, bits: int) -> Column:
-    """Words and bits of a value in a filter of ``bits``, a power of two."""
+    """The word of a value in a filter of ``bits``, a power of two, and its bits there."""
+    word = F.xxhash64(_hashed(value, kind), F.lit(0)).bitwiseAND(F.lit(bits // 64 - 1))
+    places = F.xxhash64(_hashed(value, kind), F.lit(1))
 
     def at(k: int) -> Column:
-        position = F.xxhash64(_hashed(value, kind), F.lit(k)).bitwiseAND(F.lit(bits - 1))
-        bit = F.call_function("shiftleft", F.lit(1).cast("long"), position.bitwiseAND(F.lit(63)).cast("int"))
-        return F.struct(F.shiftright(position, 6).alias("word"), bit.alias("bits"))
+        place = F.shiftright(places, 6 * k).bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place)
 
-    return F.array(*map(at, range(HASHES)))
+    return F.struct(word.alias("word"), reduce(Column.bitwiseOR, map(at, range(HASHES))).alias("bits"))
 
 
 def _comparable(kind: DataType, value: object) -> bool:
@@ -87,16 +91,16 @@ class FileIndex:
         if not paths:
             return
         name, number = uuid.uuid4().hex, len(self._entries())
-        # The engine gives paths with escapes; a plus sign stands for itself there.
-        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        rows = read_files(self.spark, paths, self.schema).select(path.alias("path"), *self.columns)
+        rows = read_files(self.spark, paths, self.schema).select(F.col("_metadata.file_path").alias("path"), *self.columns)
         rows = rows.withColumn("file", F.xxhash64("path"))
-        stats = [F.count(F.lit(1)).alias("rows")]
+        stats = [F.any_value("path").alias("path"), F.count(F.lit(1)).alias("rows")]
         for c in self.columns:
             stats += [F.min(c).alias(f"low_{c}"), F.max(c).alias(f"high_{c}"), F.count(c).alias(f"n_{c}")]
         stats += [F.approx_count_distinct(c).alias(f"distinct_{c}") for c in self.keys]
         held = f"{self.root}/files-{name}"
-        rows.groupBy("file", "path").agg(*stats).coalesce(8).write.parquet(held)
+        # The engine gives paths with escapes; a plus sign stands for itself there.
+        path = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))
+        rows.groupBy("file").agg(*stats).withColumn("path", path).coalesce(8).write.parquet(held)
 
         held = self.spark.read.parquet(held)
         most = held.agg(F.count(F.lit(1)).alias("files"), *(F.max(f"distinct_{c}").alias(c) for c in self.keys)).first()
@@ -107,31 +111,32 @@ class FileIndex:
             shape[c] = {"bits": bits, "slots": min(slots, bits // 64)}
         if shape:
             self._words(rows, shape).write.partitionBy("column", "slot").parquet(f"{self.root}/bits-{name}")
-        put(self.spark, f"{self.root}/entry-{number:09d}.json", json.dumps({"name": name, "shape": shape}))
+        put(self.spark, f"{self.root}/entry-{number:09d}.json", json.dumps({"layout": LAYOUT, "name": name, "shape": shape}))
 
     def _words(self, rows: DataFrame, shape: Mapping[str, Mapping[str, int]]) -> DataFrame:
         def of(c: str) -> Column:
-            words = _word_bits(F.col(c), self.schema[c].dataType, shape[c]["bits"])
+            found = _word_bits(F.col(c), self.schema[c].dataType, shape[c]["bits"])
             per_slot = shape[c]["bits"] // 64 // shape[c]["slots"]
-            named = F.transform(
-                words,
-                lambda x: F.struct(
-                    F.lit(c).alias("column"),
-                    F.floor(x["word"] / per_slot).cast("int").alias("slot"),
-                    x["word"].alias("word"),
-                    x["bits"].alias("bits"),
-                ),
+            named = F.struct(
+                F.lit(c).alias("column"),
+                F.floor(found["word"] / per_slot).cast("int").alias("slot"),
+                found["word"].alias("word"),
+                found["bits"].alias("bits"),
             )
-            return F.when(F.col(c).isNotNull(), named).otherwise(F.array())
+            return F.when(F.col(c).isNotNull(), named)
 
-        found = rows.select("file", F.inline(F.concat(*map(of, shape))))
+        found = rows.select("file", F.array_compact(F.array(*map(of, shape))).alias("found"))
+        found = found.select("file", F.inline("found"))
         merged = found.groupBy("column", "slot", "word", "file").agg(F.bit_or("bits").alias("bits"))
         return merged.repartition("column", "slot").sortWithinPartitions("column", "slot", "word")
 
     # reading ----------------------------------------------------------------
 
     def _entries(self) -> list[dict]:
-        return [json.loads(text(self.spark, x)) for x in matching(self.spark, f"{self.root}/entry-*.json")]
+        found = [json.loads(text(self.spark, x)) for x in matching(self.spark, f"{self.root}/entry-*.json")]
+        if any(entry.get("layout") != LAYOUT for entry in found):
+            raise ValueError(f"{self.root} was built in another layout; build it again")
+        return found
 
     def _files(self, entry: dict) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/files-{entry['name']}")
@@ -139,12 +144,11 @@ class FileIndex:
     def _with_values(self, entry: dict, column: str, values: Sequence[object]) -> DataFrame:
         """``file`` of the files whose filters hold one of the values."""
         kind, shape = self.schema[column].dataType, entry["shape"][column]
-        asked = StructType().add("number", IntegerType())
-        asked = asked.add("value", LongType() if isinstance(kind, IntegralType) else kind)
-        wanted = self.spark.createDataFrame(list(enumerate(values)), asked)
-        wanted = wanted.select("number", F.inline(_word_bits(F.col("value"), kind, shape["bits"])))
-        # At most as many rows as the values of the question have hashes.
-        wanted = wanted.groupBy("number", "word").agg(F.bit_or("bits").alias("wanted")).collect()
+        asked = StructType().add("value", LongType() if isinstance(kind, IntegralType) else kind)
+        wanted = self.spark.createDataFrame([(x,) for x in values], asked)
+        wanted = wanted.select(_word_bits(F.col("value"), kind, shape["bits"]).alias("at")).select("at.*").distinct()
+        # At most as many rows as the question has values.
+        wanted = wanted.withColumnRenamed("bits", "wanted").collect()
         words = sorted({r.word for r in wanted})
         per_slot = shape["bits"] // 64 // shape["slots"]
         held = self.spark.read.schema("word LONG, file LONG, bits LONG, column STRING, slot INT").parquet(
@@ -155,13 +159,9 @@ class FileIndex:
             & F.col("slot").isin(sorted({x // per_slot for x in words}))
             & F.col("word").isin(words)
         )
-        need = self.spark.createDataFrame(
-            [(r.number, r.word, r.wanted, sum(x.number == r.number for x in wanted)) for r in wanted],
-            "number INT, word LONG, wanted LONG, need INT",
-        )
+        need = self.spark.createDataFrame(wanted, "word LONG, wanted LONG")
         found = held.join(need, "word").filter(F.col("bits").bitwiseAND(F.col("wanted")) == F.col("wanted"))
-        found = found.groupBy("file", "number", "need").count()
-        return found.filter(F.col("count") == F.col("need")).select("file").distinct()
+        return found.select("file").distinct()
 
     def candidates(self, **equals: object) -> list[str]:
         """Files that can hold rows whose columns equal the given values, or one of a list."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from changeloom.plans.serving import find, find_indexed, recent, recent_indexed
 from changeloom.sources.fileindex import FileIndex
-from changeloom.sources.filesystem import below
+from changeloom.sources.filesystem import below, put
 
 SCHEMA = "id STRING, user STRING, number INT, day DATE, at STRING, x DOUBLE"
 FILES, EACH = 200, 50
@@ -162,3 +162,21 @@ def test_empty_tables_and_columns_of_nulls(spark, tmp_path):
 def test_fractions_are_no_keys(spark):
     with pytest.raises(ValueError):
         FileIndex(spark, "/nowhere", spark.createDataFrame([], SCHEMA).schema, ["x"])
+
+
+def test_a_value_makes_one_row_in_a_wide_filter(spark, tmp_path):
+    """Building grows with the values, not with the bits set for them."""
+    path = str(tmp_path / "table")
+    spark.range(5000).selectExpr("'u' || id AS user").coalesce(1).write.parquet(path)
+    spark.createDataFrame([("one",)], "user STRING").write.mode("append").parquet(path)
+    index = FileIndex(spark, str(tmp_path / "index"), spark.read.parquet(path).schema, ["user"])
+    index.add(path)
+    words = spark.read.parquet(*map(str, (tmp_path / "index").glob("bits-*"))).groupBy("file").count()
+    assert min(r["count"] for r in words.collect()) == 1
+    assert len(index.candidates(user="one")) == 1 and len(index.candidates(user="u77")) == 1
+
+
+def test_an_index_of_another_layout_is_refused(spark, tmp_path):
+    put(spark, str(tmp_path / "entry-000000000.json"), '{"name": "x", "shape": {}}')
+    with pytest.raises(ValueError, match="layout"):
+        FileIndex(spark, str(tmp_path), spark.createDataFrame([], SCHEMA).schema, ["id"]).candidates(id="a")
