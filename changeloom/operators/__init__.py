@@ -1,5 +1,6 @@
 from changeloom.operators.envelope import (
     after_images,
+    rejects,
     route,
     route_counts,
     split,
@@ -20,6 +21,7 @@ __all__ = [
     "latest_stream",
     "lookup",
     "null_defaults",
+    "rejects",
     "retain",
     "retained_latest",
     "route",

@@ -68,6 +68,18 @@ def unreadable_envelopes(raw: DataFrame, entity: Entity) -> DataFrame:
     return broken.select(F.col("value").alias("raw_value"), F.lit(entity.name).alias("entity"))
 
 
+def rejects(raw: DataFrame, entity: Entity) -> DataFrame:
+    """``dead_letters`` and ``unreadable_envelopes`` of the messages, in one pass over them.
+
+    Whether an image is dead follows from its key, so no other column is parsed.
+    """
+    routed = route(evaluated_once(raw, "value", F.col("value")), entity.only(), ["value"])
+    dead = F.when(F.col("route") == DEAD, F.col("after"))
+    broken = F.when(F.col("value").isNotNull() & F.try_parse_json("value").isNull(), F.col("value"))
+    found = routed.select(F.array_compact(F.array(dead, broken)).alias("found"))
+    return found.select(F.explode("found").alias("raw_value"), F.lit(entity.name).alias("entity"))
+
+
 def split(
     raw: DataFrame, entity: Entity, carry: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

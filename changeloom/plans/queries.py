@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from changeloom.entities import DATE_COLUMN, ENTITIES
 from changeloom.functions.time import change_order, with_date
-from changeloom.operators.envelope import after_images, route_counts, split, unreadable_envelopes
+from changeloom.operators.envelope import after_images, rejects, route_counts, split
 from changeloom.operators.keyvalue import from_key_value, to_key_value
 from changeloom.operators.serving import null_defaults, serving_projection, serving_table
 from changeloom.operators.status import stamp_status
@@ -110,12 +110,7 @@ def cdc_dead_letter(spark: SparkSession, folder: str) -> DataFrame:
 
 def cdc_dead_letter_envelope(spark: SparkSession, folder: str) -> DataFrame:
     """Dead letters and the messages whose envelope cannot be read."""
-
-    def rejects(feed: feeds.Feed) -> DataFrame:
-        unread = unreadable_envelopes(feed.raw, feed.entity)
-        return split(feed.raw, feed.entity)[1].unionByName(unread)
-
-    return _over_damaged(spark, folder, rejects)
+    return _over_damaged(spark, folder, lambda feed: rejects(feed.raw, feed.entity))
 
 
 def cdc_route_counts(spark: SparkSession, folder: str) -> DataFrame:

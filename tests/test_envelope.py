@@ -9,6 +9,7 @@ from changeloom.operators.envelope import (
     after_images,
     dead_letters,
     good_rows,
+    rejects,
     route,
     route_counts,
     split,
@@ -181,3 +182,21 @@ def test_every_message_takes_exactly_one_route(spark, batch):
     assert dead.count() == counts.get("dead_letter", 0)
     assert after_images(df).count() == good.count() + dead.count()
     assert sum(counts.values()) == len(batch)
+
+
+def test_rejects_are_dead_letters_and_unreadable_envelopes_in_one_pass(spark, rows):
+    twice = '{"payload":{"after":"{}"},"payload":{"after":"{}"}}'
+    values = [message(json.dumps(USER)), twice, *DROPPED.values(), *map(message, DEAD.values())]
+    df = raw(spark, *values)
+    found = rejects(df, USERS)
+    apart = split(df, USERS)[1].unionByName(unreadable_envelopes(df, USERS))
+    assert found.columns == apart.columns and rows(found) == rows(apart)
+    assert len(rows(found)) >= len(DEAD) + 3
+    assert "Union" not in plan_of(found) and plan_of(found).count("Scan") == 1
+
+
+def test_the_query_of_rejects_reads_each_feed_once(spark):
+    from changeloom.plans.queries import cdc_dead_letter_envelope
+
+    plan = cdc_dead_letter_envelope(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_partkey#") and len([x for x in plan.splitlines() if "Relation" in x]) == 4
