@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeloom.operators import heavy_keys, lookup
-from changeloom.plans import queries
+from changeloom.plans import feeds, queries
 from changeloom.plans.serving import (
     daily,
     find,
@@ -189,3 +189,8 @@ def test_ranges_of_the_sorted_layout_are_found_on_a_stored_table(spark, monkeypa
     monkeypatch.setattr(queries, "write_sorted", lambda rows, *rest: (plans.append(plan_of(rows)), write(rows, *rest)))
     assert queries.layout_sorted(spark, "/root/testdata/sf0.001").count() > 0
     assert len(plans) == 1 and "from_json" not in plans[0] and "Window" not in plans[0]
+
+
+def test_versions_of_a_small_file_are_made_by_several_tasks(spark):
+    rows = feeds.products(spark, "/root/testdata/sf0.001").rows
+    assert "REPARTITION_BY_COL" in plan_of(rows)
