@@ -173,10 +173,13 @@ class _Known:
         ``part(k)`` gives the bytes behind hash k."""
         if len(self.hashes) > KNOWN:
             self.clear()
-        new = np.flatnonzero(~np.isin(hashes, self.hashes, assume_unique=True))
+        near = np.searchsorted(self.hashes, hashes)
+        held = near < len(self.hashes)
+        held[held] = self.hashes[near[held]] == hashes[held]
+        new = np.flatnonzero(~held)
         if len(new):
             ids, where, sizes = self._encode([part(k) for k in new.tolist()])
-            slots = np.searchsorted(self.hashes, hashes[new])
+            slots = near[new]
             self.hashes = np.insert(self.hashes, slots, hashes[new])
             self.where = np.insert(self.where, slots, where + len(self.pool))
             self.sizes = np.insert(self.sizes, slots, sizes)
@@ -185,6 +188,18 @@ class _Known:
         return self.where[found], self.sizes[found]
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct hashes, where each stands first, and which one every hash is; only the
+    distinct ones are sorted."""
+    coded = pa.array(hashes).dictionary_encode()
+    codes, values = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+    order = np.argsort(values)
+    places, place = np.empty(len(values), np.int64), np.empty(len(values), np.int64)
+    places[order] = np.arange(len(values))
+    place[codes[::-1]] = np.arange(len(hashes))[::-1]
+    return values[order], place[order], places[codes]
+
+
 def encode_texts(known: _Known, texts) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all rows one after another, each row with the end id, and their numbers."""
     data, offsets, n = texts.data, texts.offsets, len(texts)
@@ -202,9 +217,7 @@ def encode_texts(known: _Known, texts) -> tuple[np.ndarray, np.ndarray]:
     row = np.searchsorted(offsets, starts, "right") - 1
     keep = (ends > starts) & usual[row]
     starts, ends, row = starts[keep], ends[keep], row[keep]
-    hashes, first, which = np.unique(
-        span_hashes(data, starts, ends), return_index=True, return_inverse=True
-    )
+    hashes, first, which = distinct(span_hashes(data, starts, ends))
     where, sizes = known.lookup(hashes, lambda k: raw[starts[first[k]] : ends[first[k]]])
     counts = np.bincount(row, sizes[which], n).astype(np.int64)
     for r, ids in whole.items():

@@ -3,6 +3,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from changeloom.llm import tokens
 from changeloom.llm.text import pieces, window_hashes
 from tests.llm.brute import words
 
@@ -38,3 +39,20 @@ def test_slices_of_columns():
     assert [p.counts.tolist() for p in pieces(column)] == [[1, 0, 3]]
     assert not list(pieces(pa.array([], pa.string())))
     assert np.all([len(p.words) == 0 for p in pieces(pa.array(["", None]))])
+
+
+def test_distinct_hashes_are_those_of_a_sort():
+    for n, kinds in ((0, 1), (1, 1), (5000, 40), (5000, 1 << 62)):
+        hashes = np.random.default_rng(n).integers(0, kinds, n).astype(np.uint64) * np.uint64(3)
+        expected = np.unique(hashes, return_index=True, return_inverse=True)
+        assert all(np.array_equal(a, b) for a, b in zip(tokens.distinct(hashes), expected, strict=True))
+
+
+def test_known_parts_are_found_again_without_encoding():
+    known, asked = tokens._Known(None), []
+    known._encode = lambda parts: (asked.append(parts), np.arange(len(parts), dtype=np.uint32), np.arange(len(parts)), np.ones(len(parts), np.int64))[1:]
+    first, second = np.array([3, 9, 20], np.uint64), np.array([1, 9, 20, 2**64 - 21], np.uint64)
+    known.lookup(first, lambda k: b"%d" % first[k])
+    where, sizes = known.lookup(second, lambda k: b"%d" % second[k])
+    assert asked == [[b"3", b"9", b"20"], [b"1", b"18446744073709551595"]]
+    assert where.tolist() == [3, 1, 2, 4] and sizes.tolist() == [1] * 4
