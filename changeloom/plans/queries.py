@@ -33,6 +33,7 @@ from changeloom.plans.serving import (
 from changeloom.session import scratch_dir, stored
 from changeloom.sources.files import read_archive, read_dead_letters, read_key_values, read_table
 from changeloom.sources.fileindex import FileIndex
+from changeloom.sources.filesystem import make_folder, matching, move
 from changeloom.sources.archive import clean_archive, merge_archive
 from changeloom.sources.layout import write_bucketed, write_indexed, write_sorted
 from changeloom.streaming.lifecycle import ONCE, drain
@@ -441,20 +442,57 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return text_date(table.drop("off"))
 
 
-def _messages(spark: SparkSession, folder: str, name: str, run: str, part: Column | None = None):
+MESSAGE = "value STRING, off BIGINT"
+
+
+def _messages(spark: SparkSession, folder: str, name: str, run: str) -> DataFrame:
     """The change messages of an entity, as files that arrive in a folder."""
-    raw = feeds.FEEDS[name](spark, folder).raw
-    rows = raw if part is None else raw.filter(part)
-    rows.write.mode("append").parquet(f"{run}/{name}-messages")
-    return spark.readStream.schema("value STRING, off BIGINT").parquet(f"{run}/{name}-messages")
+    feeds.FEEDS[name](spark, folder).raw.write.parquet(f"{run}/{name}-messages")
+    return spark.readStream.schema(MESSAGE).parquet(f"{run}/{name}-messages")
+
+
+def _dealt(feed: feeds.Feed, path: str, *labels: Column) -> str:
+    """The change messages of a feed, made once, in a folder for each combination of labels."""
+    texts = (F.coalesce(label.cast("string"), F.lit("none")) for label in labels)
+    feed.raw.withColumn("part", F.concat_ws("-", *texts)).write.partitionBy("part").parquet(path)
+    return path
+
+
+def _in_parts(spark: SparkSession, feed: feeds.Feed, waiting: str, run: str, parts: list[str]):
+    """The decoded changes of a feed as a stream, once for each part that has arrived: its
+    files move from the folder where they wait to the one that the stream reads."""
+    arrived = f"{run}/messages"
+    make_folder(spark, arrived)
+    for part in parts:
+        for dealt in matching(spark, f"{waiting}/part={part}"):
+            move(spark, dealt, f"{arrived}/{dealt.rsplit('/', 1)[1]}")
+        raw = spark.readStream.schema(MESSAGE).option("recursiveFileLookup", "true").parquet(arrived)
+        yield split(raw, feed.entity, ["off"])[0]
+
+
+def _third() -> Column:
+    return F.pmod(F.xxhash64("off"), F.lit(3))
+
+
+def _in_thirds(spark: SparkSession, feed: feeds.Feed, run: str, *numbers: int):
+    waiting = _dealt(feed, f"{run}/waiting", _third())
+    return _in_parts(spark, feed, waiting, run, [str(n) for n in numbers])
+
+
+def _in_orders(spark: SparkSession, feed: feeds.Feed, purpose: str):
+    """The same changes in thirds, newest first and not, then in halves, for a table each:
+    (name, its folder, its streams). The halves wait where the thirds have arrived."""
+    waiting = _dealt(feed, scratch_dir(spark, f"{purpose}_waiting"), _third(), F.col("off") % 2 == 1)
+    for name, parts in {"thirds": ["2-*", "0-*", "1-*"], "halves": ["*-true", "*-false"]}.items():
+        run = scratch_dir(spark, f"{purpose}_{name}")
+        yield name, run, _in_parts(spark, feed, waiting, run, parts)
+        waiting = f"{run}/messages"
 
 
 def stream_upsert_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """A maintained table: three batches with compaction, retention and clean-up between."""
     run, entity = scratch_dir(spark, "stream_upsert_transactions"), feeds.TRANSACTIONS
-    for third in range(3):
-        part = F.pmod(F.xxhash64("off"), F.lit(3)) == third
-        rows = split(_messages(spark, folder, entity.name, run, part), entity, ["off"])[0]
+    for rows in _in_thirds(spark, feeds.transactions(spark, folder), run, 0, 1, 2):
         ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
         drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
         compact(spark, f"{run}/table", entity, log_order(), AS_OF, buckets=FEW)
@@ -470,27 +508,12 @@ def _undated(spark: SparkSession, folder: str) -> feeds.Feed:
     return replace(feed, rows=feed.rows.withColumn("last_modified_ts", time))
 
 
-def _in_parts(spark: SparkSession, feed: feeds.Feed, run: str, parts: list[Column]):
-    """The decoded changes of a feed as a stream, once for each part that has arrived."""
-    for part in parts:
-        feed.raw.filter(part).write.mode("append").parquet(f"{run}/messages")
-        raw = spark.readStream.schema("value STRING, off BIGINT").parquet(f"{run}/messages")
-        yield split(raw, feed.entity, ["off"])[0]
-
-
-def _thirds(*numbers: int) -> list[Column]:
-    return [F.pmod(F.xxhash64("off"), F.lit(3)) == n for n in numbers]
-
-
 def stream_upsert_undated(spark: SparkSession, folder: str) -> DataFrame:
     """Compaction with retention between batches, newest first and not, with undated changes."""
     feed, entity = _undated(spark, folder), feeds.TRANSACTIONS
-    late = F.col("off") % 2 == 1
-    orders = {"thirds": _thirds(2, 0, 1), "halves": [late, ~late]}
     tables = []
-    for name, parts in orders.items():
-        run = scratch_dir(spark, f"stream_upsert_undated_{name}")
-        for rows in _in_parts(spark, feed, run, parts):
+    for name, run, batches in _in_orders(spark, feed, "stream_upsert_undated"):
+        for rows in batches:
             ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
             drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
             compact(spark, f"{run}/table", entity, log_order(), AS_OF, buckets=FEW)
@@ -504,12 +527,9 @@ def stream_upsert_segments(spark: SparkSession, folder: str) -> DataFrame:
     """Segments by day: batches newest first and not, with undated changes, while the window
     moves on by days; one table merges its files between."""
     feed, entity = _undated(spark, folder), feeds.TRANSACTIONS
-    late = F.col("off") % 2 == 1
-    orders = {"thirds": _thirds(2, 0, 1), "halves": [late, ~late]}
     tables = []
-    for name, parts in orders.items():
-        run = scratch_dir(spark, f"stream_upsert_segments_{name}")
-        for number, rows in enumerate(_in_parts(spark, feed, run, parts)):
+    for name, run, batches in _in_orders(spark, feed, "stream_upsert_segments"):
+        for number, rows in enumerate(batches):
             ends, day = (f"{run}/table", f"{run}/checkpoint", ONCE), AS_OF - timedelta(days=9 - 2 * number)
             drain([start_upserts(with_date(rows), entity, log_order(), *ends)])
             fold_segments(spark, f"{run}/table", entity, log_order(), day, FEW)
@@ -540,7 +560,7 @@ def serving_live(spark: SparkSession, folder: str) -> DataFrame:
 def status_live(spark: SparkSession, folder: str) -> DataFrame:
     """Status stamps in three batches that mix early and late changes, state folded between."""
     run, feed = scratch_dir(spark, "status_live"), feeds.transactions(spark, folder)
-    for rows in _in_parts(spark, feed, run, _thirds(1, 2, 0)):
+    for rows in _in_thirds(spark, feed, run, 1, 2, 0):
         drain([start_status(rows, feed.entity, f"{run}/table", f"{run}/checkpoint", ONCE)])
         compact_status(spark, f"{run}/table", feed.entity, FEW)
     return read_status(spark, f"{run}/table", feed.entity)
@@ -548,7 +568,7 @@ def status_live(spark: SparkSession, folder: str) -> DataFrame:
 
 def _live_rollup(spark: SparkSession, folder: str, run: str, by: dict, sums: dict) -> DataFrame:
     feed, names = feeds.transactions(spark, folder), (list(by), list(sums))
-    for number, rows in enumerate(_in_parts(spark, feed, run, _thirds(2, 1, 0))):
+    for number, rows in enumerate(_in_thirds(spark, feed, run, 2, 1, 0)):
         ends = (f"{run}/table", f"{run}/checkpoint", ONCE)
         drain([start_rollup(with_date(rows), feed.entity, log_order(), by, sums, *ends)])
         if number < 2:
@@ -587,9 +607,8 @@ def archive_merged(spark: SparkSession, folder: str) -> DataFrame:
     """Some days of an archive whose batches have been merged, and of one more batch since."""
     run = scratch_dir(spark, "archive_merged")
     path = f"{run}/archive/events"
-    parts = _thirds(0, 1, 2)
     feed = feeds.events(spark, folder)
-    for number, rows in enumerate(_in_parts(spark, feed, run, parts)):
+    for number, rows in enumerate(_in_thirds(spark, feed, run, 0, 1, 2)):
         drain([start_archive(with_date(rows), feed.entity, f"{run}/archive", f"{run}/checkpoint", ONCE)])
         if number < 2:
             merge_archive(spark, path, feed.entity, crowded=2)

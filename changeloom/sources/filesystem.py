@@ -29,6 +29,13 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(hadoop, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a file or folder another name on the same file system."""
+    system, hadoop = _system(spark, path)
+    if not system.rename(hadoop, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def put(spark: SparkSession, path: str, text: str) -> None:
     """A file that appears under its name with all its text, or not at all."""
     system, final = _system(spark, path)

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from changeloom.entities import STRING, INT, USERS, Entity
 from changeloom.functions import change_order, with_date
 from changeloom.operators import latest, retained_latest, serving_table, split, stamp_status, to_key_value
-from changeloom.plans.queries import served
+from changeloom.plans import feeds
+from changeloom.plans.queries import QUERIES, _in_orders, served
 from changeloom.plans.serving import star_revenue
 from changeloom.sources import FileLog, clean_archive, merge_archive, read_archive, read_key_values
 from changeloom.sources.filelog import State
@@ -335,3 +336,53 @@ def test_a_large_bucket_is_written_by_several_tasks(spark, rows, tmp_path):
     assert len(below(spark, f"{table}/snapshots")) > 1
     assert rows(read_upserts(spark, table, ORDERS, order()), "id") == rows(changes.batch(), "id")
     assert rows(read_upserts(spark, table, ORDERS, order(), keys=["k7"]), "kind") == [("x49",)]
+
+
+def lines_and_orders(spark, folder, count=60):
+    """Small tables of the transactions feed, some keys and positions null."""
+    lines = spark.range(count).selectExpr(
+        "id DIV 2 AS l_orderkey",
+        "IF(id IN (7, 30), NULL, id % 23) AS l_partkey",
+        "id % 5 AS l_suppkey",
+        "CAST(id % 2 AS INT) AS l_linenumber",
+        "CAST(id % 9 AS DOUBLE) AS l_quantity",
+        "0.04D AS l_discount",
+        "TIMESTAMP_NTZ '2001-11-03 00:00:00' AS l_shipdate",
+    )
+    orders = spark.range(count // 2).selectExpr(
+        "id AS o_orderkey", "id % 4 AS o_custkey", "'1-URGENT' AS o_orderpriority"
+    )
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    orders.write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["stream_upsert_transactions", "stream_upsert_undated", "stream_upsert_segments"],
+)
+def test_messages_that_arrive_in_parts_are_made_once(spark, tmp_path, monkeypatch, name):
+    folder, made = lines_and_orders(spark, tmp_path), []
+    raw = feeds.Feed.raw.fget
+    monkeypatch.setattr(feeds.Feed, "raw", property(lambda feed: made.append(feed) or raw(feed)))
+    assert QUERIES[name](spark, folder).count() > 0
+    assert len(made) == 1
+
+
+def test_parts_arrive_in_order_and_whole(spark, rows, tmp_path):
+    feed = feeds.transactions(spark, lines_and_orders(spark, tmp_path))
+    third = F.pmod(F.xxhash64("off"), F.lit(3)).alias("third")
+    sent = rows(split(feed.raw, feed.entity, ["off"])[0].select(third, "transaction_id", "off"))
+    numbered = [row for row in sent if row[2] is not None]
+    expected = {
+        "thirds": [[row for row in sent if row[0] == n] for n in (2, 0, 1)],
+        "halves": [[row for row in numbered if row[2] % 2 == n] for n in (1, 0)],
+    }
+    assert all(sum(expected.values(), [])) and len(numbered) < len(sent)
+    for name, run, batches in _in_orders(spark, feed, "parts_arrive"):
+        for number, stream in enumerate(batches):
+            taken = stream.select(third, "transaction_id", "off").writeStream.format("parquet")
+            drain([taken.option("checkpointLocation", f"{run}/c").trigger(**ONCE).start(f"{run}/seen")])
+            so_far = rows(spark.read.parquet(f"{run}/seen"))
+            assert so_far == sorted(sum(expected[name][: number + 1], []), key=repr)
+        assert number + 1 == len(expected[name])
