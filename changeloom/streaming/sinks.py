@@ -22,11 +22,12 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.entities import DATE_COLUMN, Entity
 from changeloom.functions.time import with_date
-from changeloom.operators.envelope import dead_letters, good_rows, route
+from changeloom.operators.envelope import DEAD, dead_letters, good_rows, route
 from changeloom.operators.keyvalue import to_key_value
 from changeloom.sources.filelog import FileLog
 from changeloom.sources.kafka import Broker, position_headers, sink_options
@@ -189,16 +190,19 @@ def fan_out(
 
     def publish(batch: DataFrame, run: str, batch_id: int) -> dict[str, str]:
         routed = route(batch, entity, carry).filter("after IS NOT NULL")
-        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        # Held are the date, which two outputs need, and the text only where it stays text.
+        text = F.when(F.col("route") == DEAD, F.col("after"))
+        dated = with_date(routed, f"data.{entity.modified_at}").withColumn("after", text)
+        held = dated.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = with_date(good_rows(routed, carry), entity.modified_at)
+            good = good_rows(held, [*carry, DATE_COLUMN])
             folders = {"archive": save_archive(good, archive, run, batch_id)}
             targets.key_values.save(to_key_value(good, entity.key, carry), entity, run, batch_id)
             if records:
                 folders["key_value"] = batch_folder(records, run, batch_id)
-            dead = dead_letters(routed, entity)
+            dead = dead_letters(held, entity)
             return {**folders, "dead_letter": save_dead_letters(dead, letters, run, batch_id)}
         finally:
-            routed.unpersist()
+            held.unpersist()
 
     return start(raw, publish, log, name, f"{targets.checkpoints}/{name}", trigger)

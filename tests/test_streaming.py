@@ -294,3 +294,18 @@ def test_missing_reports_are_an_error(tmp_path):
     assert not kept
     with recorded(SimpleNamespace(streams=streams), str(tmp_path), patience=0.2):
         pass
+
+
+def test_fan_out_holds_text_of_dead_letters_only_and_parses_dates_once(spark, inbox, targets, monkeypatch):
+    held, persist = [], type(inbox.stream()).persist
+
+    def keep(df, *level):
+        good = df.filter("route = 'good'")
+        held.append((df.columns, good.count(), good.filter("after IS NOT NULL").count()))
+        return persist(df, *level)
+
+    monkeypatch.setattr(type(inbox.stream()), "persist", keep)
+    drain([fan_out(inbox.stream(), USERS, targets, ["off"], ONCE)])
+    [(columns, good, texts)] = held
+    assert "date" in columns and good == 2 and texts == 0
+    assert [r.raw_value for r in read_dead_letters(spark, f"{targets.dead_letters}/users").collect()] == ["{cut"]
