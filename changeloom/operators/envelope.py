@@ -20,8 +20,8 @@ GOOD, DEAD, DROPPED = "good", "dead_letter", "dropped"
 
 
 def _images(raw: DataFrame, carry: Sequence[str]) -> DataFrame:
-    parsed = evaluated_once(raw, "envelope", F.from_json("value", ENVELOPE), *carry)
-    return parsed.select(F.col("envelope.payload.after").alias("after"), *carry)
+    after = F.from_json("value", ENVELOPE)["payload"]["after"]
+    return evaluated_once(raw, "after", after, *carry).select("after", *carry)
 
 
 def after_images(raw: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
@@ -40,11 +40,9 @@ def route(raw: DataFrame, entity: Entity, carry: Sequence[str] = ()) -> DataFram
     """
     typed = F.from_json("after", entity.schema)
     rows = evaluated_once(_images(raw, carry), "data", typed, "after", *carry)
-    way = (
-        F.when(F.col(f"data.{entity.key}").isNotNull(), GOOD)
-        .when(F.col("after").isNotNull(), DEAD)
-        .otherwise(DROPPED)
-    )
+    # Nested, so that a filter on good rows becomes one on the key and the text is not carried.
+    unread = F.when(F.col("after").isNotNull(), DEAD).otherwise(DROPPED)
+    way = F.when(F.col(f"data.{entity.key}").isNotNull(), GOOD).otherwise(unread)
     return rows.select(way.alias("route"), "after", "data", *carry)
 
 

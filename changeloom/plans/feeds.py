@@ -23,6 +23,7 @@ from changeloom.entities import (
     USERS,
     Entity,
 )
+from changeloom.functions.columns import evaluated_once
 from changeloom.sources.files import read_table, stream_table
 from changeloom.sources.filesystem import stamp
 
@@ -55,7 +56,11 @@ class Feed:
 
     @property
     def raw(self) -> DataFrame:
-        """The rows as change messages: ``(value, off)``."""
+        """The rows as change messages: ``(value, off)``.
+
+        Made in a step of its own: ``from_json`` runs outside generated code, and would
+        interpret the making of a message for each row if that were its argument.
+        """
         columns = list(self.entity.columns)
         image = F.to_json(F.struct(*columns))
         keyless = F.to_json(F.struct(*(name for name in columns if name != self.entity.key)))
@@ -71,7 +76,7 @@ class Feed:
             .when(_fault("tombstone"), F.lit(None))
             .otherwise(message)
         )
-        return self.rows.select(value.alias("value"), "off")
+        return evaluated_once(self.rows, "value", value, "off").select("value", "off")
 
 
 def _fault(kind: str) -> Column:

@@ -160,6 +160,16 @@ def test_each_json_text_is_parsed_once_and_nothing_shuffles(spark, tmp_path):
         assert "Exchange" not in plan
 
 
+def test_good_rows_carry_no_text(spark):
+    """What the good path parses is not copied along with the rows."""
+    good, dead = split(raw(spark, message(json.dumps(USER)), message("{"), message(None), None), USERS)
+    generated = [line for line in plan_of(good).splitlines() if "Generate explode(array(data#" in line]
+    assert len(generated) == 1 and "after#" not in generated[0]
+    assert "CASE WHEN" not in plan_of(good)
+    assert [row.user_id for row in good.collect()] == [USER["user_id"]]
+    assert [row.raw_value for row in dead.collect()] == ["{"]
+
+
 texts = st.one_of(
     st.none(),
     st.text(max_size=12),
