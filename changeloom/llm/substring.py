@@ -51,11 +51,14 @@ class _Windows:
     def __init__(self, texts: Texts, width: int):
         self.gram = (width + 1) // 2
         self.span = width - self.gram + 1
-        self.starts, ends, self.row = texts.windows(width)
-        self.hashes = lambda at: window_hashes(texts.words, self.starts[at], ends[at])
+        self.starts, self.ends, self.row = texts.windows(width)
+        self.words = texts.words
         grams = np.arange(max(0, len(texts.words) - self.gram + 1))
         self.grams = window_hashes(texts.words, grams, grams + self.gram)
 
+    def hashes(self, at: np.ndarray) -> np.ndarray:
+        return window_hashes(self.words, self.starts[at], self.ends[at])
+
     def anchors(self) -> np.ndarray:
         """Words at which an anchor starts."""
         if not len(self.starts):

@@ -1,16 +1,20 @@
 """Operators on pairs of documents, words and vectors, against brute force."""
 
+import gc
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from changeloom.llm import jaccard
+from changeloom.llm import jaccard, substring
 from changeloom.llm.components import components
 from changeloom.llm.embeddings import embedding_links
 from changeloom.llm.jaccard import common_runs, jaccard_join, runs_for
 from changeloom.llm.substring import dedup_substrings
+from changeloom.llm.text import pieces
 from tests.llm import brute
 from tests.llm.conftest import SCHEMA, sentence
 
@@ -88,6 +92,36 @@ def test_substrings_equal_brute_force(docs, rows_of):
     assert found.select("row.*").columns == docs.columns
 
 
+def test_windows_of_a_piece_go_before_the_next_without_a_collection(monkeypatch):
+    """Arrays are few objects, so that a task sees no collection for hundreds of pieces."""
+    made = []
+
+    class Counted(substring._Windows):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(weakref.ref(self))
+
+    monkeypatch.setattr(substring, "_Windows", Counted)
+    monkeypatch.setattr(substring, "pieces", lambda column: pieces(column, 500))
+    rng = random.Random(6)
+    texts = pa.array([sentence(rng, 120) for _ in range(12)])
+    none = pa.array([[]] * len(texts), pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), texts, pa.StructArray.from_arrays([texts], ["text"]), none, none],
+        ["key", "text", "row", "lone_anchors", "lone_windows"],
+    )
+    runs = (substring._anchors(35), substring._candidates(35, 0), substring._remove(35, 0))
+    gc.collect()
+    gc.disable()
+    try:
+        for run in runs:
+            made.clear()
+            alive = [sum(w() is not None for w in made) for _ in run(iter([batch]))]
+            assert len(alive) == len(made) == len(texts) and max(alive) == 1
+    finally:
+        gc.enable()
+
+
 VECTORS = [
     (1, [1.0, 0.0], 1), (2, [1.0, 0.01], 1), (3, [2.0, 0.0], 1), (4, [1.0, 0.0], 2), (5, [1.0, 0.0], None),
     (6, [0.0, 0.0], 1), (7, None, 1), (8, [1.0, None], 1), (9, [float("nan"), 1.0], 1), (10, [float("inf"), 1.0], 1),
