@@ -39,6 +39,10 @@ Publish = Callable[[DataFrame, str, int], Mapping[str, str]]
 #: The position in the log, which settles equal times.
 POSITION = ("off",)
 
+#: Rows of a column batch in which a fan-out holds its rows. Java's object streams keep a hundred
+#: column batches in memory until they are reset, written or read, for each task.
+HELD_ROWS = 500
+
 
 def query_of(batch: DataFrame) -> str:
     """The id of the query that a ``foreachBatch`` batch belongs to."""
@@ -177,10 +181,10 @@ def fan_out(
 ) -> StreamingQuery:
     """All three outputs of an entity from one query, a batch at once.
 
-    Each batch is parsed once and held (spilling to disk) while it is written
+    Each batch is parsed once and held on the executors' disks while it is written
     three times; one entry in the log then makes all three count. Kafka may see records
-    again after a failure, which a keyed newest-wins reader absorbs. Bound the batch at
-    the source.
+    again after a failure, which a keyed newest-wins reader absorbs. Memory does not grow
+    with the batch; bound it at the source for the disks' sake.
     """
     archive, letters = f"{targets.archive}/{entity.name}", f"{targets.dead_letters}/{entity.name}"
     records, name = targets.key_values.root(entity), f"{entity.name}-all"
@@ -193,7 +197,9 @@ def fan_out(
         # Held are the date, which two outputs need, and the text only where it stays text.
         text = F.when(F.col("route") == DEAD, F.col("after"))
         dated = with_date(routed, f"data.{entity.modified_at}").withColumn("after", text)
-        held = dated.persist(StorageLevel.MEMORY_AND_DISK)
+        # The session of a batch is its query's own.
+        batch.sparkSession.conf.set("spark.sql.inMemoryColumnarStorage.batchSize", HELD_ROWS)
+        held = dated.persist(StorageLevel.DISK_ONLY)
         try:
             good = good_rows(held, [*carry, DATE_COLUMN])
             folders = {"archive": save_archive(good, archive, run, batch_id)}

@@ -16,6 +16,7 @@ from changeloom.sources import (
     read_key_values,
 )
 from changeloom.sources.filesystem import below
+from changeloom.streaming import sinks
 from changeloom.streaming import (
     FanOutTargets,
     FileSink,
@@ -309,3 +310,21 @@ def test_fan_out_holds_text_of_dead_letters_only_and_parses_dates_once(spark, in
     [(columns, good, texts)] = held
     assert "date" in columns and good == 2 and texts == 0
     assert [r.raw_value for r in read_dead_letters(spark, f"{targets.dead_letters}/users").collect()] == ["{cut"]
+
+
+def test_fan_out_holds_a_batch_on_disk_in_small_parts(spark, inbox, targets, monkeypatch):
+    """Stored in memory, a large batch fills the heap; Java's streams hold a hundred parts of each task."""
+    size, held, save = "spark.sql.inMemoryColumnarStorage.batchSize", [], sinks.save_dead_letters
+    before = spark.conf.get(size, None)
+    stored = spark.sparkContext._jsc.sc().getRDDStorageInfo
+    others = {i.id() for i in stored()}
+
+    def keep(dead, *ends):
+        kept = [(i.memSize(), i.diskSize() > 0) for i in stored() if i.id() not in others]
+        held.append((kept, int(dead.sparkSession.conf.get(size))))
+        return save(dead, *ends)
+
+    monkeypatch.setattr(sinks, "save_dead_letters", keep)
+    drain([fan_out(inbox.stream(), USERS, targets, ["off"], ONCE)])
+    assert held == [([(0, True)], sinks.HELD_ROWS)] and sinks.HELD_ROWS <= 1000
+    assert spark.conf.get(size, None) == before
